@@ -6,20 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import mixing
+from postmill.llm import mixing, substring
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_mixing": op10_mixing}
+    return {"op6_substring": op6_substring, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": mixing.ORACLE}
+    return {"op6_substring": substring.ORACLE, "op10_mixing": mixing.ORACLE}
