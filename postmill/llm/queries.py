@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import mixing, simhash, substring
+from postmill.llm import mixing, quality, simhash, substring
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.label_lines(docs, quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(documents(spark, sf_dir))
 
@@ -26,7 +31,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_substring": op6_substring, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
+    return {"op3_quality": op3_quality, "op6_substring": op6_substring, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
