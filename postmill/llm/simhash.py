@@ -78,12 +78,15 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", k: int = SHINGLE) -
 
 
 def choose_blocks(n: int, distance: int) -> int:
-    """The number of blocks that costs least: rows shuffled against pairs compared in cells of random fingerprints."""
+    """The number of blocks that costs least: rows shuffled against pairs compared in cells of random fingerprints.
+
+    At least distance + 2, so that small and middle-sized tables shuffle the same number of rows per fingerprint.
+    """
     def cost(blocks: int) -> float:
         segments = SEGMENTS * (blocks - distance) / blocks
         return comb(blocks, distance) * (1 + 0.005 * n * 0.375**segments)
 
-    return min(range(distance + 1, distance + 8), key=cost)
+    return min(range(distance + 2, distance + 8), key=cost)
 
 
 def _cells(fps: DataFrame, blocks: int, distance: int) -> DataFrame:
