@@ -202,5 +202,6 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", k: int = SHINGLE
     named = roots.join(distinct, "fp")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     reached = named.join(least, "root").select("fp", "component_id")
-    classes = distinct.join(reached, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    # a table of its own, so that the join below is of two exchanges, of which Spark can split a skewed partition
+    classes = materialize(distinct.join(reached, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")), "classes")
     return marked.join(classes, "fp").select("id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
