@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import mixing, quality, simhash, substring
+from postmill.llm import mixing, quality, simhash, substring, tokenfile
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.token_digests(tokenfile.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.label_lines(docs, quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -31,7 +36,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_quality": op3_quality, "op6_substring": op6_substring, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
+    return {"op2_token_files": op2_token_files, "op3_quality": op3_quality, "op6_substring": op6_substring, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
