@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import mixing, packing, quality, simhash, substring, tokenfile
+from postmill.llm import langid, mixing, packing, quality, simhash, substring, tokenfile
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(documents(spark, sf_dir))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.predict(docs, langid.learn(docs)).drop("shares")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -40,7 +45,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_token_files": op2_token_files, "op3_quality": op3_quality, "op6_substring": op6_substring, "op8_packing": op8_packing, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
+    return {"op2_token_files": op2_token_files, "op3_quality": op3_quality, "op6_substring": op6_substring, "op7_language": op7_language, "op8_packing": op8_packing, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
