@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import langid, mixing, packing, quality, simhash, substring, tokenfile
+from postmill.llm import langid, mixing, packing, quality, simhash, substring, surrogates, tokenfile
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.label_lines(docs, quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_entities(documents(spark, sf_dir)).select("doc_id", "text", "n_entities")
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(documents(spark, sf_dir))
 
@@ -45,7 +49,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_token_files": op2_token_files, "op3_quality": op3_quality, "op6_substring": op6_substring, "op7_language": op7_language, "op8_packing": op8_packing, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
+    return {"op2_token_files": op2_token_files, "op3_quality": op3_quality, "op4_surrogates": op4_surrogates, "op6_substring": op6_substring, "op7_language": op7_language, "op8_packing": op8_packing, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
