@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import langid, mixing, packing, quality, simhash, substring, surrogates, tokenfile
+from postmill.llm import langid, mixing, packing, quality, simhash, substring, surrogates, tokenfile, warczip
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warczip.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("payload", "url")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_digests(tokenfile.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))
 
@@ -49,8 +53,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_token_files": op2_token_files, "op3_quality": op3_quality, "op4_surrogates": op4_surrogates, "op6_substring": op6_substring, "op7_language": op7_language, "op8_packing": op8_packing, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
+    return {"op1_warc": op1_warc, "op2_token_files": op2_token_files, "op3_quality": op3_quality, "op4_surrogates": op4_surrogates, "op6_substring": op6_substring, "op7_language": op7_language, "op8_packing": op8_packing, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_substring": substring.ORACLE, "op10_mixing": mixing.ORACLE}
+    return {"op1_warc": warczip.ORACLE, "op6_substring": substring.ORACLE, "op10_mixing": mixing.ORACLE}
