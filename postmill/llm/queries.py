@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import langid, mixing, packing, quality, simhash, substring, surrogates, tokenfile, warczip
+from postmill.llm import images, langid, mixing, packing, quality, simhash, substring, surrogates, tokenfile, warczip
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,12 @@ def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_entities(documents(spark, sf_dir)).select("doc_id", "text", "n_entities")
 
 
+def op5_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no pictures, so Spark draws one from each vector, and edited copies of every tenth."""
+    media = images.render(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return images.image_copies(media)
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(documents(spark, sf_dir))
 
@@ -53,7 +59,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc": op1_warc, "op2_token_files": op2_token_files, "op3_quality": op3_quality, "op4_surrogates": op4_surrogates, "op6_substring": op6_substring, "op7_language": op7_language, "op8_packing": op8_packing, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
+    return {"op1_warc": op1_warc, "op2_token_files": op2_token_files, "op3_quality": op3_quality, "op4_surrogates": op4_surrogates, "op5_images": op5_images, "op6_substring": op6_substring, "op7_language": op7_language, "op8_packing": op8_packing, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
