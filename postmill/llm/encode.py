@@ -17,7 +17,7 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-MEMORY = 400_000
+PIECES, PARTS = 700_000, 100_000
 WHITE = tuple("\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0     　") + tuple(map(chr, range(0x2000, 0x200B)))
 CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d|"
 
@@ -67,8 +67,10 @@ class Encoder:
             self.plain = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
         else:
             self.pieces = None
-        self.of_part = _Memory(self._part, MEMORY)
-        self.of_piece = _Memory(self._piece, MEMORY)
+        if self.pieces and hasattr(self.model, "_resize_cache"):
+            self.model._resize_cache(0)  # the memories below take its place; filling it as well takes half of the model's time
+        self.of_part = _Memory(self._part, PARTS)
+        self.of_piece = _Memory(self._piece, PIECES)
 
     def _part(self, part: str) -> bytes:
         # of ASCII, a plain part holds only printable letters and spaces
