@@ -140,7 +140,8 @@ def read_files(files: DataFrame) -> DataFrame:
 
     # a row a file: few enough for one running sum
     begun = files.select("path", (F.sum("tokens").over(Window.orderBy("part")) - F.col("tokens")).alias("start"))
-    return begun.repartition("path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    # by number, since the rows are so small that all files would else be read by one task
+    return begun.repartition(max(1, files.count())).mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def token_digests(documents: DataFrame) -> DataFrame:

@@ -224,7 +224,8 @@ def read_packages(packages: DataFrame) -> DataFrame:
                         yield pa.record_batch([pa.array([x[c] for x in found], k) for c, k in zip(columns, kinds, strict=True)], names=list(columns))
                         a = b
 
-    return packages.select("path").repartition("path").mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    # by number, since the rows are so small that all packages would else be read by one task
+    return packages.select("path").repartition(max(1, packages.count())).mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
