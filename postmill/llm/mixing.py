@@ -89,6 +89,27 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select(F.col("s").alias("source"), F.when(F.col("whole"), F.lit(1 << 60)).when(take, F.col("prefix") + 1).otherwise(F.col("prefix")).alias("threshold"))
 
 
+def mix_plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
+    """_source, source_size, target, repeats, threshold of a table (doc_id, source, size); a row per source.
+
+    A source's rows are taken `repeats` times each, and those with a hash below `threshold` once more.
+    """
+    table = materialize(source_targets(rows, weights, most), "targets")
+    repeats = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(0)
+    rest = F.when(repeats >= most, F.lit(0)).otherwise(F.round(F.col("target") - repeats * F.col("source_size")).cast("long"))
+    hashed = rows.select("source", "size", id_hash(F.col("doc_id")).alias("hash"))
+    found = thresholds(hashed, table.select("source", rest.alias("budget"))).withColumnRenamed("source", "_t")
+    return table.select(F.col("source").alias("_source"), "source_size", "target", repeats.cast("long").alias("repeats")).join(found, F.col("_source").eqNullSafe(F.col("_t"))).drop("_t")
+
+
+def _sizes(docs: DataFrame) -> DataFrame:
+    return materialize(docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")
+
+
+def _copies() -> Column:
+    return F.col("repeats") + F.when(id_hash(F.col("doc_id")) < F.col("threshold"), 1).otherwise(0)
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """One row per row of docs (doc_id, text, source): doc_id, size, source_size, target, taken.
 
@@ -98,16 +119,15 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
     often as they occur, sources of size 0 take nothing, and reruns agree since only ids and sizes decide. Null doc_ids
     share one hash. Extra columns of docs are not read.
     """
-    rows = materialize(docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")
-    table = materialize(source_targets(rows, weights, most), "targets")
-    repeats = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(0)
-    rest = F.when(repeats >= most, F.lit(0)).otherwise(F.round(F.col("target") - repeats * F.col("source_size")).cast("long"))
-    hashed = rows.select("doc_id", "source", "size", id_hash(F.col("doc_id")).alias("hash"))
-    found = thresholds(hashed, table.select("source", rest.alias("budget")))
-    plan = table.select(F.col("source").alias("s"), "source_size", "target", repeats.cast("long").alias("repeats")).join(found.withColumnRenamed("source", "t"), F.col("s").eqNullSafe(F.col("t")))
-    return hashed.join(plan, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * (F.col("repeats") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0))).alias("taken")
-    )
+    rows = _sizes(docs)
+    return rows.join(mix_plan(rows, weights, most), F.col("source").eqNullSafe(F.col("_source")), "left").select("doc_id", "size", "source_size", "target", (F.col("size") * _copies()).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
+    """The rows of docs, each as often as mix_sources() takes it, with all their columns (none may be named as mix_plan's)."""
+    plan = mix_plan(_sizes(docs), weights, most)
+    times = F.explode(F.array_repeat(F.lit(0), _copies().cast("int")))
+    return docs.join(plan, F.col("source").eqNullSafe(F.col("_source"))).select(*(F.col(c) for c in docs.columns), times.alias("_copy")).drop("_copy")
 
 
 ORACLE = r"""

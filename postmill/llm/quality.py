@@ -180,6 +180,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
     return fit(found["id"].to_numpy(), features, labels_)
 
 
+def _judged(field: Field, text: pa.Array) -> Iterator[tuple[int, dict[str, np.ndarray], np.ndarray, np.ndarray]]:
+    """By chunk: first row, counts, whether the base rules fail, share of words in content lines."""
+    for row, data, offsets in W.chunks(text):
+        counts, rows, features, line_words = measure(data, offsets)
+        n = counts["n_words"]
+        content = _per_row(line_words * viterbi(field, rows, features), rows, len(n)) / np.maximum(n, 1)
+        yield row, counts, (n < MIN_WORDS) | (100 * counts["n_repeat_words"] > MOST_REPEATED * n), content
+
+
 COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -192,12 +201,21 @@ def label_lines(docs: DataFrame, field: Field, share: float = CONTENT_SHARE) ->
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, data, offsets in W.chunks(batch.column(1)):
-                counts, rows, features, line_words = measure(data, offsets)
+            for row, counts, failed, content in _judged(field, batch.column(1)):
                 n = counts["n_words"]
-                content = _per_row(line_words * viterbi(field, rows, features), rows, len(n)) / np.maximum(n, 1)
-                failed = (n < MIN_WORDS) | (100 * counts["n_repeat_words"] > MOST_REPEATED * n)
                 out = [batch.column(0).slice(row, len(n)), *(pa.array(counts[c].astype(np.int64)) for c in COLUMNS), pa.array(failed), pa.array(~failed & (content >= share)), pa.array(content)]
                 yield pa.record_batch(out, names=["doc_id", *COLUMNS, "base_failed", "kept", "content_share"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, {', '.join(f'{c} long' for c in COLUMNS)}, base_failed boolean, kept boolean, content_share double")
+
+
+def keep_content(docs: DataFrame, field: Field, share: float = CONTENT_SHARE) -> DataFrame:
+    """The rows of docs that label_lines() marks as kept, with all their columns, without a shuffle."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [~failed & (content >= share) for _, _, failed, content in _judged(field, batch.column(at))]
+            yield batch.filter(pa.array(np.concatenate(kept))) if kept else batch
+
+    return docs.mapInArrow(run, docs.schema)

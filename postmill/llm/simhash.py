@@ -205,3 +205,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", k: int = SHINGLE
     # a table of its own, so that the join below is of two exchanges, of which Spark can split a skewed partition
     classes = materialize(distinct.join(reached, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")), "classes")
     return marked.join(classes, "fp").select("id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", k: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The rows of docs whose id names their component, with all their columns: one document of each group stays.
+
+    Rows of one id and text are one document. Rows with a null id stay only if their component has no id.
+    """
+    found = near_duplicates(docs, id_column, k, distance)
+    kept = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id")).distinct()
+    return docs.join(kept, F.col(id_column).eqNullSafe(F.col("_id")), "left_semi").withColumn("_text", F.xxhash64("text")).dropDuplicates([id_column, "_text"]).drop("_text")
