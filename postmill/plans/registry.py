@@ -77,6 +77,8 @@ def with_ctes(text: str, *names: str) -> str:
 
     for name in names:
         add(name)
+    if not found:
+        return text
     views = ", ".join(f"{n} AS ({CTES[n]})" for n in found)
     return f"WITH {views} {', ' + text[5:] if text.startswith('WITH ') else text}"
 
