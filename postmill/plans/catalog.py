@@ -1,6 +1,6 @@
 """All registered queries of the postings engine; importing a module registers its queries."""
 
-from postmill.operators import dedup, monitor  # noqa: F401
+from postmill.operators import dedup, enrich, gates, monitor  # noqa: F401
 from postmill.plans import marts, reports  # noqa: F401
 from postmill.plans.registry import ORACLES, QUERIES
 
