@@ -1,7 +1,9 @@
 """All registered queries of the postings engine; importing a module registers its queries."""
 
-from postmill.operators import dedup, enrich, gates, monitor  # noqa: F401
+from postmill.operators import checks, dedup, enrich, gates, monitor, sinks  # noqa: F401
 from postmill.plans import marts, reports  # noqa: F401
 from postmill.plans.registry import ORACLES, QUERIES
+from postmill.sources import feeds  # noqa: F401
+from postmill.streaming import streams  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
