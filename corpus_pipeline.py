@@ -25,7 +25,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Private data give way to surrogates; n_chars follows the new text."""
-    return surrogates.replace_entities(docs).drop("n_entities").withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return surrogates.replace_entities(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

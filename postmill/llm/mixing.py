@@ -124,10 +124,11 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
-    """The rows of docs, each as often as mix_sources() takes it, with all their columns (none may be named as mix_plan's)."""
+    """The rows of docs, each as often as mix_sources() takes it, with all their columns, whatever their names."""
     plan = mix_plan(_sizes(docs), weights, most)
+    rows = docs.select(F.struct("*").alias("_row"), "doc_id", "source")
     times = F.explode(F.array_repeat(F.lit(0), _copies().cast("int")))
-    return docs.join(plan, F.col("source").eqNullSafe(F.col("_source"))).select(*(F.col(c) for c in docs.columns), times.alias("_copy")).drop("_copy")
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).select("_row", times.alias("_copy")).select("_row.*")
 
 
 ORACLE = r"""

@@ -214,4 +214,5 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", k: int = SHINGLE, di
     """
     found = near_duplicates(docs, id_column, k, distance)
     kept = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id")).distinct()
-    return docs.join(kept, F.col(id_column).eqNullSafe(F.col("_id")), "left_semi").withColumn("_text", F.xxhash64("text")).dropDuplicates([id_column, "_text"]).drop("_text")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_column).alias("_key"), F.xxhash64("text").alias("_text"))
+    return rows.join(kept, F.col("_key").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["_key", "_text"]).select("_row.*")

@@ -212,11 +212,11 @@ def replace_entities(docs: DataFrame, key: str = KEY, id_column: str = "doc_id")
     """docs with the entities of `text` replaced, and n_entities (int).
 
     All columns stay in place. A null text stays null with 0 entities, an empty one empty; a null id is fine; repeated
-    rows get equal texts, and one entity has one surrogate in all rows. docs may not have a column n_entities or one
-    that starts with `_pii`; other extra columns pass through. `key` is the secret: another key gives other surrogates.
+    rows get equal texts, and one entity has one surrogate in all rows. Extra columns pass through, but for one named
+    n_entities, which the count replaces. `key` is the secret: another key gives other surrogates.
     """
     found = F.when(F.col("text").rlike(PATTERN), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
-    marked = docs.withColumn("_pii", found)
+    marked = docs.select(F.struct("*").alias("_row"), "text", F.col(id_column).alias("_id"), found.alias("_pii"))
     each = docs.select(F.explode(F.array_distinct(found)).alias("e")).select(F.explode(atoms(F.col("e"))).alias("a")).select("a.kind", "a.canon")
     late = later_attempts(each.distinct(), key)
     attempts = None
@@ -224,10 +224,11 @@ def replace_entities(docs: DataFrame, key: str = KEY, id_column: str = "doc_id")
         named = late.select(F.concat_ws("\x1f", "kind", "canon").alias("_pii_key"), "attempt")
         keys = docs.select(F.col(id_column).alias("_pii_id"), F.explode(F.array_distinct(found)).alias("e")).select("_pii_id", F.explode(F.transform(atoms(F.col("e")), lambda a: F.concat_ws("\x1f", a["kind"], a["canon"]))).alias("_pii_key"))
         by_id = keys.distinct().join(named, "_pii_key").groupBy("_pii_id").agg(F.map_from_entries(F.collect_set(F.struct("_pii_key", "attempt"))).alias("_pii_late"))
-        marked = marked.join(by_id, F.col(id_column).eqNullSafe(F.col("_pii_id")), "left")
+        marked = marked.join(by_id, F.col("_id").eqNullSafe(F.col("_pii_id")), "left")
         attempts = F.coalesce(F.col("_pii_late"), F.create_map().cast("map<string,int>"))
     gaps = F.split("text", PATTERN, -1)
     new = F.concat(F.transform("_pii", lambda e: _replaced(key, e, attempts)), F.array(F.lit("")))
     text = F.when(F.col("_pii").isNotNull(), F.array_join(F.zip_with(gaps, new, lambda a, b: F.concat(a, b)), "")).otherwise(F.col("text"))
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return marked.select(*columns, F.when(F.col("_pii").isNull(), 0).otherwise(F.size("_pii")).alias("n_entities"))
+    count = F.when(F.col("_pii").isNull(), 0).otherwise(F.size("_pii"))
+    columns = [text.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns if c != "n_entities"]
+    return marked.select(*columns, count.alias("n_entities"))

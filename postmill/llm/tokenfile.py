@@ -33,7 +33,7 @@ def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> byte
     """A trained dictionary; of too few samples, their own bytes."""
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
-    except zstandard.ZstdError:
+    except (zstandard.ZstdError, ValueError):
         return (b"".join(samples)[:size] or b"\0").ljust(8, b"\0")
 
 
