@@ -44,8 +44,8 @@ def board_postings(payloads: DataFrame, board: str, as_of: str) -> DataFrame:
     kind, day = BOARDS[board], F.lit(as_of).cast("date")
     parsed = payloads.select(F.col("company"), F.from_json("body", kind).alias("p"))
     at = {"greenhouse": "p.jobs", "ashby": "p.jobs", "smartrecruiters": "p.content", "workday": "p.jobPostings", "workable": "p.jobs", "themuse": "p.results", "remotive": "p.jobs"}.get(board, "p")
-    j = parsed.select("company", F.explode(F.col(at)).alias("j")).select("company", "j.*")
-    company = F.col("company_name") if board == "remotive" else F.col("company")
+    j = parsed.select(F.col("company").alias("_landed"), F.explode(F.col(at)).alias("j")).select("_landed", "j.*")
+    company = F.col("company_name") if board == "remotive" else F.coalesce("company.name", "_landed") if board == "themuse" else F.col("_landed")
     if board == "greenhouse":
         return _shape(j, board, company=company, title=F.col("title"), location=F.col("location.name"), url=F.col("absolute_url"), job_id=F.col("id"), age=C.age_from_timestamp(F.col("updated_at"), day))
     if board == "lever":
@@ -54,18 +54,18 @@ def board_postings(payloads: DataFrame, board: str, as_of: str) -> DataFrame:
         return _shape(j, board, company=company, title=F.col("title"), location=F.col("location"), url=F.col("jobUrl"), job_id=F.col("id"), age=C.age_from_timestamp(F.col("publishedAt"), day))
     if board == "smartrecruiters":
         us = j.where(F.lower("location.country").isin("us", "usa", "united states"))
-        shaped = _shape(us, board, company=company, title=F.col("name"), location=F.concat_ws(", ", "location.city", "location.region"), url=F.concat(F.lit("https://jobs.smartrecruiters.com/"), "company", F.lit("/"), "id"), job_id=F.col("id"))
+        shaped = _shape(us, board, company=company, title=F.col("name"), location=F.concat_ws(", ", "location.city", "location.region"), url=F.concat(F.lit("https://jobs.smartrecruiters.com/"), "_landed", F.lit("/"), "id"), job_id=F.col("id"))
         return shaped.withColumn("_n", F.row_number().over(Window.partitionBy(C.squash(F.col("company")), C.squash(F.col("title"))).orderBy("url"))).where("_n = 1").drop("_n")
     if board == "workday":
         bullet = F.try_element_at(F.filter("bulletFields", lambda b: b.rlike(r"^[A-Z]{0,4}-?\d{3,}")), F.lit(1))
-        return _shape(j, board, company=company, title=F.col("title"), location=F.col("locationsText"), url=F.concat(F.lit("https://"), "company", F.lit(".myworkdayjobs.com"), "externalPath"), job_id=bullet, age=C.age_from_text(F.col("postedOn")))
+        return _shape(j, board, company=company, title=F.col("title"), location=F.col("locationsText"), url=F.concat(F.lit("https://"), "_landed", F.lit(".myworkdayjobs.com"), "externalPath"), job_id=bullet, age=C.age_from_text(F.col("postedOn")))
     if board == "workable":
-        return _shape(j, board, company=company, title=F.col("title"), location=F.concat_ws(", ", "location.city", "location.region"), url=F.concat(F.lit("https://apply.workable.com/"), "company", F.lit("/j/"), "shortcode"), job_id=F.col("shortcode"))
+        return _shape(j, board, company=company, title=F.col("title"), location=F.concat_ws(", ", "location.city", "location.region"), url=F.concat(F.lit("https://apply.workable.com/"), "_landed", F.lit("/j/"), "shortcode"), job_id=F.col("shortcode"))
     if board == "rippling":
         return _shape(j, board, company=company, title=F.col("name"), location=F.col("workLocation.label"), url=F.col("url"), job_id=F.col("uuid"))
     if board == "themuse":
         place = F.try_element_at(F.filter(F.col("locations.name"), lambda x: F.trim(x) != ""), F.lit(1))
-        return _shape(j.withColumn("company", F.col("company")), board, company=F.lit(None).cast("string") if "name" not in j.columns else parsed_company(j), title=F.col("name"), location=place, url=F.col("refs.landing_page"), job_id=F.col("id"), age=C.age_from_timestamp(F.col("publication_date"), day))
+        return _shape(j, board, company=company, title=F.col("name"), location=place, url=F.col("refs.landing_page"), job_id=F.col("id"), age=C.age_from_timestamp(F.col("publication_date"), day))
     return _shape(j, board, company=company, title=F.col("title"), location=F.col("candidate_required_location"), url=F.col("url"), job_id=F.col("id"), age=C.age_from_timestamp(F.col("publication_date"), day))
 
 
@@ -238,11 +238,6 @@ def elected(cast: DataFrame, least: float = 0.3) -> DataFrame:
     return by.groupBy("page_id", "field").agg(F.max_by(F.struct("value", "confidence", F.round("score", 4).alias("score")), F.struct("score", "confidence", "value")).alias("b")).select("page_id", "field", "b.*")
 
 
-def parsed_company(rows: DataFrame) -> Column:
-    """The Muse names the company in its own records."""
-    return F.col("company.name") if dict(rows.dtypes)["company"].startswith("struct") else F.col("company")
-
-
 def _landed(spark: SparkSession, sf_dir: str, board: str) -> DataFrame:
     """Payloads of a board as they would land: postings of a company in one JSON body, built from the job table."""
     rows = tables.jobs(spark, sf_dir).where("url IS NOT NULL AND company <> ''").withColumn("slug", C.squash(F.col("company")))
