@@ -1,5 +1,6 @@
 """All registered queries of the postings engine; importing a module registers its queries."""
 
+from postmill.functions import names  # noqa: F401
 from postmill.operators import checks, dedup, enrich, gates, monitor, sinks  # noqa: F401
 from postmill.plans import marts, reports  # noqa: F401
 from postmill.plans.registry import ORACLES, QUERIES

@@ -271,7 +271,7 @@ for _board, _id in (("greenhouse", "CAST(id AS VARCHAR)"), ("lever", "CAST(id AS
     query(f"s13_{_board}", f"SELECT {SLUG.replace('lower(company)', 'lower(company)')} AS company, title, location, url, {_id} AS job_id, '{_board}' AS source, CASE WHEN date_diff('day', substr(processed_at, 1, 10)::DATE, DATE '{tables.JOBS_AS_OF}') <= 3650 THEN date_diff('day', substr(processed_at, 1, 10)::DATE, DATE '{tables.JOBS_AS_OF}') END AS age, false AS is_closed {LANDED}", "jobs")(
         lambda s, d, b=_board: board_postings(_landed(s, d, b), b, tables.JOBS_AS_OF)
     )
-query("s14b_workday", f"SELECT {SLUG} AS company, title, location, 'https://' || {SLUG} || '.myworkdayjobs.com/job/' || id AS url, CASE WHEN regexp_matches(job_id, '^[A-Z]{0,4}-?\\d{3,}') THEN job_id ELSE 'N/A' END AS job_id, 'workday' AS source, id % 30 AS age, false AS is_closed FROM jobs WHERE url IS NOT NULL AND company <> ''", "jobs")(lambda s, d: board_postings(_landed(s, d, "workday"), "workday", tables.JOBS_AS_OF))
+query("s14b_workday", f"SELECT {SLUG} AS company, title, location, 'https://' || {SLUG} || '.myworkdayjobs.com/job/' || id AS url, CASE WHEN regexp_matches(job_id, '^[A-Z]{{0,4}}-?[0-9]{{3,}}') THEN job_id ELSE 'N/A' END AS job_id, 'workday' AS source, id % 30 AS age, false AS is_closed FROM jobs WHERE url IS NOT NULL AND company <> ''", "jobs")(lambda s, d: board_postings(_landed(s, d, "workday"), "workday", tables.JOBS_AS_OF))
 query("s9_json_lines", "SELECT id, company, title FROM jobs WHERE trim(company) <> '' AND url LIKE 'http%' AND coalesce(source, '') <> ''", "jobs")(
     lambda s, d: json_lines(tables.jobs(s, d).select(F.to_json(F.struct("company", "title", "location", "url", F.col("id").cast("string").alias("job_id"), "source")).alias("value")))[0].select(F.col("job_id").cast("long").alias("id"), "company", "title")
 )
