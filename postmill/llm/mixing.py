@@ -99,7 +99,9 @@ def mix_plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST
     rest = F.when(repeats >= most, F.lit(0)).otherwise(F.round(F.col("target") - repeats * F.col("source_size")).cast("long"))
     hashed = rows.select("source", "size", id_hash(F.col("doc_id")).alias("hash"))
     found = thresholds(hashed, table.select("source", rest.alias("budget"))).withColumnRenamed("source", "_t")
-    return table.select(F.col("source").alias("_source"), "source_size", "target", repeats.cast("long").alias("repeats")).join(found, F.col("_source").eqNullSafe(F.col("_t"))).drop("_t")
+    plan = table.select(F.col("source").alias("_source"), "source_size", "target", repeats.cast("long").alias("repeats")).join(found, F.col("_source").eqNullSafe(F.col("_t"))).drop("_t")
+    # a table of its own, so that Spark knows its size: it broadcasts a small one and need not deal the documents by source
+    return materialize(plan, "mix-plan")
 
 
 def _sizes(docs: DataFrame) -> DataFrame:
