@@ -2,10 +2,11 @@
 
 Corners are found on three scales (Harris measure, local maxima, the strongest KEYPOINTS of each scale: the detector's density).
 Each gets an orientation from its patch's intensity centroid and 256 binary tests of pixel pairs turned by that orientation.
-Descriptors that agree on one of four 32-bit tables meet; those within HAMMING bits are matches. Matches of two images vote
-for a rotation, scale and shift; INLIERS distinct matches of one vote make a link, so crops and edits of brightness or noise
-link, and chance matches don't. Equal images are one node. In a table's cell each image meets its neighbours by id and the
-cell's first image, not all others, so links grow with the images; groups are the components.
+Descriptors that agree on one of their eight 32-bit words meet; those within HAMMING bits are matches. Matches of two images
+vote for a rotation, scale and shift; INLIERS distinct matches of one vote make a link, so crops and edits of brightness or
+noise link, and chance matches don't. Equal images are one node. In a word's cell all descriptors of different images are
+compared: cells of more than CELL_ROWS rows are dealt into blocks, and each two blocks meet in a unit of their own. So the
+work grows with the square of the number of images that share a word; groups are the components.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postmill.llm.components import components
@@ -22,7 +23,8 @@ from postmill.llm.shared import materialize
 
 SIDE = 96
 SCALES, KEYPOINTS, MARGIN, RADIUS = (1.0, 1.5, 2.25), (24, 8, 4), 11, 7
-HAMMING, INLIERS, NEIGHBOURS = 56, 4, 3
+HAMMING, INLIERS = 56, 4
+WORDS, CELL_ROWS = 8, 1024
 TURN, ZOOM, SHIFT = np.pi / 6, 0.5, 10.0
 _random = np.random.default_rng(5)
 TESTS = np.clip(_random.normal(0, 3.2, (256, 2, 2)), -RADIUS, RADIUS)
@@ -126,53 +128,77 @@ def keypoints(images: DataFrame) -> DataFrame:
     return images.select("image_id", "pixels").mapInArrow(run, KEYPOINT)
 
 
-MATCH = "a long, b long, x double, y double, turn double, zoom double, dx double, dy double"
+MATCH = "a long, b long, place long, turn int, zoom int, dx double, dy double"
 
 
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (key, image_id): matches of each row with its neighbours in the cell and the cell's first row."""
-    held, first = None, None
+    """Of rows (unit, mark, image_id, place, d0 to d3) sorted by unit: matches among the rows of each unit.
+
+    mark holds the number of the word and, above it, the side: rows of side 0 meet all others, rows of sides 1 and 2 each other.
+    Two rows meet once for each word that they share; only the first such word counts.
+    """
+    def whole_units(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        unit, mark, image, place = rows[:4]
+        bits = np.ascontiguousarray(np.stack(rows[4:], 1).view(np.uint64))
+        words = bits.view("<u4")
+        at, lag = np.arange(len(unit)), 0
+        while len(at):
+            lag += 1
+            at = at[at + lag < len(unit)]
+            at = at[unit[at] == unit[at + lag]]
+            side = mark[at] // WORDS
+            i = at[(image[at] != image[at + lag]) & ((side == 0) | (side != mark[at + lag] // WORDS))]
+            i = i[np.bitwise_count(bits[i] ^ bits[i + lag]).sum(1) <= HAMMING]
+            equal = words[i] == words[i + lag]
+            i = i[equal.any(1) & (equal.argmax(1) == mark[i] % WORDS)]
+            if not len(i):
+                continue
+            i, j = np.where(image[i] < image[i + lag], i, i + lag), np.where(image[i] < image[i + lag], i + lag, i)
+            (x, y, angle_i, scale_i), (x_j, y_j, angle_j, scale_j) = _unpacked(place[i]), _unpacked(place[j])
+            turn = np.mod(angle_j - angle_i + np.pi, 2 * np.pi) - np.pi
+            zoom = scale_j / scale_i
+            c, s = zoom * np.cos(turn), zoom * np.sin(turn)
+            steps = (np.floor(v + 0.5).astype(np.int32) for v in (turn / TURN, np.log2(zoom) / ZOOM))
+            out = [image[i], image[j], place[i] >> 24, *steps, x_j - (c * x - s * y), y_j - (s * x + c * y)]
+            yield pa.record_batch([pa.array(v) for v in out], names=["a", "b", "place", "turn", "zoom", "dx", "dy"])
+
+    held = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         new = [c.to_numpy() for c in batch.columns]
-        rows = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
-        fresh = 0 if held is None else len(held[0])
-        key = rows[0]
-        start = np.searchsorted(key, key)
-        pairs = [(np.arange(fresh, len(key)) - lag, np.arange(fresh, len(key))) for lag in range(1, NEIGHBOURS + 1)] + [(start[fresh:], np.arange(fresh, len(key)))]
-        i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        if first is not None and first[0][0] == key[0]:
-            # the cell began in an earlier batch: its first row joins as an extra row at the end
-            rows = [np.concatenate([r, f]) for r, f in zip(rows, first, strict=True)]
-            of_cell = np.flatnonzero(key[fresh:] == key[0]) + fresh
-            i, j = np.concatenate([i, np.full(len(of_cell), len(rows[0]) - 1)]), np.concatenate([j, of_cell])
-        ok = (i >= 0) & (i != j)
-        i, j = i[ok], j[ok]
-        ok = (rows[0][i] == rows[0][j]) & (rows[1][i] != rows[1][j])
-        i, j = i[ok], j[ok]
-        distance = sum(np.bitwise_count((rows[3 + d][i] ^ rows[3 + d][j]).view(np.uint64)).astype(int) for d in range(4))
-        i, j = i[distance <= HAMMING], j[distance <= HAMMING]
-        i, j = np.where(rows[1][i] < rows[1][j], i, j), np.where(rows[1][i] < rows[1][j], j, i)
-        (x, y, angle_i, scale_i), (x_j, y_j, angle_j, scale_j) = _unpacked(rows[2][i]), _unpacked(rows[2][j])
-        turn = np.mod(angle_j - angle_i + np.pi, 2 * np.pi) - np.pi
-        zoom = scale_j / scale_i
-        c, s = zoom * np.cos(turn), zoom * np.sin(turn)
-        out = [rows[1][i], rows[1][j], x, y, turn, np.log2(zoom), x_j - (c * x - s * y), y_j - (s * x + c * y)]
-        yield pa.record_batch([pa.array(v) for v in out], names=["a", "b", "x", "y", "turn", "zoom", "dx", "dy"])
-        begin = int(np.searchsorted(key, key[-1]))
-        if first is None or first[0][0] != key[-1]:
-            first = [r[begin : begin + 1] for r in rows]
-        keep = max(begin, len(key) - NEIGHBOURS)
-        held = [r[keep : len(key)] for r in rows]
+        held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
+        last = int(np.searchsorted(held[0], held[0][-1]))
+        yield from whole_units([x[:last] for x in held])
+        held = [x[last:] for x in held]
+    if held is not None:
+        yield from whole_units(held)
 
 
 def links(points: DataFrame) -> DataFrame:
     """a, b, inliers: images of which at least INLIERS distinct keypoints agree on one placement."""
-    tables = F.array(*[F.struct(F.xxhash64(F.lit(2 * t + half), F.shiftrightunsigned(f"d{t}", 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))).alias("key")) for t, half in ((0, 0), (1, 1), (2, 0), (3, 1))])
-    cells = points.select(F.explode(tables).alias("t"), "*").select("t.key", *points.columns)
-    found = cells.repartition("key").sortWithinPartitions("key", "image_id").mapInArrow(_matches, MATCH)
+    points = materialize(points.withColumn("row", F.monotonically_increasing_id()), "keypoints")
+    words = [F.xxhash64(F.lit(w), F.shiftrightunsigned(f"d{w // 2}", 32 * (w % 2)).bitwiseAND(F.lit(0xFFFFFFFF))) for w in range(WORDS)]
+    cells = points.select("row", F.posexplode(F.array(*words)).alias("word", "key"))
+    # a key can only be crowded if its bucket of keys is
+    bucket = F.pmod("key", F.lit(1 << 16)).alias("bucket")
+    buckets = materialize(cells.groupBy(bucket).count().where(F.col("count") > CELL_ROWS).select("bucket"), "buckets")
+    crowded = cells.select("key", bucket).join(buckets, "bucket", "left_semi").groupBy("key").count().where(F.col("count") > CELL_ROWS)
+    crowded = materialize(crowded.select("key", F.ceil(F.col("count") / CELL_ROWS).alias("blocks")), "crowded")
+    blocks = F.coalesce("blocks", F.lit(1))
+    dealt = cells.join(crowded, "key", "left").withColumn("block", F.pmod(F.xxhash64("row"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
+    unit = F.when(blocks == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")))
+    units = dealt.select(unit.alias("unit"), (side * WORDS + F.col("word")).alias("mark"), "row")
+    # most words occur once: only rows that meet another one get their descriptors
+    shared = units.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("unit"))).where("n > 1").drop("n")
+    full = shared.join(points, "row").select("unit", "mark", "image_id", "place", "d0", "d1", "d2", "d3")
+    found = full.repartition("unit").sortWithinPartitions("unit").mapInArrow(_matches, MATCH)
+    # pairs of fewer than INLIERS matches have no vote of so many
+    pairs = found.groupBy("a", "b").agg(F.collect_list(F.struct("place", "turn", "zoom", "dx", "dy")).alias("m")).where(F.size("m") >= INLIERS).select("a", "b", F.explode("m").alias("m")).select("a", "b", "m.*")
     # each match votes on two offset grids per axis, so that no placement lies on a border of both
     grids = F.explode(F.array(*[F.struct(F.floor(F.col("dx") / SHIFT + gx).alias("gx"), F.floor(F.col("dy") / SHIFT + gy).alias("gy"), F.lit(2 * int(2 * gx) + int(2 * gy)).alias("g")) for gx in (0.0, 0.5) for gy in (0.0, 0.5)]))
-    votes = found.select("a", "b", "x", "y", F.round(F.col("turn") / TURN).alias("turn"), F.round(F.col("zoom") / ZOOM).alias("zoom"), grids.alias("v")).select("a", "b", "x", "y", "turn", "zoom", "v.*").distinct()
+    votes = pairs.select("a", "b", "place", "turn", "zoom", grids.alias("v")).select("a", "b", "place", "turn", "zoom", "v.*").distinct()
     return votes.groupBy("a", "b", "turn", "zoom", "gx", "gy", "g").count().where(F.col("count") >= INLIERS).groupBy("a", "b").agg(F.max("count").alias("inliers"))
 
 

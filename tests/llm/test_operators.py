@@ -237,6 +237,39 @@ def test_image_copies(spark, small):
     assert images.image_copies(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("cell_rows", [images.CELL_ROWS, 5])
+def test_image_links_in_crowded_cells(spark, monkeypatch, cell_rows):
+    """Many edits of few pictures under unrelated ids: all pairs that brute force over all descriptors links."""
+    monkeypatch.setattr(images, "CELL_ROWS", cell_rows)
+    random_ = np.random.default_rng(11)
+    pictures = []
+    for k in range(3):
+        drawn = images._drawn(random_.normal(size=16), images.SIDE)
+        base = 128 + 60 * drawn / drawn.std()
+        pictures += [(k, np.clip(base + random_.normal(0, 4, base.shape), 0, 255).astype(np.uint8)) for _ in range(20)]
+    ids = random_.permutation(1000)[: len(pictures)].tolist()
+    n, shape, bits = images.describe(np.stack([p for _, p in pictures]))
+    word = bits.view("<u4")
+    links = set()
+    for a in range(len(ids)):
+        for b in range(a):
+            i, j = np.flatnonzero(n == a), np.flatnonzero(n == b)
+            near = (np.bitwise_count(bits[i][:, None] ^ bits[j][None]).sum(2) <= images.HAMMING) & (word[i][:, None] == word[j][None]).any(2)
+            u, v = np.nonzero(near)
+            votes = Counter((x, y) for x, y in {(tuple(np.rint(shape[j[q], :2])), tuple(np.rint((shape[i[p], :2] - shape[j[q], :2]) / 4))) for p, q in zip(u, v, strict=True)})
+            if Counter(d for _, d in votes).most_common(1)[:1] and max(Counter(d for _, d in votes).values()) >= 8:
+                links.add((min(ids[a], ids[b]), max(ids[a], ids[b])))
+    assert len(links) > 500
+    media = spark.createDataFrame([(i, p.tobytes()) for i, (_, p) in zip(ids, pictures, strict=True)], "image_id long, pixels binary")
+    found = {(r.a, r.b) for r in images.links(images.keypoints(media)).collect()}
+    assert links <= found
+    least = {k: min(i for i, (g, _) in zip(ids, pictures, strict=True) if g == k) for k in range(3)}
+    group = {i: least[k] for i, (k, _) in zip(ids, pictures, strict=True)}
+    assert all(group[a] == group[b] for a, b in found)
+    degree = Counter(i for pair in found for i in pair)
+    assert all((r.component_id, r.n_links) == (group[r.image_id], degree[r.image_id]) for r in images.image_copies(media).collect())
+
+
 # 6
 
 
