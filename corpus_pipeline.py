@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import mixing, packing, quality, simhash, surrogates
+from postmill.llm import mixing, packing, quality, similar, surrogates
 from postmill.llm.shared import materialize
 
 
@@ -19,8 +19,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays, that of the smallest doc_id."""
-    return simhash.one_of_each(docs)
+    """One document of each group stays, that of the smallest doc_id: groups of five-word shingles at 0.8 and of op9's links."""
+    return similar.one_of_each(docs)
 
 
 def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

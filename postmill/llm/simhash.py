@@ -34,13 +34,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def _signatures(data: np.ndarray, offsets: np.ndarray, k: int) -> np.ndarray:
-    """The fingerprints of the rows of one chunk."""
+def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The XXH64 of all k-word shingles of the rows of one chunk, and their number in each row."""
     n_rows = len(offsets) - 1
-    out = np.zeros(n_rows, np.uint64)
     starts, ends, rows = W.spans(data, offsets)
     if not len(starts):
-        return out
+        return np.zeros(0, np.uint64), np.zeros(n_rows, np.int64)
     data = LOWER[data]
     keep = ~W.IS_SEPARATOR[data]
     gaps = ends[:-1][rows[:-1] == rows[1:]]
@@ -56,6 +55,12 @@ def _signatures(data: np.ndarray, offsets: np.ndarray, k: int) -> np.ndarray:
     last = np.minimum(first + k - 1, np.repeat(bounds[1:], n_shingles) - 1)
     digest = xxhash.xxh64_intdigest
     values = np.fromiter((digest(text[a:b], SEED) for a, b in zip(starts[first].tolist(), ends[last].tolist(), strict=True)), np.uint64, len(first))
+    return values, n_shingles
+
+
+def signatures(values: np.ndarray, n_shingles: np.ndarray) -> np.ndarray:
+    """The fingerprints of rows of shingles."""
+    out = np.zeros(len(n_shingles), np.uint64)
     some = np.flatnonzero(n_shingles)
     cuts = np.r_[0, np.cumsum(n_shingles[some])]
     for a in range(0, len(some), 64):  # few rows at a time: the bits take 64 bytes a shingle
@@ -71,7 +76,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", k: int = SHINGLE) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_signatures(data, offsets, k) for _, data, offsets in W.chunks(batch.column(1))]
+            found = [signatures(*shingles(data, offsets, k)) for _, data, offsets in W.chunks(batch.column(1))]
             yield pa.record_batch([batch.column(0), pa.array(np.concatenate(found).view(np.int64) if found else [], pa.int64())], names=["id", "fp"])
 
     return docs.select(F.col(id_column).cast("long"), "text").mapInArrow(run, "id long, fp long")
@@ -196,9 +201,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", k: int = SHINGLE
     one row. Null ids share in a component but don't name it (a component of null ids only has a null component_id).
     Repeated rows return as often as they occur; extra columns are not read; an empty table gives an empty table.
     """
-    marked = materialize(fingerprints(docs, id_column, k), "fingerprints")
+    return grouped(materialize(fingerprints(docs, id_column, k), "fingerprints"), distance)
+
+
+def grouped(marked: DataFrame, distance: int = DISTANCE, more: DataFrame | None = None) -> DataFrame:
+    """near_duplicates() of rows (id, fp) in a table; more holds further links (a, b) of fingerprints."""
     distinct = materialize(marked.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
-    roots = components(links(distinct.select("fp"), distance)).withColumnRenamed("node", "fp")
+    near = links(distinct.select("fp"), distance)
+    roots = components(near if more is None else near.unionByName(more)).withColumnRenamed("node", "fp")
     named = roots.join(distinct, "fp")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     reached = named.join(least, "root").select("fp", "component_id")
@@ -212,7 +222,11 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", k: int = SHINGLE, di
 
     Rows of one id and text are one document. Rows with a null id stay only if their component has no id.
     """
-    found = near_duplicates(docs, id_column, k, distance)
+    return named_rows(docs, near_duplicates(docs, id_column, k, distance), id_column)
+
+
+def named_rows(docs: DataFrame, found: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """The rows of docs whose id names their component in found (id, component_id)."""
     kept = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id")).distinct()
     rows = docs.select(F.struct("*").alias("_row"), F.col(id_column).alias("_key"), F.xxhash64("text").alias("_text"))
     return rows.join(kept, F.col("_key").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["_key", "_text"]).select("_row.*")

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from postmill.llm import components, encode, images, langid, mixing, packing, quality, queries, simhash, substring, surrogates, tokenfile, warczip
+from postmill.llm import components, encode, images, langid, mixing, packing, quality, queries, similar, simhash, substring, surrogates, tokenfile, warczip
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -377,6 +377,44 @@ def test_components_of_a_path(spark):
     assert {(r.node, r.root) for r in components.components(edges).collect()} == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}
 
 
+def test_similar_documents_brute_force(spark, small, docs):
+    """Of all documents that reach 0.8 on five-word shingles, also over chains, and of op9's groups, the pipeline keeps one."""
+    random.seed(9)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    longest = sorted(texts, key=lambda i: -len(texts[i].split()))
+    extra = 10_000
+    for i in longest[20:50]:
+        words = texts[i].split()[:300]
+        for _ in range(3):
+            at = random.sample(range(len(words)), max(1, len(words) // 60))
+            words = ["new" + str(random.random()) if j in at else w for j, w in enumerate(words)]
+            texts[extra] = " ".join(words)
+            extra += 1
+    lower = {i: WORDS.findall(re.sub("[A-Z]", lambda m: m.group().lower(), t)) for i, t in texts.items()}
+    sets = {i: {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} for i, w in lower.items() if w}
+    fps = {i: _fingerprint(t) for i, t in texts.items()}
+    closed = _closure(set(fps.values()))
+    root = {i: i for i in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids, similar_pairs = sorted(texts), 0
+    for a in ids:
+        for b in ids:
+            if a < b and (closed[fps[a]] == closed[fps[b]] or (a in sets and b in sets and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))):
+                similar_pairs += closed[fps[a]] != closed[fps[b]]
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    assert similar_pairs > 30
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, rows, small).collect()) == sorted({find(i) for i in ids})
+    cells = similar.links(rows, similar.materialize(similar.sketches(rows), "sketches"))
+    assert cells.count() >= 30
+
+
 # 10
 
 
