@@ -78,9 +78,19 @@ def same_employer(a: Column, b: Column) -> Column:
 
 
 def nearest_name(rows: DataFrame, names: DataFrame, most: int = 2) -> DataFrame:
-    """The nearest known name within an edit distance, among those of the same first letter and nearly the same length."""
+    """The nearest known name within an edit distance.
+
+    Exact candidates: of most + 1 pieces of a name, one stands unchanged in any name within the distance, shifted by at most
+    that distance. Names meet on (length, number of the piece, piece), then are compared.
+    """
     r, n = rows.select("name").distinct(), names.select(F.col("name").alias("known")).distinct()
-    near = r.join(n, F.substring(F.lower("name"), 1, 1) == F.substring(F.lower("known"), 1, 1)).where(F.abs(F.length("name") - F.length("known")) <= most).withColumn("distance", F.levenshtein(F.lower("name"), F.lower("known"), most)).where("distance >= 0")
+    k = most + 1
+    cut = lambda l, i: f"CAST(floor({i} * {l} / {k}) AS INT)"
+    own = F.expr(f"transform(sequence(0, {most}), i -> struct(length(lower(name)) AS l, i AS i, substr(lower(name), {cut('length(lower(name))', 'i')} + 1, {cut('length(lower(name))', '(i + 1)')} - {cut('length(lower(name))', 'i')}) AS piece))")
+    places = f"flatten(transform(sequence(greatest(0, length(lower(known)) - {most}), length(lower(known)) + {most}), l -> flatten(transform(sequence(0, {most}), i -> transform(sequence(-{most}, {most}), s -> struct(l AS l, i AS i, {cut('l', 'i')} + 1 + s AS at, {cut('l', '(i + 1)')} - {cut('l', 'i')} AS n))))))"
+    theirs = F.expr(f"array_distinct(transform(filter({places}, p -> p.at >= 1), p -> struct(p.l AS l, p.i AS i, substr(lower(known), p.at, p.n) AS piece)))")
+    pairs = r.select("name", F.explode(own).alias("p")).select("name", "p.*").join(n.select("known", F.explode(theirs).alias("p")).select("known", "p.*"), ["l", "i", "piece"]).select("name", "known").distinct()
+    near = pairs.withColumn("distance", F.levenshtein(F.lower("name"), F.lower("known"), most)).where("distance >= 0")
     return near.groupBy("name").agg(F.min_by("known", F.struct("distance", "known")).alias("known"), F.min("distance").alias("distance"))
 
 

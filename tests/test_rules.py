@@ -175,3 +175,20 @@ def test_streams_equal_their_batches(spark, small, tmp_path):
     q = streams.land(source, str(tmp_path / "bronze"), str(tmp_path / "x1"))
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == events.count()
+
+
+def test_nearest_name_with_any_edit(spark):
+    known = ["Acme 5", "Globex", "Initech Labs", "ab", "x"]
+    names = ["Xcme 5", "cme 5", "AAcme 5", "acme 5", "Qlobexx", "obex", "itech Labs", "Initech Lab", "ba", "", "nothing"]
+    found = {r.name: r.distance for r in enrich.nearest_name(spark.createDataFrame([(x,) for x in names], "name string"), spark.createDataFrame([(x,) for x in known], "name string")).collect()}
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    least = {a: min(distance(a.lower(), b.lower()) for b in known) for a in names}
+    assert found == {a: d for a, d in least.items() if d <= 2}
