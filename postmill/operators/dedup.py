@@ -93,8 +93,11 @@ def similar_titles(titles: DataFrame, threshold: float = 0.7) -> DataFrame:
     return both.select("a", "b", score.alias("score")).where(F.col("score") >= threshold)
 
 
-def duplicate_groups(pairs: DataFrame, rounds: int = 50) -> DataFrame:
-    """Id and the smallest id of its group, by minimum labels over pairs until nothing changes; each round is checkpointed."""
+def duplicate_groups(pairs: DataFrame) -> DataFrame:
+    """Id and the smallest id of its group, by minimum labels over pairs until nothing changes; each round is checkpointed.
+
+    After each hop a label gives way to its own label, so long chains take few rounds.
+    """
     edges = pairs.select(F.col("a"), F.col("b")).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     spark = pairs.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -103,13 +106,13 @@ def duplicate_groups(pairs: DataFrame, rounds: int = 50) -> DataFrame:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
     edges = edges.checkpoint()
     labels = edges.select(F.col("a").alias("id"), F.col("a").alias("group")).distinct()
-    for _ in range(rounds):
+    while True:
         least = edges.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("group").alias("m"))
         new = labels.join(least, F.col("id") == F.col("a"), "left").select("id", F.least("group", F.coalesce("m", "group")).alias("group"), (F.coalesce(F.col("m"), F.col("group")) < F.col("group")).alias("moved")).checkpoint()
-        labels = new.select("id", "group")
         if new.where("moved").isEmpty():
-            break
-    return labels
+            return new.select("id", "group")
+        far = new.select(F.col("id").alias("_id"), F.col("group").alias("_far"))
+        labels = new.join(far, F.col("group") == F.col("_id")).select("id", F.col("_far").alias("group")).checkpoint()
 
 
 def corpus_stats(titles: DataFrame) -> DataFrame:

@@ -192,3 +192,8 @@ def test_nearest_name_with_any_edit(spark):
 
     least = {a: min(distance(a.lower(), b.lower()) for b in known) for a in names}
     assert found == {a: d for a, d in least.items() if d <= 2}
+
+
+def test_duplicate_groups_of_a_long_chain(spark):
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(120)] + [(200, 201)], "a long, b long")
+    assert {(r.id, r.group) for r in dedup.duplicate_groups(pairs).collect()} == {(i, 0) for i in range(121)} | {(200, 200), (201, 200)}
