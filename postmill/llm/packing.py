@@ -175,11 +175,11 @@ def cut(docs: DataFrame, path: str, capacity: int = SEQUENCE, end_id: int = END_
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, size = encoder(path).encode, end_id.to_bytes(4, "little"), 4 * capacity
+        encode, end, size = encoder(path).encode_all, end_id.to_bytes(4, "little"), 4 * capacity
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = encode(text.as_py()) + end
+            for doc_id, found in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
+                data = found + end
                 for a in range(0, len(data), size):
                     part = data[a : a + size]
                     rows.append((doc_id, a // size, a // 4, len(part) // 4, zlib.crc32(part), part))

@@ -38,14 +38,17 @@ def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> byte
 
 
 def sample_ids(docs: DataFrame, path: str, end_id: int, documents: int = SAMPLE_DOCUMENTS) -> list[bytes]:
-    """Ids of at most `documents` texts, those of smallest hash of doc_id, of which the short ones count (bounded: 8 MB)."""
+    """Ids of about `documents` random texts, of which those of at most SAMPLE_TOKENS count (so the driver gets some 8 MB).
+
+    The share is set by the number of rows; texts are drawn where they are read and never shuffled.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = struct.pack("<I", end_id)
         for batch in batches:
-            found = [encoder(path).encode(t) + end for t in batch.column(0).to_pylist()]
+            found = [x + end for x in encoder(path).encode_all(batch.column(0))]
             yield pa.record_batch([pa.array([x for x in found if len(x) <= 4 * SAMPLE_TOKENS], pa.binary())], names=["ids"])
 
-    chosen = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents).select("text")
+    chosen = docs.select("text").sample(min(1.0, documents / max(1, docs.count())), seed=5)
     return sorted(bytes(r.ids) for r in chosen.mapInArrow(run, "ids binary").collect())
 
 
@@ -65,7 +68,7 @@ def write_files(docs: DataFrame, path: str, end_id: int, folder: str, dictionary
         context = TaskContext.get()
         part, file = context.partitionId(), f"{folder}/part-{context.partitionId():06d}-{context.taskAttemptId()}.tokz"
         fs, root = open_fs(file)
-        encode, end = encoder(path).encode, struct.pack("<I", end_id)
+        encode, end = encoder(path).encode_all, struct.pack("<I", end_id)
         compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary)).compress
         place, index, tokens = struct.calcsize(HEADER), [], 0
         first = next((b for b in batches if b.num_rows), None)
@@ -74,8 +77,8 @@ def write_files(docs: DataFrame, path: str, end_id: int, folder: str, dictionary
         with fs.open_output_stream(root) as out:
             out.write(struct.pack(HEADER, MAGIC, VERSION, name))
             while first is not None:
-                for doc_id, text in zip(first.column(0).to_pylist(), first.column(1), strict=True):
-                    ids = encode(text.as_py()) + end
+                for doc_id, found in zip(first.column(0).to_pylist(), encode(first.column(1)), strict=True):
+                    ids = found + end
                     frame = compress(ids)
                     out.write(frame)
                     index.append((doc_id or 0, doc_id is None, place, len(frame), len(ids) // 4))
