@@ -1,14 +1,20 @@
-"""SimHash near-duplicates: fingerprints, a segment-popcount grid join, and components.
+"""SimHash near-duplicates: fingerprints, a segment-popcount grid range-join, and components.
 
 A 64-bit fingerprint maps to the bit counts of its 32 two-bit segments. The Manhattan distance of two such count vectors is
-at most the Hamming distance of the fingerprints, so it is a lower bound. For distance d the segments are cut into B > d
-blocks; then at least B - d blocks have Manhattan distance 0, so two fingerprints within d share a grid cell for one of the
-C(B, d) choices of blocks. Each distinct fingerprint joins its cells; inside a cell only neighbours whose whole bit count (the
-coarsest segment) is within d are compared, exactly. B grows with the number of fingerprints to keep cells small.
+at most the Hamming distance of the fingerprints, so it is a lower bound. Written in unary (a segment's bits sorted), counts
+have their Manhattan distance as the Hamming distance of the codes.
+
+The grid: for distance d the segments are cut into B > d blocks, of which at least B - d agree, so two fingerprints within d
+agree on the counts of one of the C(B, d) choices of blocks; the last coordinate is the sum of the counts of all segments, in
+steps of d + 1, and sums within d lie in one step or two adjoining ones. A cell is a choice, its counts, and a step; each
+distinct fingerprint joins the cells of its own step and of the next one. (Cells of a wider range on the chosen counts would
+serve too, but to reach a like number of pairs they take many times the rows: 35 a fingerprint for one pair in 1,000 with
+three blocks and neighbours at distance 1, against 15 for one in 4,400 with six blocks that agree.) Inside a cell, only pairs whose sums,
+and then whose count vectors, are within d are compared exactly. B grows with the number of fingerprints to keep cells small.
 
 Cells emit links, not pairs: runs of up to 64 rows emit their pairs, larger ones a spanning forest of their links. A cell of
-more than CELL_ROWS fingerprints is not compared in one task: its fingerprints go by midpoints instead, since two
-fingerprints within 4 bits have a common value within 2 bits of each.
+more than CELL_ROWS fingerprints is more than a task should hold: its fingerprints go by midpoints instead, which gives the same
+classes, since two fingerprints within an even d have a common value within d / 2 of each.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm import words as W
@@ -94,18 +100,36 @@ def choose_blocks(n: int, distance: int) -> int:
     return min(range(distance + 2, distance + 8), key=cost)
 
 
+def unary(fp: Column) -> Column:
+    """The bit counts of the two-bit segments in unary: each segment's bits sorted."""
+    even = F.lit(0x5555555555555555)
+    high, low = F.shiftrightunsigned(fp, 1).bitwiseAND(even), fp.bitwiseAND(even)
+    return high.bitwiseOR(low).bitwiseOR(F.shiftleft(high.bitwiseAND(low), 1))
+
+
+def _unary(fp: np.ndarray) -> np.ndarray:
+    even = np.uint64(0x5555555555555555)
+    high, low = fp >> np.uint64(1) & even, fp & even
+    return high | low | (high & low) << np.uint64(1)
+
+
 def _cells(fps: DataFrame, blocks: int, distance: int) -> DataFrame:
-    """cell, ones, fp: each fingerprint once for each choice of blocks - distance blocks."""
-    even = 0x5555555555555555
-    shifted = F.shiftrightunsigned("fp", 1)
-    counts = F.shiftleft(shifted.bitwiseAND(F.col("fp")).bitwiseAND(F.lit(even)), 1).bitwiseOR(shifted.bitwiseXOR(F.col("fp")).bitwiseAND(F.lit(even)))
+    """cell, ones, fp: each fingerprint twice for each choice of blocks - distance blocks: in its step of the sum and the next."""
     edges = [SEGMENTS * i // blocks for i in range(blocks + 1)]
     masks = [sum(3 << (2 * s) for s in range(edges[i], edges[i + 1])) for i in range(blocks)]
-    keys = []
+    step, keys = F.floor(F.bit_count("fp") / (distance + 1)), []
     for number, chosen in enumerate(combinations(range(blocks), blocks - distance)):
         mask = sum(masks[i] for i in chosen)
-        keys.append(F.xxhash64(F.lit(number), counts.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))))
-    return fps.select(F.explode(F.array(*keys)).alias("cell"), F.bit_count("fp").alias("ones"), "fp")
+        counts = F.col("code").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+        keys += [F.xxhash64(F.lit(number), counts, step + i) for i in (0, 1)]
+    return fps.withColumn("code", unary(F.col("fp"))).select(F.explode(F.array(*keys)).alias("cell"), F.bit_count("fp").alias("ones"), "fp")
+
+
+def _within(a: np.ndarray, b: np.ndarray, distance: int) -> np.ndarray:
+    """Whether fingerprints are within the distance: the bound first, the fingerprints where it holds."""
+    out = np.bitwise_count(_unary(a) ^ _unary(b)) <= distance
+    out[out] = np.bitwise_count((a ^ b)[out]) <= distance
+    return out
 
 
 def _forest(fp: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -115,7 +139,7 @@ def _forest(fp: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndar
         front, left = [left[0]], left[1:]
         while front and len(left):
             one = front.pop()
-            near = np.bitwise_count(left ^ one) <= distance
+            near = _within(left, one, distance)
             if near.any():
                 found, left = left[near], left[~near]
                 yield np.full(len(found), one), found
@@ -134,7 +158,7 @@ def _links(distance: int):
             place = place[(cell[place] == cell[place + lag]) & (ones[place + lag] - ones[place] <= distance)]
             if not len(place):
                 break
-            near = place[np.bitwise_count(fp[place] ^ fp[place + lag]) <= distance]
+            near = place[_within(fp[place], fp[place + lag], distance)]
             yield fp[near], fp[near + lag]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,6 +205,8 @@ def _midpoint_links(fps: DataFrame, distance: int) -> DataFrame:
 
 def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """a, b: links among distinct fingerprints (fp) whose closure is that of all pairs within the distance."""
+    if distance % 2:
+        raise ValueError("the distance must be even: an odd one has no midpoints")
     blocks = choose_blocks(fps.count(), distance)
     cells = _cells(fps, blocks, distance).repartition("cell").sortWithinPartitions("cell", "ones")
     found = materialize(cells.mapInArrow(_links(distance), "a long, b long"), "links")
@@ -188,8 +214,6 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     near = found.where("a <> b")
     if large.isEmpty():
         return near
-    if distance % 2:
-        raise ValueError("an odd distance has no midpoints")
     return near.unionByName(_midpoint_links(large, distance))
 
 
@@ -201,14 +225,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", k: int = SHINGLE
     one row. Null ids share in a component but don't name it (a component of null ids only has a null component_id).
     Repeated rows return as often as they occur; extra columns are not read; an empty table gives an empty table.
     """
-    return grouped(materialize(fingerprints(docs, id_column, k), "fingerprints"), distance)
+    marked = materialize(fingerprints(docs, id_column, k), "fingerprints")
+    return grouped(marked, links(materialize(marked.select("fp").distinct(), "distinct"), distance))
 
 
-def grouped(marked: DataFrame, distance: int = DISTANCE, more: DataFrame | None = None) -> DataFrame:
-    """near_duplicates() of rows (id, fp) in a table; more holds further links (a, b) of fingerprints."""
+def grouped(marked: DataFrame, near: DataFrame) -> DataFrame:
+    """near_duplicates() of rows (id, fp) in a table, given the links (a, b) of fingerprints."""
     distinct = materialize(marked.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
-    near = links(distinct.select("fp"), distance)
-    roots = components(near if more is None else near.unionByName(more)).withColumnRenamed("node", "fp")
+    roots = components(near).withColumnRenamed("node", "fp")
     named = roots.join(distinct, "fp")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     reached = named.join(least, "root").select("fp", "component_id")
@@ -228,5 +252,11 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", k: int = SHINGLE, di
 def named_rows(docs: DataFrame, found: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """The rows of docs whose id names their component in found (id, component_id)."""
     kept = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.col(id_column).alias("_key"), F.xxhash64("text").alias("_text"))
-    return rows.join(kept, F.col("_key").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["_key", "_text"]).select("_row.*")
+    key = [F.col(id_column).alias("_key"), F.xxhash64("text").alias("_text")]
+    # rows of one id and text are one document; only such rows are shuffled to merge them
+    again = materialize(docs.select(*key).groupBy("_key", "_text").count().where("count > 1").drop("count"), "again")
+    rows = docs.select(F.struct("*").alias("_row"), *key).join(kept, F.col("_key").eqNullSafe(F.col("_id")), "left_semi")
+    if again.isEmpty():
+        return rows.select("_row.*")
+    same = rows["_key"].eqNullSafe(again["_key"]) & rows["_text"].eqNullSafe(again["_text"])
+    return rows.join(again, same, "left_anti").unionByName(rows.join(again, same, "left_semi").dropDuplicates(["_key", "_text"])).select("_row.*")

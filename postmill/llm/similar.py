@@ -1,9 +1,15 @@
 """Documents whose sets of five-word shingles have a Jaccard similarity of at least 0.8, beside those that op9 links.
 
-Candidates share one of BANDS bands of BAND_ROWS minimum hashes: a pair at 0.8 is missed with probability
-(1 - 0.8 ** 5) ** 32 = 3e-6, a more similar one with less. Candidates are verified on the whole sets. A band's cell is first
-verified as a chain; then, of cells that still hold several components, all pairs of rows of different
-components are verified, so the components are those of all candidate pairs.
+Fingerprints of 64 bits can't find such pairs: at 0.8 they differ in ten bits, where no grid is selective. So candidates come
+from minimum hashes: a sketch holds VALUES of them, cut to 16 bits; four make a band, and texts that share one of the bands are
+candidates (a pair at 0.8 shares none with probability (1 - 0.8 ** 4) ** 16 = 2e-4, a more similar one with less). Pairs whose
+sketches agree in ESTIMATE of their values or more (three standard deviations below 0.8) are verified on the whole sets.
+
+Texts that op9 links are one class from the start, and only pairs of different classes are looked at. In a band's cell of up to
+PAIRWISE_ROWS texts all pairs are; a larger one is dealt into blocks, in which each text meets its neighbours in a random order,
+in ROUNDS rounds with another order each, and classes grow by the links found. What is then still apart in a cell is certified:
+each text outside the cell's largest class meets all texts of other classes. So links that merge nothing are not looked for,
+and no group's pairs are listed.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm import simhash
@@ -20,9 +26,11 @@ from postmill.llm import words as W
 from postmill.llm.components import components
 from postmill.llm.shared import materialize
 
-SIMILARITY, BANDS, BAND_ROWS = 0.8, 32, 5
+SIMILARITY, ESTIMATE = 0.8, 0.65
+VALUES, BAND = 64, 4
+PAIRWISE_ROWS, NEIGHBOURS, CELL_ROWS, ROUNDS = 32, 2, 4096, 3
 _random = np.random.default_rng(8)
-SEEDS, FACTORS = (_random.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64) | np.uint64(1) for _ in range(2))
+SEEDS, FACTORS = (_random.integers(0, 1 << 64, VALUES, np.uint64) | np.uint64(1) for _ in range(2))
 
 
 def five_word(values: np.ndarray, n_shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -38,39 +46,37 @@ def five_word(values: np.ndarray, n_shingles: np.ndarray) -> tuple[np.ndarray, n
     return np.where(single, values, mixed)[pair | single], np.where(n_shingles > 1, n_shingles - 1, n_shingles)
 
 
-def _bands(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The bands of the rows that have shingles."""
+def _sketches(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sketches (VALUES numbers of 16 bits) of the rows that have shingles."""
     starts = np.r_[0, np.cumsum(counts[counts > 0])[:-1]]
-    out = np.zeros((len(starts), BANDS), np.uint64)
-    for number in range(BANDS * BAND_ROWS):
+    out = np.zeros((len(starts), VALUES), np.uint16)
+    for number in range(VALUES):
         hashed = (values ^ SEEDS[number]) * FACTORS[number]
         least = np.minimum.reduceat(hashed ^ (hashed >> np.uint64(32)), starts)
-        band = out[:, number // BAND_ROWS]
-        band[:] = (band ^ least) * np.uint64(0x9E3779B97F4A7C15)
-        band ^= band >> np.uint64(32)
+        out[:, number] = W.mix(least).astype(np.uint16)
     return out
 
 
 def sketches(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """id, h (hash of the text), fp (op9's fingerprint), bands (none for a text without words)."""
+    """id, h (hash of the text), fp (op9's fingerprint), sketch: a long for each band (none for a text without words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, bands, sizes = [], [], []
+            fps, found, sizes = [], [], []
             for _, data, offsets in W.chunks(batch.column(2)):
                 values, n = simhash.shingles(data, offsets, simhash.SHINGLE)
                 fps.append(simhash.signatures(values, n))
                 values, n = five_word(values, n)
-                sizes.append(np.where(n > 0, BANDS, 0))
+                sizes.append(np.where(n > 0, VALUES // BAND, 0))
                 if len(values):
-                    bands.append(_bands(values, n).ravel())
+                    found.append(_sketches(values, n).view(np.int64).ravel())
             if fps:
                 cuts = np.r_[0, np.cumsum(np.concatenate(sizes))].astype(np.int32)
-                flat = pa.array(np.concatenate(bands).view(np.int64) if bands else [], pa.int64())
+                flat = pa.array(np.concatenate(found) if found else [], pa.int64())
                 columns = [batch.column(0), batch.column(1), pa.array(np.concatenate(fps).view(np.int64)), pa.ListArray.from_arrays(pa.array(cuts), flat)]
-                yield pa.record_batch(columns, names=["id", "h", "fp", "bands"])
+                yield pa.record_batch(columns, names=["id", "h", "fp", "sketch"])
 
-    return docs.select(F.col(id_column).cast("long"), F.xxhash64("text"), "text").mapInArrow(run, "id long, h long, fp long, bands array<long>")
+    return docs.select(F.col(id_column).cast("long"), F.xxhash64("text"), "text").mapInArrow(run, "id long, h long, fp long, sketch array<long>")
 
 
 def sets(texts: DataFrame) -> DataFrame:
@@ -87,35 +93,122 @@ def sets(texts: DataFrame) -> DataFrame:
     return texts.select("h", "text").mapInArrow(run, "h long, items array<long>")
 
 
-def _verified(pairs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of similar sets."""
+PAIR = "a long, b long, ra long, rb long"
+
+
+def _pairs(h: np.ndarray, root: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    i, j = np.where(h[i] < h[j], i, j), np.where(h[i] < h[j], j, i)
+    return pa.record_batch([pa.array(x) for x in (h[i], h[j], root[i], root[j])], names=["a", "b", "ra", "rb"])
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Runs of whole units of rows (unit, h, root, sketch, probe) that are sorted by unit."""
+    def arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
+        sketch = batch.column(3).flatten().to_numpy(zero_copy_only=False)
+        return [*(batch.column(i).to_numpy() for i in range(3)), np.ascontiguousarray(sketch).view(np.uint16).reshape(-1, VALUES), batch.column(4).to_numpy(zero_copy_only=False)]
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = arrays(batch)
+        held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
+        last = int(np.searchsorted(held[0], held[0][-1]))
+        if last:
+            yield tuple(x[:last] for x in held)
+            held = [x[last:] for x in held]
+    if held is not None:
+        yield tuple(held)
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs of small units, and of each row of a larger one those with the rows before it; only likely ones of two classes."""
+    for unit, h, root, sketch, _ in _units(batches):
+        cuts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
+        sizes = np.diff(np.r_[cuts, len(unit)])
+        reach = np.repeat(np.where(sizes <= PAIRWISE_ROWS, sizes, NEIGHBOURS), sizes)
+        at = np.arange(len(unit))
+        for lag in range(1, PAIRWISE_ROWS):
+            at = at[at + lag < len(unit)]
+            at = at[(unit[at] == unit[at + lag]) & (lag <= reach[at])]
+            if not len(at):
+                break
+            apart = at[root[at] != root[at + lag]]
+            likely = apart[(sketch[apart] == sketch[apart + lag]).sum(1) >= ESTIMATE * VALUES]
+            if len(likely):
+                yield _pairs(h, root, likely, likely + lag)
+
+
+def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each unit, the likely pairs of its probes and its rows of other classes."""
+    for unit, h, root, sketch, probe in _units(batches):
+        cuts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1], True])
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            rows = a + np.flatnonzero(~probe[a:b])
+            for i in a + np.flatnonzero(probe[a:b]):
+                likely = rows[(root[rows] != root[i]) & ((sketch[rows] == sketch[i]).sum(1) >= ESTIMATE * VALUES)]
+                if len(likely):
+                    yield _pairs(h, root, np.full(len(likely), i), likely)
+
+
+def _dealt(rows: DataFrame, salt: int) -> DataFrame:
+    """rows with their number of blocks and their block."""
+    blocks = F.ceil(F.col("n") / CELL_ROWS)
+    return rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("h", F.lit(salt)), F.col("blocks")))
+
+
+def _meet(rows: DataFrame, salt: int) -> DataFrame:
+    unit = F.xxhash64("cell", "block").alias("unit")
+    dealt = _dealt(rows, salt).select(unit, "h", "root", "sketch", F.lit(False).alias("probe"), F.xxhash64("h", "cell", F.lit(salt)).alias("place"))
+    return dealt.repartition("unit").sortWithinPartitions("unit", "place").drop("place").mapInArrow(_neighbours, PAIR).distinct()
+
+
+def _certify(rows: DataFrame, tops: DataFrame) -> DataFrame:
+    unit = lambda b: F.xxhash64("cell", b).alias("unit")
+    dealt = _dealt(rows, ROUNDS)
+    homes = dealt.select(unit("block"), "h", "root", "sketch", F.lit(False).alias("probe"))
+    outer = dealt.join(tops, "cell").where("root <> top").withColumn("each", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    both = homes.unionByName(outer.select(unit("each"), "h", "root", "sketch", F.lit(True).alias("probe")))
+    return both.repartition("unit").sortWithinPartitions("unit").mapInArrow(_probes, PAIR).distinct()
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """a, b: the classes of the pairs whose whole sets are similar."""
+    pairs = materialize(pairs, "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    texts = docs.select(F.xxhash64("text").alias("h"), "text").join(ends, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
+    items = materialize(sets(texts), "sets")
     a, b = (items.select(F.col("h").alias(x), F.col("items").alias(f"i{x}")) for x in "ab")
     both = F.size(F.array_intersect("ia", "ib"))
-    return pairs.join(a, "a").join(b, "b").where(F.least(F.size("ia"), F.size("ib")) >= similarity * F.greatest(F.size("ia"), F.size("ib")) - 1e-9).where(both >= similarity * (F.size("ia") + F.size("ib") - both) - 1e-9).select("a", "b")
-
-
-def links(docs: DataFrame, marked: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """a, b: links among hashes of texts, whose closure is that of all similar pairs that share a band; marked is a table."""
-    distinct = marked.groupBy("h").agg(F.first("bands").alias("bands"))
-    rows = materialize(distinct.select("h", F.posexplode("bands").alias("number", "value")).select(F.xxhash64("number", "value").alias("cell"), "h"), "bands")
-    before = F.lag("h").over(Window.partitionBy("cell").orderBy("h"))
-    chain = materialize(rows.withColumn("a", before).where("a IS NOT NULL").select("a", F.col("h").alias("b")).distinct(), "chain")
-    ends = chain.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    texts = docs.select(F.xxhash64("text").alias("h"), "text").groupBy("h").agg(F.first("text").alias("text"))
-    items = materialize(sets(texts.join(ends, "h", "left_semi")), "sets")
-    first = materialize(_verified(chain, items, similarity), "similar")
-    named = rows.join(components(first).select(F.col("node").alias("h"), "root"), "h", "left").select("cell", "h", F.coalesce("root", "h").alias("root"))
-    open_ = named.groupBy("cell").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("cell")
-    named = materialize(named.join(open_, "cell", "left_semi"), "open")
-    a, b = (named.select("cell", F.col("h").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
-    rest = a.join(b, "cell").where("a < b AND ra <> rb").select("a", "b").distinct().join(chain, ["a", "b"], "left_anti")
-    return first.unionByName(materialize(_verified(rest, items, similarity), "similar"))
+    near = pairs.join(a, "a").join(b, "b").where(F.least(F.size("ia"), F.size("ib")) >= similarity * F.greatest(F.size("ia"), F.size("ib")) - 1e-9).where(both >= similarity * (F.size("ia") + F.size("ib") - both) - 1e-9)
+    return materialize(near.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "similar")
+
+
+def links(docs: DataFrame, marked: DataFrame, classes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """a, b: links among classes (fp, root: of fingerprints that op9 links; others are their own), whose closure is that of all
+    similar pairs that share a band. marked is a table of sketches()."""
+    texts = marked.groupBy("h").agg(F.first("fp").alias("fp"), F.first("sketch").alias("sketch")).where(F.size("sketch") > 0)
+    texts = materialize(texts.join(classes, "fp", "left").select("h", F.coalesce("root", "fp").alias("root"), "sketch"), "texts")
+    cells = texts.select("h", F.posexplode("sketch").alias("number", "value")).select(F.xxhash64("number", "value").alias("cell"), "h")
+    shared = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = materialize(cells.join(materialize(shared, "shared"), "cell").join(texts, "h"), "rows")
+    found = _verified(_meet(rows, 0), docs, similarity)
+    large = rows.where(F.col("n") > PAIRWISE_ROWS)
+    for salt in range(1, ROUNDS + 1):
+        now = components(found).withColumnRenamed("root", "new")
+        named = large.join(now, F.col("root") == F.col("node"), "left").withColumn("root", F.coalesce("new", "root")).select(*large.columns)
+        sizes = named.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("k"))
+        tops = materialize(sizes.groupBy("cell").agg(F.max_by("root", F.struct("k", "root")).alias("top"), F.count(F.lit(1)).alias("classes")).where("classes > 1").select("cell", "top"), "tops")
+        if tops.isEmpty():
+            break
+        large = materialize(named.join(tops.select("cell"), "cell", "left_semi"), "open")
+        found = found.unionByName(_verified(_meet(large, salt) if salt < ROUNDS else _certify(large, tops), docs, similarity))
+    return found
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """One document of each group of documents that are similar or that op9 links; which rows stay is as in simhash.one_of_each()."""
     marked = materialize(sketches(docs, id_column), "sketches")
-    prints = marked.select("h", "fp").distinct()
-    near = links(docs, marked, similarity)
-    more = near.join(prints.select(F.col("h").alias("a"), F.col("fp").alias("fa")), "a").join(prints.select(F.col("h").alias("b"), F.col("fp").alias("fb")), "b").select(F.col("fa").alias("a"), F.col("fb").alias("b"))
-    return simhash.named_rows(docs, simhash.grouped(marked.select("id", "fp"), more=more), id_column)
+    near = materialize(simhash.links(materialize(marked.select("fp").distinct(), "distinct")), "near")
+    more = links(docs, marked, components(near).withColumnRenamed("node", "fp"), similarity)
+    return simhash.named_rows(docs, simhash.grouped(marked.select("id", "fp"), near.unionByName(more)), id_column)

@@ -411,8 +411,6 @@ def test_similar_documents_brute_force(spark, small, docs):
     assert similar_pairs > 30
     rows = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, rows, small).collect()) == sorted({find(i) for i in ids})
-    cells = similar.links(rows, similar.materialize(similar.sketches(rows), "sketches"))
-    assert cells.count() >= 30
 
 
 # 10
@@ -436,3 +434,39 @@ def test_pipeline(spark, small, docs):
     hidden = {r.doc_id: r for r in corpus_pipeline.hide_private(spark, near, small).collect()}
     assert all(r.n_chars == len(r.text) for r in hidden.values())
     assert corpus_pipeline.run(spark, small).count() > 0
+
+
+@pytest.mark.parametrize("small_cells", [True, False])
+def test_similar_links_of_a_large_family(spark, monkeypatch, small_cells):
+    """Edits of one text, of which many pairs are similar and many are not: the classes of brute force, in any dealing of the cells."""
+    monkeypatch.setattr(similar, "PAIRWISE_ROWS", 8)
+    if small_cells:
+        monkeypatch.setattr(similar, "CELL_ROWS", 20)
+    random.seed(3)
+    base = [f"w{random.randrange(5000)}" for _ in range(200)]
+    texts = []
+    for _ in range(90):
+        words = list(base)
+        for _ in range(random.choice([1, 2, 3, 4, 6, 9])):
+            words[random.randrange(200)] = f"n{random.random()}"
+        texts.append(" ".join(words))
+    sets = [{tuple(t.split()[j : j + 5]) for j in range(196)} for t in texts]
+    near = {(i, j) for i in range(90) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert 200 < len(near) < 3500
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marked = similar.materialize(similar.sketches(rows), "sketches")
+    none = spark.createDataFrame([], "fp long, root long")
+    root = {r.node: r.root for r in components.components(similar.links(rows, marked, none)).collect()}
+    fp = {r.id: r.fp for r in marked.collect()}
+    ours, parent = [root.get(fp[i], fp[i]) for i in range(90)], list(range(90))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in near:
+        parent[find(i)] = find(j)
+    theirs = [find(i) for i in range(90)]
+    same = [(ours[i] == ours[j], theirs[i] == theirs[j]) for i in range(90) for j in range(i)]
+    assert all(a == b for a, b in same)
