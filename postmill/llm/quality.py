@@ -2,8 +2,9 @@
 
 Each line with a word is content or boilerplate. The field's scores are sums of weights of a line's discrete features and of
 the step from the label before; Viterbi decoding gives the best label sequence of a text, and the share of words in content
-lines decides. The weights are fitted by pseudo-likelihood (each label given its neighbours) on a bounded sample of labelled
-documents: lines of good ones are content unless they repeat an earlier line, lines of bad ones are boilerplate.
+lines decides. Weights and steps maximise the exact penalised likelihood (forward-backward) of a bounded sample of labelled
+documents. Lines of bad documents are boilerplate; those of good ones are content, but for lines that repeat an earlier one or
+stand in several documents of the sample (navigation, licences, shared passages), so labels change inside a document.
 """
 
 from __future__ import annotations
@@ -20,10 +21,9 @@ from postmill.llm import words as W
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MOST_REPEATED = 50, 50
-SAMPLE_DOCUMENTS = 2000
+#: bounds of the sample: documents, lines of a document (longer ones are not in the sample), documents that share a line
+SAMPLE_DOCUMENTS, SAMPLE_LINES, SHARED_LINE = 2000, 100, 3
 CONTENT_SHARE = 0.3
-#: bound of a step weight: most sample texts have one label throughout, which would let a single line decide a text
-MOST_STEP = 0.15
 IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[list(SYMBOLS.encode())] = True
 IS_UPPER, IS_LOWER, IS_DIGIT, IS_END, IS_MARK = (np.zeros(256, bool) for _ in range(5))
@@ -55,8 +55,8 @@ def _per_row(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(rows, weights=values, minlength=n).astype(np.int64)
 
 
-def measure(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Counts of each row; of each line with a word: its row, its features (classes), its words."""
+def measure(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of each row; of each line with a word: its row, its features (classes), its words, its hash."""
     n = len(offsets) - 1
     starts, ends, rows = W.spans(data, offsets)
     n_words = np.bincount(rows, minlength=n)
@@ -80,7 +80,8 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray
     next_break = np.r_[breaks, len(data)][np.searchsorted(breaks, a)]
     line_rows = rows[first_word]
     b = np.minimum(next_break, offsets[line_rows + 1])
-    key = W.mix(W.word_hashes(data, a, b, seed=11) ^ (line_rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) if len(a) else np.zeros(0, np.uint64)
+    line_keys = W.word_hashes(data, a, b, seed=11) if len(a) else np.zeros(0, np.uint64)
+    key = W.mix(line_keys ^ (line_rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
     duplicate = np.ones(len(a), bool)
     duplicate[np.unique(key, return_index=True)[1]] = False
 
@@ -107,7 +108,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray
         "n_words": n_words, "word_chars": points[offsets[1:]] - points[offsets[:-1]], "n_symbols": symbols[offsets[1:]] - symbols[offsets[:-1]],
         "n_dup_lines": _per_row(duplicate, line_rows, n), "n_repeat_words": _per_row(repeated, rows, n),
     }
-    return counts, line_rows, classes + np.r_[0, np.cumsum(list(SIZES.values()))[:-1]], line_words
+    return counts, line_rows, classes + np.r_[0, np.cumsum(list(SIZES.values()))[:-1]], line_words, line_keys
 
 
 def viterbi(field: Field, line_rows: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -132,58 +133,99 @@ def viterbi(field: Field, line_rows: np.ndarray, features: np.ndarray) -> np.nda
     return label
 
 
-def fit(rows: np.ndarray, features: np.ndarray, labels: np.ndarray, rounds: int = 300, penalty: float = 1e-3) -> Field:
-    """Weights that maximise the penalised pseudo-likelihood; lines of a row stand together."""
+def likelihood(field: Field, starts: np.ndarray, features: np.ndarray, labels: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The log likelihood of label sequences, and its slopes by weights and steps (forward-backward).
+
+    The lines of a sequence stand together from its start on; sequences are in descending order of length.
+    """
+    n = len(labels)
+    sizes = np.diff(np.r_[starts, n])
+    score = field.weights[features].sum(1)
+    at = [starts[: np.searchsorted(-sizes, -t)] + t for t in range(sizes[0])]
+    alpha, beta = score.copy(), np.zeros((n, 2))
+    for i in at[1:]:
+        alpha[i] += np.logaddexp(alpha[i - 1, :1] + field.steps[0], alpha[i - 1, 1:] + field.steps[1])
+    for i in at[:0:-1]:
+        after = score[i] + beta[i]
+        beta[i - 1] = np.logaddexp(field.steps[:, 0] + after[:, :1], field.steps[:, 1] + after[:, 1:])
+    last = starts + sizes - 1
+    total = np.logaddexp(alpha[last, 0], alpha[last, 1])
+    of_line = np.repeat(total, sizes)[:, None]
+    own = np.eye(2)[labels]
+    seen = own - np.exp(alpha + beta - of_line)
+    slopes = np.stack([np.bincount(features.ravel(), np.repeat(seen[:, y], features.shape[1]), N_FEATURES) for y in (0, 1)], 1)
+    later = np.setdiff1d(np.arange(n), starts)
+    pair = np.exp(alpha[later - 1][:, :, None] + field.steps + (score + beta)[later][:, None, :] - of_line[later][:, :, None])
+    steps = np.array([[np.sum((labels[later - 1] == a) & (labels[later] == b)) for b in (0, 1)] for a in (0, 1)]) - pair.sum(0)
+    value = score[np.arange(n), labels].sum() + field.steps[labels[later - 1], labels[later]].sum() - total.sum()
+    return float(value), slopes, steps
+
+
+def fit(rows: np.ndarray, features: np.ndarray, labels: np.ndarray, rounds: int = 300, penalty: float = 1.0) -> Field:
+    """The field that maximises the penalised likelihood; lines of a row stand together."""
     n = len(labels)
     if not n or labels.min() == labels.max():
         return Field.default()
-    signs = 2.0 * labels - 1
-    first, last = np.r_[True, rows[1:] != rows[:-1]], np.r_[rows[1:] != rows[:-1], True]
-    before, after = np.where(first, 0, np.r_[0, signs[:-1]]), np.where(last, 0, np.r_[signs[1:], 0])
-    design = np.zeros((n, N_FEATURES + 1))
-    np.put_along_axis(design, features, 1.0, axis=1)
-    design[:, -1] = before + after
-    w, pace = np.zeros(N_FEATURES + 1), 1e-6 * np.ones(N_FEATURES + 1)
-    # each class counts alike
-    weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())) / n
+    starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    sizes = np.diff(np.r_[starts, n])
+    longest = np.argsort(-sizes, kind="stable")
+    order = np.concatenate([np.arange(starts[i], starts[i] + sizes[i]) for i in longest])
+    starts = np.r_[0, np.cumsum(sizes[longest])[:-1]]
+    field = Field(np.zeros((N_FEATURES, 2)), np.zeros((2, 2)))
+    pace = [np.full(v.shape, 1e-9) for v in (field.weights, field.steps)]
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(2 * design @ w, -30, 30)))
-        slope = design.T @ (weight * 2 * (labels - p)) - penalty * w
-        pace += slope**2
-        w += 0.3 * slope / np.sqrt(pace)
-    half = min(w[-1] / 2, MOST_STEP)
-    return Field(np.stack([-w[:-1], w[:-1]], 1), np.array([[half, -half], [-half, half]]) * 2)
+        slopes = likelihood(field, starts, features[order], labels[order])[1:]
+        for value, slope, past in zip((field.weights, field.steps), slopes, pace, strict=True):
+            slope = (slope - penalty * value) / n
+            past += slope**2
+            value += 0.3 * slope / np.sqrt(past)
+    return field
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Field:
-    """A field from at most `sample` documents of docs (doc_id, text) that labels (doc_id, quality) covers; others if none match.
+def labelled_lines(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, features, label) of the lines of at most `sample` documents of docs (doc_id, text) that labels (doc_id, quality) covers.
 
-    The sample is those of smallest hash of doc_id. The lines' features, not the texts, reach the driver.
+    The documents are those of smallest hash of doc_id, but for those of more than SAMPLE_LINES lines. The lines' features and
+    hashes, not the texts, reach the driver: 17 bytes a line.
     """
     chosen = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            quality, ids = batch.column(2).to_numpy(), batch.column(0).to_numpy()
+            quality, ids, out = batch.column(2).to_numpy(), batch.column(0).to_numpy(), []
             for row, data, offsets in W.chunks(batch.column(1)):
-                _, rows, features, _ = measure(data, offsets)
-                n = len(rows)
-                yield pa.record_batch([pa.array(ids[row + rows]), pa.array(np.arange(n)), pa.array(quality[row + rows]), pa.array(list(features.astype(np.int32)), pa.list_(pa.int32()))], names=["id", "at", "quality", "features"])
-
-    found = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("quality").cast("int")).mapInArrow(run, "id long, at long, quality int, features array<int>").toPandas()
-    if not len(found):
-        return Field.default()
-    found = found.sort_values(["id", "at"], kind="stable")
-    features = np.stack(found["features"].to_numpy())
+                _, rows, features, _, keys = measure(data, offsets)
+                for r in np.unique(rows):
+                    a, b = np.searchsorted(rows, [r, r + 1])
+                    if b - a <= SAMPLE_LINES:
+                        out.append((int(ids[row + r]), int(quality[row + r]), features[a:b].astype(np.uint8).tobytes(), keys[a:b].tobytes()))
+            yield pa.record_batch([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary()), pa.array([x[3] for x in out], pa.binary())], names=["id", "quality", "features", "keys"])
+
+    found = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("quality").cast("int")).mapInArrow(run, "id long, quality int, features binary, keys binary")
+    # rows of one doc_id beyond the first are not needed; a table of labels with at most `sample` ids bounds the rest
+    found = found.dropDuplicates(["id"]).toPandas().sort_values("id", kind="stable")
+    features = [np.frombuffer(x, np.uint8).reshape(-1, len(BOUNDS)).astype(np.int64) for x in found["features"]]
+    keys = [np.frombuffer(x, np.uint64) for x in found["keys"]]
+    row = np.repeat(np.arange(len(found)), [len(k) for k in keys])
+    if not len(row):
+        return row, np.zeros((0, len(BOUNDS)), np.int64), np.zeros(0, np.int64)
+    features, keys = np.concatenate(features), np.concatenate(keys)
+    once = np.unique(np.stack([keys, row.astype(np.uint64)]), axis=1)[0]
+    values, n = np.unique(once, return_counts=True)
     duplicate = int(np.cumsum(list(SIZES.values()))[list(SIZES).index("duplicate")] - 1)
-    labels_ = ((found["quality"].to_numpy() == 1) & ~(features == duplicate).any(1)).astype(float)
-    return fit(found["id"].to_numpy(), features, labels_)
+    good = np.repeat(found["quality"].to_numpy() == 1, np.bincount(row, minlength=len(found)))
+    return row, features, (good & ~(features == duplicate).any(1) & (n[np.searchsorted(values, keys)] < SHARED_LINE)).astype(np.int64)
+
+
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Field:
+    """A field from a sample of labelled_lines(); if the sample has not both labels, the hand-set one."""
+    return fit(*labelled_lines(docs, labels, sample))
 
 
 def _judged(field: Field, text: pa.Array) -> Iterator[tuple[int, dict[str, np.ndarray], np.ndarray, np.ndarray]]:
     """By chunk: first row, counts, whether the base rules fail, share of words in content lines."""
     for row, data, offsets in W.chunks(text):
-        counts, rows, features, line_words = measure(data, offsets)
+        counts, rows, features, line_words, _ = measure(data, offsets)
         n = counts["n_words"]
         content = _per_row(line_words * viterbi(field, rows, features), rows, len(n)) / np.maximum(n, 1)
         yield row, counts, (n < MIN_WORDS) | (100 * counts["n_repeat_words"] > MOST_REPEATED * n), content

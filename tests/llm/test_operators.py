@@ -115,6 +115,24 @@ def test_encoder_is_the_library(path):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["tokens", "pieces"])
+def test_whole_tables_are_the_library(spark, docs, name):
+    """Starts, numbers and checksums of all documents against the library's own encode."""
+    from tokenizers import Tokenizer
+
+    path, end = (BYTE, 0) if name == "tokens" else (WORD, 1)
+    library, want, start = Tokenizer.from_file(path), [], 0
+    for r in docs.orderBy("doc_id").collect():
+        ids = [*library.encode(r.text or "", add_special_tokens=False).ids, end]
+        if name == "tokens":
+            want.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+            start += len(ids)
+        else:
+            want += [(r.doc_id, a // 4096, a, len(ids[a : a + 4096]), zlib.crc32(np.array(ids[a : a + 4096], "<u4").tobytes())) for a in range(0, len(ids), 4096)]
+    found = tokenfile.token_digests(tokenfile.round_trip(docs, BYTE)) if name == "tokens" else packing.pack(docs, WORD).select("doc_id", "piece", "start", "length", "ids_crc32")
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
 def test_token_file_access(spark, docs):
     from postmill.llm.shared import shared_path
 
@@ -195,6 +213,57 @@ def test_viterbi_is_the_best_path():
             at += n
 
 
+def _sequences(rows):
+    starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    sizes = np.diff(np.r_[starts, len(rows)])
+    longest = np.argsort(-sizes, kind="stable")
+    return np.r_[0, np.cumsum(sizes[longest])[:-1]], np.concatenate([np.arange(starts[i], starts[i] + sizes[i]) for i in longest])
+
+
+def test_likelihood_is_the_sum_over_paths():
+    random_ = np.random.default_rng(4)
+    field = quality.Field(random_.normal(size=(quality.N_FEATURES, 2)), random_.normal(size=(2, 2)))
+    sizes = [6, 4, 1]
+    features, labels = random_.integers(0, quality.N_FEATURES, (11, 3)), random_.integers(0, 2, 11)
+
+    def brute(f):
+        value, at = 0.0, 0
+        for n in sizes:
+            unary = f.weights[features[at : at + n]].sum(1)
+            score = lambda path, u=unary: sum(u[i, y] for i, y in enumerate(path)) + sum(f.steps[a, b] for a, b in zip(path, path[1:], strict=False))
+            value += score(labels[at : at + n]) - np.log(sum(np.exp(score([k >> i & 1 for i in range(n)])) for k in range(2**n)))
+            at += n
+        return value
+
+    starts = np.array([0, 6, 10])
+    value, by_weight, by_step = quality.likelihood(field, starts, features, labels)
+    assert value == pytest.approx(brute(field))
+    for k, y in ((features[0, 0], 1), (features[7, 2], 0)):
+        moved = field.weights.copy()
+        moved[k, y] += 1e-6
+        assert by_weight[k, y] == pytest.approx((brute(quality.Field(moved, field.steps)) - value) / 1e-6, abs=1e-3)
+    for a, b in np.ndindex(2, 2):
+        moved = field.steps.copy()
+        moved[a, b] += 1e-6
+        assert by_step[a, b] == pytest.approx((brute(quality.Field(field.weights, moved)) - value) / 1e-6, abs=1e-3)
+
+
+def test_chain_helps_on_held_out_documents(spark):
+    """Fitted on half of the labelled documents: on the other half the steps change the labelling, and without them it is worse."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    half = lambda k: labels.where(f"crc32(cast(doc_id AS STRING)) % 2 = {k}")
+    field = quality.fit(*quality.labelled_lines(docs, half(0)))
+    rows, features, want = quality.labelled_lines(docs, half(1))
+    zeroed = quality.Field(field.weights, np.zeros((2, 2)))
+    starts, order = _sequences(rows)
+    with_, without = (quality.likelihood(f, starts, features[order], want[order])[0] / len(want) for f in (field, zeroed))
+    assert with_ > without + 0.03
+    found, other = quality.viterbi(field, rows, features), quality.viterbi(zeroed, rows, features)
+    assert (found != other).any() and np.mean(found == want) > 0.85
+    judged = quality.label_lines(docs.join(half(1), "doc_id", "left_semi"), field).join(half(1), "doc_id").where("NOT base_failed").select("quality", "kept").collect()
+    assert np.mean([r.kept for r in judged if r.quality == 1]) > 0.97 and np.mean([r.kept for r in judged if r.quality == 0] or [0]) < 0.1
+
+
 # 4
 
 
@@ -224,6 +293,51 @@ def test_surrogates_stay_distinct(spark):
     assert found[-1].text == f"write {new[0]} twice {new[0]}"
 
 
+def test_surrogates_of_a_full_shape(spark):
+    """All numbers of a shape: the surrogates are the same numbers, each another one; null and repeated ids don't matter."""
+    numbers = [f"+1 {i // 10 % 100:02d} {i % 10}{i // 1000}" for i in range(2000)] + [f"{i:03d}-11-2222" for i in range(100)]
+    rows = spark.createDataFrame([(None if i % 3 else 7, f"call {x} now") for i, x in enumerate(numbers)], "doc_id long, text string")
+    found = [r.text[5:-4] for r in surrogates.replace_entities(rows, "key").collect()]
+    old = {x for r in rows.collect() for x in [r.text[5:-4]]}
+    assert len(found) == len(numbers) and len(set(found)) == len(old) == len(set(numbers))
+    assert all(re.fullmatch(r"\+1 \d\d \d\d|\d{3}-\d{2}-\d{4}", x) for x in found)
+    again = surrogates.replace_entities(rows, "key").collect()
+    assert sorted(r.text for r in again) == sorted(f"call {x} now" for x in found)
+    assert {r.text for r in surrogates.replace_entities(rows, "other").collect()} != {r.text for r in again}
+
+
+def test_surrogates_brute_force(spark):
+    """Over a table of null ids and repeated entities: equal entities have one surrogate, different ones two, none stays."""
+    random.seed(6)
+    kinds = [
+        lambda: f"{random.choice('abcd')}{random.randrange(12)}@mail{random.randrange(3)}.org", lambda: f"10.0.{random.randrange(9)}.{random.randrange(30)}",
+        lambda: f"+44 ({random.randrange(200, 203)}) 555-10{random.randrange(10, 40)}", lambda: f"{random.randrange(900, 905)}-{random.randrange(10, 20)}-4321",
+        lambda: f"GB82 WEST 1234 5698 7654 {random.randrange(10, 60)}", lambda: f"2001:db8:0:0:0:0:0:{random.randrange(1, 40):x}",
+    ]
+    texts = [" ; ".join(random.choice(kinds)() for _ in range(random.randrange(5))) for _ in range(150)]
+    rows = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    got = sorted(r.text for r in surrogates.replace_entities(rows, "key").collect())
+    one = surrogates.replace_entities(rows.coalesce(1).withColumn("before", F.col("text")), "key").collect()
+    assert sorted(r.text for r in one) == got
+    pairs = {(a, b) for r in one for a, b in zip(r.before.split(" ; "), r.text.split(" ; "), strict=True) if a}
+    assert len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}) > 100
+    assert not {a for a, _ in pairs} & {b for _, b in pairs}
+
+
+def test_names_without_their_title(spark):
+    rows = spark.createDataFrame([(1, "Mr. John Smith wrote. Smith said hello; John Smith agreed, SMITH! Smithson stayed."), (2, "Dr. Jane Doe, MR. JOHN SMITH, Mr. smith"), (3, "Smith alone")], "doc_id long, text string")
+    a, b, c = (r.text for r in surrogates.replace_entities(rows, "key").orderBy("doc_id").collect())
+    first, last = re.match(r"Mr\. (\w+) (\w+) wrote", a).groups()
+    assert a == f"Mr. {first} {last} wrote. {last} said hello; {first} {last} agreed, {last.upper()}! Smithson stayed."
+    assert b.endswith(f"MR. {first.upper()} {last.upper()}, Mr. {last.lower()}") and "Doe" not in b and c == "Smith alone"
+
+
+def test_valid_account_numbers_stay_valid(spark):
+    rows = spark.createDataFrame([(1, "pay GB82 WEST 1234 5698 7654 32 today")], "doc_id long, text string")
+    new = surrogates.replace_entities(rows, "key").first().text[4:-6].replace(" ", "")
+    assert new.startswith("GB") and new != "GB82WEST12345698765432" and int("".join(str(int(c, 36)) for c in new[4:] + new[:4])) % 97 == 1
+
+
 # 5
 
 
