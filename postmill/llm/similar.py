@@ -7,9 +7,9 @@ sketches agree in ESTIMATE of their values or more (three standard deviations be
 
 Texts that op9 links are one class from the start, and only pairs of different classes are looked at. In a band's cell of up to
 PAIRWISE_ROWS texts all pairs are; a larger one is dealt into blocks, in which each text meets its neighbours in a random order,
-in ROUNDS rounds with another order each, and classes grow by the links found. What is then still apart in a cell is certified:
-each text outside the cell's largest class meets all texts of other classes. So links that merge nothing are not looked for,
-and no group's pairs are listed.
+in ROUNDS rounds with another order each, and classes grow by the links found. What is then still apart is certified: classes that
+share a cell are a family, and each text outside its family's largest class is compared with all the family's texts, set by
+set, in blocks of bounded size. So links that merge nothing are not looked for, and no group's pairs are listed.
 """
 
 from __future__ import annotations
@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from postmill.llm import simhash
 from postmill.llm import words as W
 from postmill.llm.components import components
-from postmill.llm.shared import materialize
+from postmill.llm.shared import discard, materialize
 
 SIMILARITY, ESTIMATE = 0.8, 0.65
 VALUES, BAND = 64, 4
-PAIRWISE_ROWS, NEIGHBOURS, CELL_ROWS, ROUNDS = 32, 2, 4096, 3
+PAIRWISE_ROWS, NEIGHBOURS, CELL_ROWS, ROUNDS, BLOCK_ITEMS = 32, 2, 4096, 3, 1 << 20
 _random = np.random.default_rng(8)
 SEEDS, FACTORS = (_random.integers(0, 1 << 64, VALUES, np.uint64) | np.uint64(1) for _ in range(2))
 
@@ -139,49 +139,87 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _pairs(h, root, likely, likely + lag)
 
 
-def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each unit, the likely pairs of its probes and its rows of other classes."""
-    for unit, h, root, sketch, probe in _units(batches):
+def _probes(similarity: float):
+    """Of rows (unit, root, probe, items) sorted by unit, the classes of the similar pairs of a probe and a row of another class."""
+    def whole_units(unit: np.ndarray, root: np.ndarray, probe: np.ndarray, sizes: np.ndarray, items: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.r_[0, np.cumsum(sizes)]
         cuts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1], True])
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            rows = a + np.flatnonzero(~probe[a:b])
+            part = items[starts[a] : starts[b]]
             for i in a + np.flatnonzero(probe[a:b]):
-                likely = rows[(root[rows] != root[i]) & ((sketch[rows] == sketch[i]).sum(1) >= ESTIMATE * VALUES)]
-                if len(likely):
-                    yield _pairs(h, root, np.full(len(likely), i), likely)
+                own = items[starts[i] : starts[i + 1]]
+                known = own[np.minimum(np.searchsorted(own, part), len(own) - 1)] == part
+                both = np.add.reduceat(known, starts[a:b] - starts[a], dtype=np.int64)
+                near = root[a:b][(root[a:b] != root[i]) & ~probe[a:b] & (both >= similarity * (len(own) + sizes[a:b] - both) - 1e-9)]
+                if len(near):
+                    yield pa.record_batch([pa.array(np.full(len(near), root[i])), pa.array(near)], names=["a", "b"])
 
-
-def _dealt(rows: DataFrame, salt: int) -> DataFrame:
-    """rows with their number of blocks and their block."""
-    blocks = F.ceil(F.col("n") / CELL_ROWS)
-    return rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("h", F.lit(salt)), F.col("blocks")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column(3)
+            new = [batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().to_numpy()]
+            held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
+            last = int(np.searchsorted(held[0], held[0][-1]))
+            if last:
+                cut = int(held[3][:last].sum())
+                yield from whole_units(*(x[:last] for x in held[:4]), held[4][:cut])
+                held = [*(x[last:] for x in held[:4]), held[4][cut:]]
+        if held is not None:
+            yield from whole_units(*held)
+
+    return run
 
 
 def _meet(rows: DataFrame, salt: int) -> DataFrame:
-    unit = F.xxhash64("cell", "block").alias("unit")
-    dealt = _dealt(rows, salt).select(unit, "h", "root", "sketch", F.lit(False).alias("probe"), F.xxhash64("h", "cell", F.lit(salt)).alias("place"))
+    # one order in all cells, so that two texts that share several are neighbours in most of them
+    block = F.pmod(F.xxhash64("h", F.lit(salt)), F.ceil(F.col("n") / CELL_ROWS))
+    dealt = rows.select(F.xxhash64("cell", block).alias("unit"), "h", "root", "sketch", F.lit(False).alias("probe"), F.xxhash64("h", F.lit(salt + 100)).alias("place"))
     return dealt.repartition("unit").sortWithinPartitions("unit", "place").drop("place").mapInArrow(_neighbours, PAIR).distinct()
 
 
-def _certify(rows: DataFrame, tops: DataFrame) -> DataFrame:
-    unit = lambda b: F.xxhash64("cell", b).alias("unit")
-    dealt = _dealt(rows, ROUNDS)
-    homes = dealt.select(unit("block"), "h", "root", "sketch", F.lit(False).alias("probe"))
-    outer = dealt.join(tops, "cell").where("root <> top").withColumn("each", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    both = homes.unionByName(outer.select(unit("each"), "h", "root", "sketch", F.lit(True).alias("probe")))
-    return both.repartition("unit").sortWithinPartitions("unit").mapInArrow(_probes, PAIR).distinct()
+def _items(ends: DataFrame, docs: DataFrame) -> DataFrame:
+    """A table of the sets of some texts (h)."""
+    ends = materialize(ends, "ends")  # of known size, so that Spark may broadcast it in place of dealing out all texts
+    texts = docs.select(F.xxhash64("text").alias("h"), "text").join(ends, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
+    items = materialize(sets(texts), "sets")
+    discard(ends)
+    return items
+
+
+def _certify(rows: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """a, b: all links that are left among the classes of open cells."""
+    tied = rows.groupBy("cell").agg(F.min("root").alias("least")).join(rows.select("cell", "root").distinct(), "cell").where("root <> least").select(F.col("root").alias("a"), F.col("least").alias("b"))
+    family = materialize(components(materialize(tied.distinct(), "tied")).select(F.col("node").alias("root"), F.col("root").alias("family")), "families")
+    texts = rows.select("h", "root").distinct().join(family, "root")
+    items = _items(texts.select("h"), docs)
+    texts = materialize(texts.join(items, "h").select("family", "root", "h", "items"), "members")
+    sizes = texts.groupBy("family", "root").agg(F.count(F.lit(1)).alias("k"), F.sum(F.size("items")).alias("n"))
+    tops = materialize(sizes.groupBy("family").agg(F.max_by("root", F.struct("k", "root")).alias("top"), F.ceil(F.sum("n") / BLOCK_ITEMS).alias("blocks")), "tops")
+    dealt = texts.join(tops, "family").withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")))
+    unit = lambda b: F.xxhash64("family", b).alias("unit")
+    homes = dealt.select(unit("block"), "root", F.lit(False).alias("probe"), "items")
+    outer = dealt.where("root <> top").withColumn("each", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(unit("each"), "root", F.lit(True).alias("probe"), "items")
+    found = homes.unionByName(outer).repartition("unit").sortWithinPartitions("unit").mapInArrow(_probes(similarity), "a long, b long").distinct()
+    found = materialize(found, "similar")
+    for table in (items, texts, tops, family):
+        discard(table)
+    return found
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """a, b: the classes of the pairs whose whole sets are similar."""
     pairs = materialize(pairs, "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    texts = docs.select(F.xxhash64("text").alias("h"), "text").join(ends, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
-    items = materialize(sets(texts), "sets")
+    items = _items(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), docs)
     a, b = (items.select(F.col("h").alias(x), F.col("items").alias(f"i{x}")) for x in "ab")
     both = F.size(F.array_intersect("ia", "ib"))
     near = pairs.join(a, "a").join(b, "b").where(F.least(F.size("ia"), F.size("ib")) >= similarity * F.greatest(F.size("ia"), F.size("ib")) - 1e-9).where(both >= similarity * (F.size("ia") + F.size("ib") - both) - 1e-9)
-    return materialize(near.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "similar")
+    found = materialize(near.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "similar")
+    discard(items)
+    discard(pairs)
+    return found
 
 
 def links(docs: DataFrame, marked: DataFrame, classes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -190,19 +228,23 @@ def links(docs: DataFrame, marked: DataFrame, classes: DataFrame, similarity: fl
     texts = marked.groupBy("h").agg(F.first("fp").alias("fp"), F.first("sketch").alias("sketch")).where(F.size("sketch") > 0)
     texts = materialize(texts.join(classes, "fp", "left").select("h", F.coalesce("root", "fp").alias("root"), "sketch"), "texts")
     cells = texts.select("h", F.posexplode("sketch").alias("number", "value")).select(F.xxhash64("number", "value").alias("cell"), "h")
-    shared = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = materialize(cells.join(materialize(shared, "shared"), "cell").join(texts, "h"), "rows")
+    shared = materialize(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    rows = materialize(cells.join(shared, "cell").join(texts, "h"), "rows")
+    discard(shared)
+    discard(texts)
     found = _verified(_meet(rows, 0), docs, similarity)
-    large = rows.where(F.col("n") > PAIRWISE_ROWS)
+    open_ = materialize(rows.where(F.col("n") > PAIRWISE_ROWS), "open")
+    discard(rows)
     for salt in range(1, ROUNDS + 1):
         now = components(found).withColumnRenamed("root", "new")
-        named = large.join(now, F.col("root") == F.col("node"), "left").withColumn("root", F.coalesce("new", "root")).select(*large.columns)
-        sizes = named.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("k"))
-        tops = materialize(sizes.groupBy("cell").agg(F.max_by("root", F.struct("k", "root")).alias("top"), F.count(F.lit(1)).alias("classes")).where("classes > 1").select("cell", "top"), "tops")
-        if tops.isEmpty():
+        named = open_.join(now, F.col("root") == F.col("node"), "left").withColumn("root", F.coalesce("new", "root")).select(*open_.columns)
+        apart = named.groupBy("cell").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("cell")
+        before, open_ = open_, materialize(named.join(apart, "cell", "left_semi"), "open")
+        discard(before)
+        if open_.isEmpty():
             break
-        large = materialize(named.join(tops.select("cell"), "cell", "left_semi"), "open")
-        found = found.unionByName(_verified(_meet(large, salt) if salt < ROUNDS else _certify(large, tops), docs, similarity))
+        found = found.unionByName(_verified(_meet(open_, salt), docs, similarity) if salt < ROUNDS else _certify(open_, docs, similarity))
+    discard(open_)
     return found
 
 
