@@ -1,12 +1,14 @@
 """Copies of images by local descriptors.
 
-Corners are found on three scales (Harris measure, local maxima, the strongest KEYPOINTS of each scale: the detector's density).
-Each gets an orientation from its patch's intensity centroid and 256 binary tests of pixel pairs turned by that orientation.
-Descriptors that agree on one of their eight 32-bit words meet; those within HAMMING bits are matches. Matches of two images
-vote for a rotation, scale and shift; INLIERS distinct matches of one vote make a link, so crops and edits of brightness or
-noise link, and chance matches don't. Equal images are one node. In a word's cell all descriptors of different images are
-compared: cells of more than CELL_ROWS rows are dealt into blocks, and each two blocks meet in a unit of their own. So the
-work grows with the square of the number of images that share a word; groups are the components.
+Corners are found on six scales (Harris measure, local maxima refined below a pixel, the strongest KEYPOINTS of each scale).
+Each gets an orientation from its patch's intensity centroid and 256 binary tests of pixel pairs, sampled between pixels and
+turned by that orientation; the pairs of a test lie across the orientation, since along it the centroid foretells the order.
+Descriptors that agree on one of their eight 32-bit words meet; those that agree in all but SPARE of the next 64 bits are
+matches. Matches of two images vote for a rotation, scale and shift; INLIERS distinct matches of one vote make a link, so crops,
+turns, resized ones and edits of brightness or noise link, and chance matches don't. Equal images are one node. In a word's
+cell all descriptors of different images are compared: cells of more than CELL_ROWS rows are dealt into blocks, and each two
+blocks meet in a unit of their own. So the work grows with the square of the number of images that share a word; groups are
+the components.
 """
 
 from __future__ import annotations
@@ -15,23 +17,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.components import components
-from postmill.llm.shared import materialize
+from postmill.llm.shared import discard, materialize
 
 SIDE = 96
-SCALES, KEYPOINTS, MARGIN, RADIUS = (1.0, 1.5, 2.25), (24, 8, 4), 11, 7
-HAMMING, INLIERS = 56, 4
+SCALES, KEYPOINTS, RADIUS, MARGIN = (1.0, 1.15, 1.32, 1.52, 1.75, 2.0), (11, 9, 8, 7, 6, 5), 8, 13
+SPARE, INLIERS = 20, 4
 WORDS, CELL_ROWS = 8, 1024
-TURN, ZOOM, SHIFT = np.pi / 6, 0.5, 10.0
-_random = np.random.default_rng(5)
-TESTS = np.clip(_random.normal(0, 3.2, (256, 2, 2)), -RADIUS, RADIUS)
+TURN, ZOOM, SHIFT = np.pi / 4, 0.5, 16.0
 OFFSETS = np.stack(np.meshgrid(np.arange(-RADIUS, RADIUS + 1), np.arange(-RADIUS, RADIUS + 1), indexing="ij"), -1).reshape(-1, 2)
 OFFSETS = OFFSETS[(OFFSETS**2).sum(1) <= RADIUS**2]
 #: place packs x, y (16 bits each, in 1/64 pixels), angle (16 bits of a turn) and number of the scale (8 bits)
-KEYPOINT = "image_id long, place long, d0 long, d1 long, d2 long, d3 long"
+DESCRIBED = "image_id long, h1 long, h2 long, place array<long>, d0 array<long>, d1 array<long>, d2 array<long>, d3 array<long>"
+
+
+def _tests() -> np.ndarray:
+    """256 pairs of points in the patch: nearly level along the orientation, apart across it."""
+    random, found = np.random.default_rng(5), []
+    while len(found) < 256:
+        a, b = random.uniform(-RADIUS, RADIUS, (2, 2))
+        if max((a**2).sum(), (b**2).sum()) <= RADIUS**2 and abs(a[0] - b[0]) <= 1.5 and abs(a[1] - b[1]) >= 2:
+            found.append((a, b))
+    return np.array(found)
+
+
+TESTS = _tests()
 
 
 def _packed(shape: np.ndarray) -> np.ndarray:
@@ -44,8 +57,8 @@ def _unpacked(place: np.ndarray) -> tuple[np.ndarray, ...]:
     return (place >> 40) / 64, (place >> 24 & 0xFFFF) / 64, (place >> 8 & 0xFFFF) / 65535 * 2 * np.pi, np.array(SCALES)[place & 0xFF]
 
 
-def _blur(images: np.ndarray) -> np.ndarray:
-    for axis in (1, 2):
+def _blur(images: np.ndarray, times: int = 1) -> np.ndarray:
+    for axis in (1, 2) * times:
         padded = np.pad(images, [(2, 2) if a == axis else (0, 0) for a in range(3)], mode="edge")
         cut = [np.take(padded, np.arange(i, i + images.shape[axis]), axis) for i in range(5)]
         images = (cut[0] + 4 * cut[1] + 6 * cut[2] + 4 * cut[3] + cut[4]) / 16
@@ -53,26 +66,31 @@ def _blur(images: np.ndarray) -> np.ndarray:
 
 
 def _shrunk(images: np.ndarray, by: float) -> np.ndarray:
-    if by == 1:
-        return images
-    n = int(images.shape[1] / by)
-    at = np.arange(n) * by
-    low = np.minimum(at.astype(int), images.shape[1] - 2)
-    part = (at - low).astype(np.float32)
-    rows = images[:, low] * (1 - part)[None, :, None] + images[:, low + 1] * part[None, :, None]
-    return rows[:, :, low] * (1 - part) + rows[:, :, low + 1] * part
+    for axis in (1, 2) if by > 1 else ():
+        at = np.arange(int((images.shape[axis] - 1) / by) + 1) * by
+        low = np.minimum(at.astype(int), images.shape[axis] - 2)
+        part = (at - low).astype(np.float32).reshape([-1 if a == axis else 1 for a in range(3)])
+        images = np.take(images, low, axis) * (1 - part) + np.take(images, low + 1, axis) * part
+    return images
+
+
+def _between(images: np.ndarray, n: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Values between pixels."""
+    top, left = np.clip(y.astype(int), 0, images.shape[1] - 2), np.clip(x.astype(int), 0, images.shape[2] - 2)
+    v, u = (y - top).astype(np.float32), (x - left).astype(np.float32)
+    return (images[n, top, left] * (1 - u) + images[n, top, left + 1] * u) * (1 - v) + (images[n, top + 1, left] * (1 - u) + images[n, top + 1, left + 1] * u) * v
 
 
 def describe(images: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(image number, [x, y, angle, scale], descriptors as 4 uint64) of square images (n, side, side)."""
-    strength, where, shapes, bits = [], [], [], []
-    for by in SCALES:
-        level = _shrunk(images.astype(np.float32), by)
-        side = level.shape[1]
-        if side < 2 * MARGIN + 3:
+    """(image number, [x, y, angle, scale], descriptors as 4 uint64) of images (n, height, width) of one shape, by number."""
+    number, shapes, out = [np.zeros(0, int)], [np.zeros((0, 4))], [np.zeros((0, 4), np.uint64)]
+    for by, most in zip(SCALES, KEYPOINTS, strict=True):
+        level = _shrunk(_blur(images.astype(np.float32), round((by**2 - 1) / 2)), by)
+        high, wide = level.shape[1:]
+        if min(high, wide) < 2 * MARGIN + 3:
             break
-        smooth = _blur(level)
-        gy, gx = np.gradient(smooth, axis=(1, 2))
+        fine, smooth = _blur(level, 2), _blur(level, 3)
+        gy, gx = np.gradient(fine, axis=(1, 2))
         xx, yy, xy = _blur(gx * gx), _blur(gy * gy), _blur(gx * gy)
         measure = xx * yy - xy * xy - 0.05 * (xx + yy) ** 2
         inner = measure[:, MARGIN:-MARGIN, MARGIN:-MARGIN]
@@ -80,77 +98,83 @@ def describe(images: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for dy in (-1, 0, 1):
             for dx in (-1, 0, 1):
                 if dx or dy:
-                    top &= inner > measure[:, MARGIN + dy : side - MARGIN + dy, MARGIN + dx : side - MARGIN + dx]
+                    top &= inner > measure[:, MARGIN + dy : high - MARGIN + dy, MARGIN + dx : wide - MARGIN + dx]
         n, y, x = np.nonzero(top & (inner > 1e-6))
-        strength.append(inner[n, y, x])
         y, x = y + MARGIN, x + MARGIN
-        patch = smooth[n[:, None], y[:, None] + OFFSETS[:, 0], x[:, None] + OFFSETS[:, 1]]
+        order = np.lexsort((-measure[n, y, x], n))
+        order = order[np.arange(len(n)) - np.searchsorted(n[order], n[order]) < most]
+        n, y, x = n[order], y[order], x[order]
+
+        def peak(before: np.ndarray, at: np.ndarray, after: np.ndarray) -> np.ndarray:
+            return np.clip((before - after) / (2 * (before + after - 2 * at) - 1e-20), -0.5, 0.5)
+
+        at = measure[n, y, x]
+        px, py = x + peak(measure[n, y, x - 1], at, measure[n, y, x + 1]), y + peak(measure[n, y - 1, x], at, measure[n, y + 1, x])
+        patch = _between(smooth, n[:, None], py[:, None] + OFFSETS[:, 0], px[:, None] + OFFSETS[:, 1])
         patch = patch - patch.mean(1, keepdims=True)
         angle = np.arctan2(patch @ OFFSETS[:, 0].astype(np.float32), patch @ OFFSETS[:, 1].astype(np.float32))
-        where.append(n)
-        shapes.append(np.stack([x * by, y * by, angle, np.full(len(n), by)], 1))
-        bits.append((smooth, y, x))
-    n, shape, power = np.concatenate(where), np.concatenate(shapes), np.concatenate(strength)
-    level_of = np.repeat(np.arange(len(where)), [len(w) for w in where])
-    inside = np.concatenate([np.arange(len(w)) for w in where])
-    order = np.lexsort((-power, level_of, n))
-    group = n[order] * len(SCALES) + level_of[order]
-    rank = np.arange(len(order)) - np.searchsorted(group, group)
-    order = order[rank < np.array(KEYPOINTS)[level_of[order]]]
-    out = np.zeros((len(order), 4), np.uint64)
-    for level, (smooth, y, x) in enumerate(bits):
-        at = np.flatnonzero(level_of[order] == level)
-        pick = inside[order[at]]
-        c, s = np.cos(shape[order[at], 2])[:, None, None], np.sin(shape[order[at], 2])[:, None, None]
+        c, s = np.cos(angle)[:, None, None], np.sin(angle)[:, None, None]
         tx, ty = TESTS[None, :, :, 0], TESTS[None, :, :, 1]
-        px = np.rint(x[pick][:, None, None] + c * tx - s * ty).astype(int)
-        py = np.rint(y[pick][:, None, None] + s * tx + c * ty).astype(int)
-        values = smooth[n[order[at]][:, None, None], py, px]
-        out[at] = np.packbits(values[:, :, 0] < values[:, :, 1], axis=1).view(">u8").astype(np.uint64)
-    return n[order], shape[order], out
+        values = _between(smooth, n[:, None, None], py[:, None, None] + s * tx + c * ty, px[:, None, None] + c * tx - s * ty)
+        number.append(n)
+        shapes.append(np.stack([px * by, py * by, angle, np.full(len(n), by)], 1))
+        out.append(np.packbits(values[:, :, 0] < values[:, :, 1], axis=1).view(">u8").astype(np.uint64))
+    number = np.concatenate(number)
+    order = np.argsort(number, kind="stable")
+    return number[order], np.concatenate(shapes)[order], np.concatenate(out)[order]
 
 
-def keypoints(images: DataFrame) -> DataFrame:
-    """The keypoints of images (image_id, pixels: binary of a square 8-bit image); others than square ones have none."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, 64):
-                ids = batch.column(0)[a : a + 64].to_numpy(zero_copy_only=False)
-                raw = [np.frombuffer(p or b"", np.uint8) for p in batch.column(1)[a : a + 64].to_pylist()]
-                sides = np.array([int(np.sqrt(len(r))) for r in raw])
-                for side in np.unique(sides):
-                    chosen = [i for i in np.flatnonzero(sides == side) if len(raw[i]) == side * side]
-                    if not chosen or side < 2 * MARGIN + 3:
-                        continue
-                    n, shape, bits = describe(np.stack([raw[i].reshape(side, side) for i in chosen]))
-                    yield pa.record_batch([pa.array(ids[chosen][n].astype(np.int64)), pa.array(_packed(shape)), *(pa.array(bits[:, i].view(np.int64)) for i in range(4))], names=["image_id", "place", "d0", "d1", "d2", "d3"])
+def described(images: DataFrame) -> DataFrame:
+    """A row per row of images (image_id, pixels: binary of an 8-bit image; width and height, if it is not square): its hashes and keypoints.
 
-    return images.select("image_id", "pixels").mapInArrow(run, KEYPOINT)
+    Pixels that don't fill the shape have no keypoints.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(a, 64) for b in batches for a in range(0, b.num_rows, 64)):
+            raw = [np.frombuffer(p or b"", np.uint8) for p in batch.column(3).to_pylist()]
+            wide, high = (np.array([int(np.sqrt(len(r))) if v is None else v for v, r in zip(batch.column(i).to_pylist(), raw, strict=True)]) for i in (4, 5))
+            places, bits = [np.zeros(0, np.int64)] * len(raw), [np.zeros((0, 4), np.uint64)] * len(raw)
+            for w, h in sorted(set(zip(wide.tolist(), high.tolist(), strict=True))):
+                chosen = [i for i in np.flatnonzero((wide == w) & (high == h)) if len(raw[i]) == w * h]
+                if chosen and min(w, h) >= 2 * MARGIN + 3:
+                    n, shape, found = describe(np.stack([raw[i].reshape(h, w) for i in chosen]))
+                    cuts = np.searchsorted(n, np.arange(len(chosen) + 1))
+                    for k, i in enumerate(chosen):
+                        places[i], bits[i] = _packed(shape[cuts[k] : cuts[k + 1]]), found[cuts[k] : cuts[k + 1]]
+            cuts = pa.array(np.r_[0, np.cumsum([len(p) for p in places])].astype(np.int32))
+            flat = np.concatenate(bits).view(np.int64)
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(v)) for v in (np.concatenate(places), *(flat[:, i] for i in range(4)))]
+            yield pa.record_batch([*batch.columns[:3], *lists], names=["image_id", "h1", "h2", "place", "d0", "d1", "d2", "d3"])
+
+    w, h = (F.col(c).cast("int") if {"width", "height"} <= set(images.columns) else F.lit(None).cast("int") for c in ("width", "height"))
+    rows = images.select(F.col("image_id").cast("long"), F.xxhash64("pixels", w, h).alias("h1"), F.xxhash64(F.lit("second"), "pixels", w, h).alias("h2"), "pixels", w.alias("width"), h.alias("height"))
+    return rows.mapInArrow(run, DESCRIBED)
+
+
+def keypoints(rows: DataFrame) -> DataFrame:
+    """image_id, place, d0, d1, d2, d3: the keypoints of rows of described()."""
+    return rows.select("image_id", F.explode(F.arrays_zip("place", "d0", "d1", "d2", "d3")).alias("k")).select("image_id", "k.*")
 
 
 MATCH = "a long, b long, place long, turn int, zoom int, dx double, dy double"
 
 
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (unit, mark, image_id, place, d0 to d3) sorted by unit: matches among the rows of each unit.
+    """Of rows (unit, side, image_id, place, more) sorted by unit: matches among the rows of each unit.
 
-    mark holds the number of the word and, above it, the side: rows of side 0 meet all others, rows of sides 1 and 2 each other.
-    Two rows meet once for each word that they share; only the first such word counts.
+    Rows of side 0 meet all others, rows of sides 1 and 2 each other. more holds the 64 bits after the word. Two keypoints may
+    match by several words; equal votes are merged later.
     """
     def whole_units(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        unit, mark, image, place = rows[:4]
-        bits = np.ascontiguousarray(np.stack(rows[4:], 1).view(np.uint64))
-        words = bits.view("<u4")
+        unit, side, image, place, more = rows
+        more = more.view(np.uint64)
         at, lag = np.arange(len(unit)), 0
         while len(at):
             lag += 1
             at = at[at + lag < len(unit)]
             at = at[unit[at] == unit[at + lag]]
-            side = mark[at] // WORDS
-            i = at[(image[at] != image[at + lag]) & ((side == 0) | (side != mark[at + lag] // WORDS))]
-            i = i[np.bitwise_count(bits[i] ^ bits[i + lag]).sum(1) <= HAMMING]
-            equal = words[i] == words[i + lag]
-            i = i[equal.any(1) & (equal.argmax(1) == mark[i] % WORDS)]
+            i = at[np.bitwise_count(more[at] ^ more[at + lag]) <= SPARE]
+            i = i[(image[i] != image[i + lag]) & ((side[i] == 0) | (side[i] != side[i + lag]))]
             if not len(i):
                 continue
             i, j = np.where(image[i] < image[i + lag], i, i + lag), np.where(image[i] < image[i + lag], i + lag, i)
@@ -169,31 +193,29 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = [c.to_numpy() for c in batch.columns]
         held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
         last = int(np.searchsorted(held[0], held[0][-1]))
-        yield from whole_units([x[:last] for x in held])
-        held = [x[last:] for x in held]
+        if last:
+            yield from whole_units([x[:last] for x in held])
+            held = [x[last:] for x in held]
     if held is not None:
         yield from whole_units(held)
 
 
 def links(points: DataFrame) -> DataFrame:
-    """a, b, inliers: images of which at least INLIERS distinct keypoints agree on one placement."""
-    points = materialize(points.withColumn("row", F.monotonically_increasing_id()), "keypoints")
+    """a, b, inliers: images of which at least INLIERS distinct keypoints agree on one placement. points is a table of keypoints()."""
     words = [F.xxhash64(F.lit(w), F.shiftrightunsigned(f"d{w // 2}", 32 * (w % 2)).bitwiseAND(F.lit(0xFFFFFFFF))) for w in range(WORDS)]
-    cells = points.select("row", F.posexplode(F.array(*words)).alias("word", "key"))
+    mores = F.array(*[F.col(f"d{(w // 2 + 1) % 4}") for w in range(WORDS)])
+    cells = points.select("image_id", "place", mores.alias("more"), F.posexplode(F.array(*words)).alias("word", "key")).select("image_id", "place", F.get("more", F.col("word")).alias("more"), "key")
     # a key can only be crowded if its bucket of keys is
     bucket = F.pmod("key", F.lit(1 << 16)).alias("bucket")
     buckets = materialize(cells.groupBy(bucket).count().where(F.col("count") > CELL_ROWS).select("bucket"), "buckets")
     crowded = cells.select("key", bucket).join(buckets, "bucket", "left_semi").groupBy("key").count().where(F.col("count") > CELL_ROWS)
     crowded = materialize(crowded.select("key", F.ceil(F.col("count") / CELL_ROWS).alias("blocks")), "crowded")
     blocks = F.coalesce("blocks", F.lit(1))
-    dealt = cells.join(crowded, "key", "left").withColumn("block", F.pmod(F.xxhash64("row"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = cells.join(crowded, "key", "left").withColumn("block", F.pmod(F.xxhash64("image_id", "place"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
     unit = F.when(blocks == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")))
-    units = dealt.select(unit.alias("unit"), (side * WORDS + F.col("word")).alias("mark"), "row")
-    # most words occur once: only rows that meet another one get their descriptors
-    shared = units.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("unit"))).where("n > 1").drop("n")
-    full = shared.join(points, "row").select("unit", "mark", "image_id", "place", "d0", "d1", "d2", "d3")
-    found = full.repartition("unit").sortWithinPartitions("unit").mapInArrow(_matches, MATCH)
+    units = dealt.select(unit.alias("unit"), side.alias("side"), "image_id", "place", "more")
+    found = units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_matches, MATCH).distinct()
     # pairs of fewer than INLIERS matches have no vote of so many
     pairs = found.groupBy("a", "b").agg(F.collect_list(F.struct("place", "turn", "zoom", "dx", "dy")).alias("m")).where(F.size("m") >= INLIERS).select("a", "b", F.explode("m").alias("m")).select("a", "b", "m.*")
     # each match votes on two offset grids per axis, so that no placement lies on a border of both
@@ -203,21 +225,23 @@ def links(points: DataFrame) -> DataFrame:
 
 
 def image_copies(images: DataFrame) -> DataFrame:
-    """One row per row of images (image_id, pixels): image_id, component_id, n_links.
+    """One row per row of images (image_id, pixels, and width and height if not square): image_id, component_id, n_links.
 
     component_id is the smallest image_id of the group, n_links the number of distinct other pictures it links to. Null and
     empty pixels are copies of each other only as equal bytes; a null image_id keeps a null component unless copies have
     one; repeated rows return as often as they occur; extra columns are not read; an empty table gives an empty table.
+    The images are read once: a table of their hashes and keypoints is written to the shared folder.
     """
-    hashed = images.select("image_id", "pixels", F.xxhash64("pixels").alias("h1"), F.xxhash64(F.lit("second"), "pixels").alias("h2"))
-    nodes = materialize(hashed.groupBy("h1", "h2").agg(F.min("image_id").alias("node")), "nodes")
-    # the pixels themselves are never shuffled: of equal images all are described, and one is looked up
-    shown = keypoints(images.where("image_id IS NOT NULL")).join(nodes.select(F.col("node").alias("image_id")), "image_id", "left_semi").distinct()
-    linked = materialize(links(shown), "image-links")
+    rows = materialize(described(images), "described")
+    nodes = materialize(rows.groupBy("h1", "h2").agg(F.min("image_id").alias("node")), "nodes")
+    shown = rows.where("image_id IS NOT NULL").join(nodes.select(F.col("node").alias("image_id")), "image_id", "left_semi").dropDuplicates(["image_id", "h1", "h2"])
+    points = materialize(keypoints(shown), "keypoints")
+    linked = materialize(links(points), "image-links")
+    discard(points)
     roots = components(linked)
     degree = linked.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     named = materialize(nodes.join(roots, "node", "left").join(degree, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "image-classes")
-    return hashed.drop("pixels").join(named, ["h1", "h2"]).select("image_id", "component_id", "n_links")
+    return rows.select("image_id", "h1", "h2").join(named, ["h1", "h2"]).select("image_id", "component_id", "n_links")
 
 
 def _drawn(e: np.ndarray, side: int) -> np.ndarray:
@@ -227,11 +251,43 @@ def _drawn(e: np.ndarray, side: int) -> np.ndarray:
     return ((np.exp(2j * np.pi * np.outer(at, v) + 1j * phase)) @ np.exp(2j * np.pi * np.outer(u, at))).real
 
 
+EDITS = ("crop", "bright", "noise", "shift", "turn", "smaller", "half", "strip")
+
+
+def edited(picture: np.ndarray, edit: str, seed: int) -> np.ndarray:
+    """An edited copy of a square picture."""
+    side = len(picture)
+    random, at = np.random.default_rng(seed), np.arange(side)
+    if edit == "crop":
+        return picture[side // 12 : -(side // 12), side // 12 : -(side // 12)]
+    if edit == "half":
+        a = (side - int(side * np.sqrt(0.5))) // 2
+        return picture[a:-a, a:-a]
+    if edit == "strip":
+        return picture[side // 10 : -(side // 6), side // 24 : -(side // 24)]
+    if edit == "bright":
+        return np.clip(picture * 0.8 + 30, 0, 255)
+    if edit == "noise":
+        return np.clip(picture + random.normal(0, 10, picture.shape), 0, 255)
+    if edit == "shift":
+        moved = np.roll(picture, (9, 13), (0, 1))
+        moved[:9] = moved[:, :13] = 128
+        return moved
+    if edit == "smaller":
+        at = np.arange(side * 3 // 4) / 0.75
+        return _between(_blur(picture[None]), np.zeros((1, 1), int), at[:, None] + 0 * at, at + 0 * at[:, None])
+    angle, middle = np.deg2rad(15), (side - 1) / 2
+    y, x = np.meshgrid(at - middle, at - middle, indexing="ij")
+    v, u = middle + np.cos(angle) * y - np.sin(angle) * x, middle + np.sin(angle) * y + np.cos(angle) * x
+    inside = (np.minimum(u, v) >= 0) & (np.maximum(u, v) <= side - 1)
+    return np.where(inside, _between(picture[None], np.zeros(y.shape, int), v, u), 128)
+
+
 def render(vectors: DataFrame, copy_each: int = 10, side: int = SIDE) -> DataFrame:
-    """A media table from vectors (vec_id, embedding): image_id, vec_id, edit, pixels.
+    """A media table from vectors (vec_id, embedding): image_id, vec_id, edit, width, height, pixels.
 
-    Each vector is drawn as a sum of waves. Of each `copy_each`-th vec_id there is also an edited copy: cropped, brightened,
-    noisy, or shifted out of the frame, in turn. image_id is 2 * vec_id, plus 1 for the copy. Null vectors draw a blank.
+    Each vector is drawn as a sum of waves. Of each `copy_each`-th vec_id there is also an edited copy, of EDITS in turn.
+    image_id is 2 * vec_id, and an odd number far from it for the copy. Null vectors draw a blank; rows without vec_id none.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(a, 128) for b in batches for a in range(0, b.num_rows, 128)):
@@ -244,17 +300,9 @@ def render(vectors: DataFrame, copy_each: int = 10, side: int = SIDE) -> DataFra
                 base = np.clip(128 + 60 * drawn / max(drawn.std(), 1e-9), 0, 255).astype(np.float32)
                 rows.append((2 * vec_id, vec_id, "none", base))
                 if vec_id % copy_each == 0:
-                    random, edit = np.random.default_rng(vec_id), ("crop", "bright", "noise", "shift")[vec_id // copy_each % 4]
-                    if edit == "crop":
-                        new = base[8:-8, 8:-8]
-                    elif edit == "bright":
-                        new = np.clip(base * 0.8 + 30, 0, 255)
-                    elif edit == "noise":
-                        new = np.clip(base + random.normal(0, 4, base.shape), 0, 255)
-                    else:
-                        new = np.roll(base, (9, 13), (0, 1))
-                        new[:9] = new[:, :13] = 128
-                    rows.append((2 * vec_id + 1, vec_id, edit, new))
-            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string()), pa.array([r[3].astype(np.uint8).tobytes() for r in rows], pa.binary())], names=["image_id", "vec_id", "edit", "pixels"])
-
-    return vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(run, "image_id long, vec_id long, edit string, pixels binary")
+                    edit = EDITS[vec_id // copy_each % len(EDITS)]
+                    rows.append((2 * (vec_id ^ 0x2BAD5) + 1, vec_id, edit, edited(base, edit, vec_id)))
+            kinds, values = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.binary()), [(*r[:3], r[3].shape[1], r[3].shape[0], r[3].astype(np.uint8).tobytes()) for r in rows]
+            yield pa.record_batch([pa.array([v[i] for v in values], k) for i, k in enumerate(kinds)], names=["image_id", "vec_id", "edit", "width", "height", "pixels"])
+
+    return vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(run, "image_id long, vec_id long, edit string, width int, height int, pixels binary")
