@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postmill.functions import columns as C
+from postmill.operators.lineage import cut
 from postmill.plans.registry import query, sql_company_key
 from postmill.sources import tables
 
@@ -37,10 +38,12 @@ def tiers(jobs: DataFrame) -> DataFrame:
     k1 = F.when((C.text(F.col("job_id")) != "") & (F.col("job_id") != "N/A"), F.concat_ws("|", C.squash(C.company_key(F.col("company"))), job_id)).otherwise(own)
     k2 = F.when(C.is_identifying_url(F.col("url")), C.canonical_url(F.col("url"))).otherwise(own)
     k3 = F.when(C.squash(F.col("company")) != "", dedup_key(F.col("company"), F.col("title"))).otherwise(own)
-    rows = jobs.select("id", k1.alias("k1"), k2.alias("k2"), k3.alias("k3"))
-    for k in ("k1", "k2", "k3"):
-        rows = rows.withColumn(f"d_{k}", F.col("id") > F.min("id").over(Window.partitionBy(k)))
-    return rows.select("id", F.when(F.col("d_k1"), "job_id").when(F.col("d_k2"), "url").when(F.col("d_k3"), "key").alias("tier"))
+    keys = F.array(*[F.struct(F.lit(tier).alias("tier"), k.alias("key")) for tier, k in enumerate((k1, k2, k3))])
+    each = jobs.select("id", F.explode(keys).alias("k")).select("id", "k.tier", "k.key").where(~F.col("key").startswith("#"))
+    # one least id per key, counted where the rows are read; only keys that occur twice are joined
+    again = each.groupBy("tier", "key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    hits = each.join(again, ["tier", "key"]).where(F.col("id") > F.col("first")).groupBy("id").agg(F.min("tier").alias("best"))
+    return jobs.select("id").join(hits, "id", "left").select("id", F.when(F.col("best") == 0, "job_id").when(F.col("best") == 1, "url").when(F.col("best") == 2, "key").alias("tier"))
 
 
 def tokens(title: Column) -> Column:
@@ -98,21 +101,23 @@ def duplicate_groups(pairs: DataFrame) -> DataFrame:
 
     After each hop a label gives way to its own label, so long chains take few rounds.
     """
-    edges = pairs.select(F.col("a"), F.col("b")).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    spark = pairs.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    edges = edges.checkpoint()
+    edges = cut(pairs.select(F.col("a"), F.col("b")).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = edges.select(F.col("a").alias("id"), F.col("a").alias("group")).distinct()
     while True:
         least = edges.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("group").alias("m"))
-        new = labels.join(least, F.col("id") == F.col("a"), "left").select("id", F.least("group", F.coalesce("m", "group")).alias("group"), (F.coalesce(F.col("m"), F.col("group")) < F.col("group")).alias("moved")).checkpoint()
+        new = cut(labels.join(least, F.col("id") == F.col("a"), "left").select("id", F.least("group", F.coalesce("m", "group")).alias("group"), (F.coalesce(F.col("m"), F.col("group")) < F.col("group")).alias("moved")))
         if new.where("moved").isEmpty():
             return new.select("id", "group")
         far = new.select(F.col("id").alias("_id"), F.col("group").alias("_far"))
-        labels = new.join(far, F.col("group") == F.col("_id")).select("id", F.col("_far").alias("group")).checkpoint()
+        labels = cut(new.join(far, F.col("group") == F.col("_id")).select("id", F.col("_far").alias("group")))
+
+
+def title_groups(titles: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """Every row's id and the smallest id of its group of similar titles; rows of one company and title share theirs."""
+    first = titles.groupBy(F.col("company").alias("_c"), F.col("title").alias("_t")).agg(F.min("id").alias("_first"))
+    groups = duplicate_groups(similar_titles(titles, threshold)).select(F.col("id").alias("_first"), "group")
+    named = first.join(groups, "_first", "left").select("_c", "_t", F.coalesce("group", "_first").alias("group"))
+    return titles.join(named, F.col("company").eqNullSafe(F.col("_c")) & F.col("title").eqNullSafe(F.col("_t"))).select("id", "group")
 
 
 def corpus_stats(titles: DataFrame) -> DataFrame:
@@ -170,13 +175,18 @@ SIMILAR = """WITH n AS (SELECT company, title, min(id) AS id FROM titles GROUP B
     c AS (SELECT id, company, term, len(t) AS l, count(*) AS c FROM (SELECT id, company, t, unnest(t) AS term FROM t) GROUP BY ALL), f AS (SELECT term, count(*) AS df FROM c GROUP BY 1),
     w AS (SELECT id, company, term, c / l::DOUBLE * (ln(((SELECT count(*) FROM n) + 1) / (df + 1)::DOUBLE) + 1) AS w FROM c JOIN f USING (term)), u AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS x FROM w) """
 query("d4_j17_similar_titles", SIMILAR + "SELECT a.id AS a, b.id AS b, round(sum(a.x * b.x), 4) AS score FROM u a JOIN u b ON a.company = b.company AND a.term = b.term AND a.id < b.id GROUP BY 1, 2 HAVING sum(a.x * b.x) >= 0.7", "titles")(lambda s, d: similar_titles(tables.titles(s, d)).select("a", "b", F.round("score", 4).alias("score")))
-query("d5_u5_discriminator")(lambda s, d: _guarded(s, d))
+WORDS = "list_sort(list_distinct(list_filter(list_filter(string_split_regex(lower({0}), '[^a-z0-9]+'), lambda x: length(x) > 1), lambda x: NOT list_contains([{1}], x) AND NOT regexp_full_match(x, '[0-9]{{4}}'))))"
+MARKS = "list_sort(list_distinct(list_filter(list_transform(string_split_regex(lower({0}), '[^a-z0-9]+'), lambda x: CASE {1} END), lambda r: r IS NOT NULL)))"
+_STOP, _RANK = ", ".join(f"'{w}'" for w in (*FILLER, *LEVELS)), " ".join(f"WHEN x = '{k}' THEN {v}" for k, v in LEVELS.items())
+query("d5_u5_discriminator", SIMILAR + f""", p AS (SELECT a.id AS a, b.id AS b FROM u a JOIN u b ON a.company = b.company AND a.term = b.term AND a.id < b.id GROUP BY 1, 2 HAVING sum(a.x * b.x) >= 0.7),
+    z AS (SELECT id, {WORDS.format('title', _STOP)} AS ws, {MARKS.format('title', _RANK)} AS ls FROM titles)
+    SELECT p.a, p.b, x.ls <> y.ls OR (len(x.ws) > 0 AND len(y.ws) > 0 AND x.ws <> y.ws) AS differs FROM p JOIN z x ON p.a = x.id JOIN z y ON p.b = y.id""", "titles")(lambda s, d: _guarded(s, d))
 query("d6_corpus_stats", "WITH t AS (SELECT id, list_filter(string_split_regex(lower(title), '[^a-z0-9]+'), lambda x: x <> '') AS t FROM titles) SELECT count(*) AS documents, round(avg(len(t)), 4) AS mean_tokens, (SELECT count(DISTINCT x) FROM (SELECT unnest(t) AS x FROM t)) AS vocabulary FROM t", "titles")(lambda s, d: corpus_stats(tables.titles(s, d)))
 query("d7_w1_first_rows", f"SELECT min(id) AS id FROM jobs GROUP BY {K}", "jobs")(lambda s, d: first_of(tables.jobs(s, d), "id", dedup_key(F.col("company"), F.col("title"))).select("id"))
 query("d8_rejected_once", f"SELECT min(id) AS id FROM (SELECT id, company, title, row_number() OVER (PARTITION BY url, rejection_reason ORDER BY id) AS n FROM jobs WHERE outcome = 'discarded') WHERE n = 1 GROUP BY {K}", "jobs")(lambda s, d: rejected_once(tables.jobs(s, d).where("outcome = 'discarded'")).select("id"))
 query("d9_repeated_job_ids", "SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY company, job_id ORDER BY id) AS n FROM jobs WHERE job_id NOT IN ('', 'N/A')) WHERE n > 1", "jobs")(lambda s, d: repeated_job_ids(tables.jobs(s, d)).select("id"))
-query("d10_not_sent", "WITH e AS (SELECT event_id, CAST(user_id AS STRING) AS r, event_type AS s, ts FROM events) SELECT a.event_id FROM e a WHERE NOT EXISTS (SELECT 1 FROM e b WHERE a.r = b.r AND a.s = b.s AND b.ts < a.ts AND b.ts >= a.ts - INTERVAL 1 DAY)")(lambda s, d: _drafts(s, d))
-query("d11_duplicate_groups", SIMILAR + ", p AS (SELECT a.id AS a, b.id AS b FROM u a JOIN u b ON a.company = b.company AND a.term = b.term AND a.id < b.id GROUP BY 1, 2 HAVING sum(a.x * b.x) >= 0.7), e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p), r AS (SELECT DISTINCT a AS id, a AS g FROM e), q AS (WITH RECURSIVE x(id, g) AS (SELECT id, g FROM r UNION SELECT e.b, x.g FROM x JOIN e ON x.id = e.a) SELECT * FROM x) SELECT id, min(g) AS \"group\" FROM q GROUP BY 1", "titles")(lambda s, d: duplicate_groups(similar_titles(tables.titles(s, d))))
+query("d10_not_sent", "WITH e AS (SELECT event_id, CAST(user_id AS STRING) AS r, event_type AS s, ts FROM events) SELECT a.event_id FROM e a WHERE NOT EXISTS (SELECT 1 FROM e b WHERE a.r = b.r AND a.s = b.s AND b.ts < a.ts AND b.ts >= a.ts - INTERVAL 30 DAY)")(lambda s, d: _drafts(s, d))
+query("d11_duplicate_groups", SIMILAR + ", p AS (SELECT a.id AS a, b.id AS b FROM u a JOIN u b ON a.company = b.company AND a.term = b.term AND a.id < b.id GROUP BY 1, 2 HAVING sum(a.x * b.x) >= 0.7), e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p), r AS (SELECT DISTINCT a AS id, a AS g FROM e), q AS (WITH RECURSIVE x(id, g) AS (SELECT id, g FROM r UNION SELECT e.b, x.g FROM x JOIN e ON x.id = e.a) SELECT * FROM x), m AS (SELECT id, min(g) AS g FROM q GROUP BY 1) SELECT titles.id, coalesce(m.g, n.id) AS \"group\" FROM titles JOIN n ON titles.company = n.company AND titles.title = n.title LEFT JOIN m ON n.id = m.id", "titles")(lambda s, d: title_groups(tables.titles(s, d)))
 query("j4_j6_u4_unseen", f"SELECT id FROM jobs WHERE outcome = 'valid' AND {K} NOT IN (SELECT {K} FROM jobs WHERE outcome = 'discarded')", "jobs")(lambda s, d: unseen(tables.jobs(s, d).where("outcome = 'valid'"), known_keys(tables.jobs(s, d).where("outcome = 'discarded'"))).select("id"))
 query("j5_u3_exclusive", f"SELECT id FROM jobs WHERE outcome = 'discarded' AND {K} NOT IN (SELECT {K} FROM jobs WHERE outcome = 'reviewed')", "jobs")(lambda s, d: exclusive(tables.jobs(s, d).where("outcome = 'reviewed'"), tables.jobs(s, d).where("outcome = 'discarded'")).select("id"))
 
@@ -189,4 +199,4 @@ def _guarded(spark, sf_dir):
 
 def _drafts(spark, sf_dir):
     log = tables.table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("recipient"), F.col("event_type").alias("subject"), F.col("ts").alias("at"))
-    return not_sent(log, log, 1).select("event_id")
+    return not_sent(log, log).select("event_id")

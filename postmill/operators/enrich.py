@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postmill.functions import columns as C
+from postmill.operators.lineage import ranked
 from postmill.plans import reports
 from postmill.plans.registry import query, sql_company_key
 from postmill.sources import tables
@@ -172,10 +173,18 @@ def domain_reputation(bounces: DataFrame) -> DataFrame:
 
 
 def moving_success(tries: DataFrame, keep: float = 0.95) -> DataFrame:
-    """Per pattern, the exponential mean of its successes in order, from 0.5; each pattern's tries are aggregated by itself."""
-    ordered = F.array_sort(F.collect_list(F.struct("ts", "event_id", "ok")))
-    ema = F.aggregate(ordered, F.lit(0.5), lambda a, x: a * keep + (1 - keep) * F.when(x["ok"], 1.0).otherwise(0.0))
-    return tries.groupBy("pattern").agg(F.round(ema, 6).alias("confidence"), F.count(F.lit(1)).alias("tries"))
+    """Per pattern, the exponential mean of its successes in order, from 0.5.
+
+    The mean is a weighted sum: a success that k tries follow weighs (1 - keep) * keep ** k. Tries are numbered within their
+    day, and days by their counts, so no pattern is numbered in one task.
+    """
+    rows = tries.withColumn("_day", F.to_date("ts"))
+    days = rows.groupBy("pattern", "_day").agg(F.count(F.lit(1)).alias("_n"))
+    after = days.withColumn("_after", F.sum("_n").over(Window.partitionBy("pattern").orderBy(F.desc("_day"))) - F.col("_n")).drop("_n")
+    back = rows.withColumn("_back", F.row_number().over(Window.partitionBy("pattern", "_day").orderBy(F.desc("ts"), F.desc("event_id"))) - 1).join(after, ["pattern", "_day"])
+    weight = F.when(F.col("ok"), (1 - keep) * F.pow(F.lit(keep), F.col("_back") + F.col("_after"))).otherwise(0.0)
+    n = F.count(F.lit(1))
+    return back.groupBy("pattern").agg(F.round(F.sum(weight) + 0.5 * F.pow(F.lit(keep), n), 6).alias("confidence"), n.alias("tries"))
 
 
 def burn_rate(usage: DataFrame, credits: float) -> DataFrame:
@@ -228,9 +237,10 @@ def repaired(rows: DataFrame) -> DataFrame:
 def by_sponsorship(jobs: DataFrame) -> DataFrame:
     """Only rows not applied to move, among their own places, by sponsorship, company, title; the others keep theirs."""
     rank = F.when(F.col("sponsorship") == "Yes", 0).when(F.col("sponsorship") == "Unknown", 1).otherwise(2)
-    movable = jobs.where("outcome <> 'valid'").withColumn("slot", F.row_number().over(Window.partitionBy("source").orderBy("id"))).withColumn("rank", F.row_number().over(Window.partitionBy("source").orderBy(rank, "company", "title", "id")))
-    places = movable.select("source", "slot", F.col("id").alias("place"))
-    moved = movable.alias("m").join(places.alias("p"), F.col("m.source").eqNullSafe(F.col("p.source")) & (F.col("m.rank") == F.col("p.slot"))).select("m.id", "p.place")
+    movable = jobs.where("outcome <> 'valid'").select("id", "source", "company", "title", rank.alias("sponsors"))
+    places = ranked(movable.select("id", "source"), "slot", F.col("id"), by=("source",)).select("source", "slot", F.col("id").alias("place"))
+    order = ranked(movable, "rank", *map(F.col, ("sponsors", "company", "title", "id")), by=("source",))
+    moved = order.alias("m").join(places.alias("p"), F.col("m.source").eqNullSafe(F.col("p.source")) & (F.col("m.rank") == F.col("p.slot"))).select("m.id", "p.place")
     return moved.unionByName(jobs.where("outcome = 'valid'").select("id", F.col("id").alias("place")))
 
 
@@ -248,7 +258,9 @@ query("j8_filings_lookup", f"""WITH e AS (SELECT regexp_replace({EK}, '[^a-z0-9]
     SELECT id, jobs.company, CASE WHEN hit[2] >= 100 THEN 1 WHEN hit[2] >= 20 THEN 2 WHEN hit IS NOT NULL THEN 3 ELSE 4 END AS tier, coalesce(hit[2], 0) AS filings FROM jobs LEFT JOIN m ON jobs.company = m.company""", "jobs", "employers")(
     lambda s, d: filings_lookup(tables.jobs(s, d).select("id", "company"), employer_approvals(tables.employers(s, d)))
 )
-query("j9_blacklisted", f"SELECT id FROM jobs WHERE {SQ} LIKE 'acme1%'", "jobs")(lambda s, d: blacklisted(tables.jobs(s, d), tables.employers(s, d).select(F.lit("Acme 1 Inc").alias("name")).limit(1)).select("id"))
+query("j9_blacklisted", f"WITH r AS (SELECT DISTINCT regexp_replace({EK}, '[^a-z0-9]', '', 'g') AS r FROM employers WHERE approvals > 5000), k AS (SELECT id, {SQ} AS k FROM jobs) SELECT id FROM k WHERE length(k) >= 4 AND EXISTS (SELECT 1 FROM r WHERE length(r) >= 4 AND (starts_with(k, r) OR starts_with(r, k)))", "jobs", "employers")(
+    lambda s, d: blacklisted(tables.jobs(s, d), tables.employers(s, d).where("approvals > 5000")).select("id")
+)
 query("f24_blacklisted_titles", "SELECT id FROM jobs WHERE ' ' || trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')) || ' ' LIKE '% data analyst %' OR lower(title) LIKE 'solutions engineer%'", "jobs")(
     lambda s, d: whole_word_terms(tables.jobs(s, d), tables.table(s, d, "region").select(F.when(F.col("r_regionkey") == 0, "Data Analyst").otherwise("solutions engineer").alias("term")))
 )
@@ -279,7 +291,7 @@ query("j15_tracker_sync")(lambda s, d: tracker_sync(tables.jobs(s, d), tables.jo
 query("j18_contact_priority", "SELECT id, CASE WHEN sponsorship = 'No' THEN 'Skip' WHEN sponsorship = 'Yes' AND regexp_matches(location, 'Boston|New York|Seattle|San Francisco|Remote') THEN 'yes' WHEN outcome = 'valid' THEN 'yes' ELSE 'later' END AS priority FROM jobs", "jobs")(
     lambda s, d: contact_priority(tables.jobs(s, d).select("id", F.when(F.col("outcome") == "valid", "Applied").alias("status")), tables.jobs(s, d))
 )
-query("j13_nearest_name", "WITH r AS (SELECT DISTINCT name FROM employers), n AS (SELECT DISTINCT upper(company) AS known FROM jobs), p AS (SELECT name, known, levenshtein(lower(name), lower(known)) AS distance FROM r JOIN n ON lower(name[1]) = lower(known[1]) AND levenshtein(lower(name), lower(known)) <= 2) SELECT name, arg_min(known, (distance, known)) AS known, min(distance) AS distance FROM p GROUP BY 1", "employers", "jobs")(
+query("j13_nearest_name", "WITH r AS (SELECT DISTINCT name FROM employers), n AS (SELECT DISTINCT upper(company) AS known FROM jobs), p AS (SELECT name, known, levenshtein(lower(name), lower(known)) AS distance FROM r JOIN n ON levenshtein(lower(name), lower(known)) <= 2) SELECT name, arg_min(known, (distance, known)) AS known, min(distance) AS distance FROM p GROUP BY 1", "employers", "jobs")(
     lambda s, d: nearest_name(tables.employers(s, d), tables.jobs(s, d).select(F.upper("company").alias("name")))
 )
 query("o4_by_sponsorship")(lambda s, d: by_sponsorship(tables.jobs(s, d)))

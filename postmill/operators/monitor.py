@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,19 +96,24 @@ def cumulative(rows: DataFrame, order: str, value: str) -> DataFrame:
 def throttle(events: DataFrame, quiet_hours: float = 6) -> DataFrame:
     """Module, ts, kind (events), and whether the alert is sent: on a new kind, on recovery, or after quiet hours.
 
-    The decision depends on the last alert that was sent, so each module's events are scanned in order; modules are many and
-    each has few events.
+    A change of kind always sends (but for a first "ok"), so the last alert sent matters only inside a run of one kind: each
+    run is scanned by itself, and runs of "ok" need no scan.
     """
-    def scan(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["ts", "kind"])
-        kind, at, sent = None, None, []
-        for ts, now in zip(rows["ts"], rows["kind"], strict=True):
-            send = now != kind and not (kind is None and now == "ok") or now != "ok" and at is not None and (ts - at).total_seconds() >= quiet_hours * 3600
-            kind, at = now, ts if send else at
-            sent.append(bool(send))
-        return rows.assign(sent=sent)[["module", "ts", "kind", "sent"]]
-
-    return events.select("module", "ts", "kind").groupBy("module").applyInPandas(scan, "module string, ts timestamp, kind string, sent boolean")
+    w = Window.partitionBy("module").orderBy("ts", "kind")
+    rows = events.select("module", "ts", "kind").withColumn("_before", F.lag("kind").over(w)).withColumn("_new", F.col("_before").isNull() | (F.col("_before") != F.col("kind")))
+    rows = rows.withColumn("_run", F.count_if("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    calm = rows.where("kind = 'ok'").select("module", "ts", "kind", (F.col("_new") & F.col("_before").isNotNull()).alias("sent"))
+    quiet = int(quiet_hours * 3600 * 1_000_000)
+    start = F.struct(F.lit(None).cast("bigint").alias("at"), F.array().cast("array<boolean>").alias("sent"))
+
+    def scan(state: Column, ts: Column) -> Column:
+        now = F.unix_micros(ts)
+        send = state["at"].isNull() | (now - state["at"] >= quiet)
+        return F.struct(F.when(send, now).otherwise(state["at"]).alias("at"), F.concat(state["sent"], F.array(send)).alias("sent"))
+
+    runs = rows.where("kind <> 'ok'").groupBy("module", "kind", "_run").agg(F.array_sort(F.collect_list("ts")).alias("all"))
+    sent = runs.withColumn("s", F.aggregate("all", start, scan)["sent"]).select("module", "kind", F.explode(F.arrays_zip("all", "s")).alias("x"))
+    return calm.unionByName(sent.select("module", F.col("x.all").alias("ts"), "kind", F.col("x.s").alias("sent")))
 
 
 def heartbeat(runs: DataFrame, as_of: str, stale_hours: int = 8) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postmill.operators.lineage import ranked
 from postmill.plans.registry import query
 from postmill.sources import tables
 
@@ -45,8 +46,8 @@ def move(rows: DataFrame, due: DataFrame, target: DataFrame, reason: str) -> tup
 
 
 def renumbered(rows: DataFrame, order: str) -> DataFrame:
-    """1..N in order; for sheets, whose size a person reads."""
-    return rows.withColumn("sr_no", F.row_number().over(Window.orderBy(order)))
+    """1..N in order."""
+    return ranked(rows, "sr_no", F.col(order))
 
 
 def read_corrections(df: DataFrame) -> DataFrame:

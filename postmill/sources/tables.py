@@ -52,12 +52,37 @@ SELECT event_type AS source, CAST(ts AS DATE) AS run, count(*) AS fetched, count
 FROM {events} GROUP BY 1, 2
 """
 
-TITLES = "SELECT doc_id AS id, source AS company, substr(text, 1, 80) AS title FROM {documents}"
+TITLES = "SELECT page_id AS id, regexp_extract(url, '^https?://([^/]+)', 1) AS company, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM {pages}"
 
 EMPLOYERS = """
 SELECT 'ACME ' || CAST(c_custkey % 60 AS STRING) || ' LLC' AS name, CAST(floor(c_acctbal) AS INT) AS approvals FROM {customer} WHERE c_acctbal > 0
 """
 
+#: postings with a wide range of texts, dealt to the orders in turn
+SAMPLE_TITLES = (
+    "Software Engineer Intern", "US Citizens Only - Software Engineer Intern", "Security Clearance Required Developer", "2025 New Grad Software Engineer", "New Grad Software Engineer 2027", "Summer 2027 Software Intern", "Spring 2027 Software Intern",
+    "Software Intern (Fall 2028)", "Software Engineer Summer 2027 Start", "Summer Data Intern", "Sales Analytics Intern", "Salesforce Developer", "Technical Recruiter", "Customer Solutions AI Intern", "Hardware Engineer", "Hardware Software Engineer",
+    "Silicon Validation AI Intern", "Senior Software Engineer", "Software Engineer III", "Software Engineer II", "Software Engineer 4", "Staff Engineer New Grad Program", "Registered Nurse", "Nurse Software Developer", "Data Engineer", "Engineering Manager",
+)
+SAMPLE_TEXTS = (
+    "We will consider all. Open to everyone.", "An active secret clearance is needed.", "Must be a U.S. citizen.", "Visa: no visa sponsorship.", "You graduate by December 2026.", "Permanent work authorization needed.", "For high school students only.",
+    "A currently enrolled undergraduate student.", "A currently enrolled undergraduate or master student.", "Undergraduate students only." + " filler" * 100 + " a master student", "A degree in nursing.", "A degree in biology or computer science.",
+    "Preferred degree: mechanical engineering.", "PhD students only.", "PhD students or master students.", "Enrolled at a university in Texas.", "We do not accept CPT.", "We do not accept OPT extensions, but are CPT eligible.", "US person status.",
+    "US person under export compliance rules.", "For bachelor''s students only.", "For the class of 2029.", "Graduating between 2026 and 2029.", "Class of 2028 or later.", "Pay is $18 - $22 per hour.", "Pay is $30 per hour.", "Needs 5+ years of work.", "Needs 2 to 6 years, or 4 years.",
+)
+SAMPLE_PLACES = ("Boston, MA", "Toronto, ON", "London", "London, KY", "Bangalore, India", "Remote", "", "San Francisco", "Vancouver, WA", "Cambridge, Ontario, Canada", "Munich, Germany", "Somewhere")
+
+
+def _dealt(values: tuple[str, ...]) -> str:
+    return f"CASE o_orderkey % {len(values)} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+
+
+SAMPLES = f"""
+SELECT o_orderkey AS id, {_dealt(SAMPLE_TITLES)} AS title, {_dealt(SAMPLE_TEXTS)} AS body, {_dealt(SAMPLE_PLACES)} AS location, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderkey % 9 AS INT) END AS age,
+  'Acme ' || CAST(o_custkey % 40 AS STRING) AS company, CASE o_orderkey % 5 WHEN 0 THEN 'https://jobs.acme.ca/1' WHEN 1 THEN 'https://acme.co.uk/jobs/2' ELSE 'https://acme.example.com/jobs/3' END AS url
+FROM {{orders}}
+"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -74,5 +99,6 @@ jobs = _derived(JOBS, "orders", "customer")
 runs = _derived(RUNS, "events")
 rejection_funnel = _derived(REJECTION_FUNNEL, "events")
 source_runs = _derived(SOURCE_RUNS, "events")
-titles = _derived(TITLES, "documents")
+samples = _derived(SAMPLES, "orders")
+titles = _derived(TITLES, "pages")
 employers = _derived(EMPLOYERS, "customer")
