@@ -87,7 +87,7 @@ def is_company(c: Column) -> Column:
 
 def clean_title(c: Column) -> Column:
     """In order: leading junk, spaced hyphens, segments after bars that name a team or month, 'X is hiring for', brackets, seasons (unless an internship), repeated halves; under five letters the original stays."""
-    t = F.regexp_replace(C.text(c), r"^[\W_]+", "")
+    t = F.regexp_replace(C.text(c), r"^[^\p{L}\p{N}]+", "")
     t = F.regexp_replace(t, r"\s+-\s+", " - ")
     t = F.array_join(F.filter(F.split(t, r"\s*\|\s*"), lambda s: ~F.lower(s).rlike(r"\bteam$|^(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*( \d{4})?$")), " | ")
     t = F.regexp_replace(t, r"(?i)^.{2,40} is hiring (for )?(an? )?", "")
@@ -174,18 +174,27 @@ query("p21_p22_p23_classes", """SELECT id, CASE WHEN title LIKE '%Co-op%' THEN '
     CASE WHEN title LIKE '%Machine Learning%' THEN 'Machine Learning' WHEN title LIKE '%Data%' THEN 'Data' WHEN title LIKE 'Solutions%' THEN 'Other' ELSE 'Software' END AS category FROM jobs""", "jobs")(
     lambda s, d: _jobs(s, d).select("id", job_type_of(F.col("title"), F.col("source")).alias("job_type"), track(F.col("title")).alias("track"), role_category(F.col("title")).alias("category"))
 )
-query("p31_job_id_votes", "SELECT id, CASE WHEN url LIKE 'https://boards%' THEN regexp_extract(url, '/jobs/(\\d+)', 1) END AS job_id, CASE WHEN url LIKE 'https://boards%' THEN 0.9::DOUBLE WHEN regexp_matches(url, '^ftp.*/\\d{5,}$') THEN 0.6::DOUBLE END AS confidence FROM jobs WHERE url IS NULL OR url NOT LIKE 'ftp%'", "jobs")(
-    lambda s, d: _jobs(s, d).where("url IS NULL OR url NOT LIKE 'ftp%'").select("id", job_id_votes(F.col("url")).alias("v")).select("id", "v.*")
+query("p31_job_id_votes", "SELECT id, CASE WHEN url LIKE 'https://boards%' THEN regexp_extract(url, '/jobs/(\\d+)', 1) WHEN regexp_matches(url, '^ftp.*/\\d{5,}$') THEN regexp_extract(url, '(\\d{5,})$', 1) END AS job_id, CASE WHEN url LIKE 'https://boards%' THEN 0.9::DOUBLE WHEN regexp_matches(url, '^ftp.*/\\d{5,}$') THEN 0.6::DOUBLE END AS confidence FROM jobs", "jobs")(
+    lambda s, d: _jobs(s, d).select("id", job_id_votes(F.col("url")).alias("v")).select("id", "v.*")
+)
+query("p39_page_age", "SELECT id, CASE WHEN id % 3 = 0 THEN NULL ELSE (id % 30)::INT END AS age FROM samples", "samples")(
+    lambda s, d: tables.samples(s, d).select("id", page_age(F.concat(F.lit("Start date: posted 9 days ago. "), "body", F.when(F.col("id") % 3 == 0, " Copyright: posted ").otherwise(" Posted: "), (F.col("id") % 30).cast("string"), F.lit(" days ago"))).alias("age"))
 )
-query("p39_page_age")(lambda s, d: tables.table(s, d, "documents").select("doc_id", page_age(F.col("text")).alias("age")))
 query("p42_p44_p45_names", "SELECT id, CASE WHEN company IN ('', 'Unknown') THEN NULL ELSE regexp_replace(company, ',? (Inc|LLC)[.]?$', '') END AS name, company NOT IN ('', 'Unknown') AS ok, location FROM jobs", "jobs")(
     lambda s, d: _jobs(s, d).select("id", company_name(F.col("company")).alias("name"), is_company(F.col("company")).alias("ok"), with_state_codes(F.col("location")).alias("location"))
 )
-query("p46_p55_titles")(lambda s, d: tables.table(s, d, "pages").select("page_id", page_title_role(F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1), F.lit("")).alias("role"), clean_title(F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1)).alias("title"), place_in_url(F.col("url")).alias("place")))
-query("f15_international")(lambda s, d: _jobs(s, d).select("id", international(F.col("location"), F.col("url"), F.col("title"), F.col("company")).alias("reason")))
+query("p46_p55_titles", """SELECT id, CASE id % 26 WHEN 1 THEN 'US Citizens Only' ELSE title END AS role, CASE id % 26 WHEN 7 THEN 'Software Intern' WHEN 8 THEN 'Software Engineer Start' ELSE title END AS title, CASE WHEN id % 2 = 0 THEN 'San Jose, CA' END AS place FROM samples""", "samples")(
+    lambda s, d: tables.samples(s, d).select("id", page_title_role(F.concat("title", F.lit(" at Acme - Careers")), F.lit("")).alias("role"), clean_title(F.concat(F.lit("-- "), "title", F.lit(" [Remote] | Platform Team"))).alias("title"), place_in_url(F.concat(F.lit("https://x.example.com/job/San-Jose-"), F.when(F.col("id") % 2 == 0, "CA").otherwise("ZZ"), F.lit("/1"))).alias("place"))
+)
+query("f15_international", """SELECT id, CASE WHEN id % 5 < 2 THEN 'url' ELSE CASE id % 12 WHEN 1 THEN 'province' WHEN 4 THEN 'place' WHEN 9 THEN 'ambiguous_city' WHEN 10 THEN 'place' END END AS reason FROM samples""", "samples")(
+    lambda s, d: tables.samples(s, d).select("id", international(F.col("location"), F.col("url"), F.col("title"), F.col("company")).alias("reason"))
+)
+query("f15d_company", "SELECT id, CASE WHEN id % 4 = 0 THEN 'company' END AS reason FROM samples WHERE id % 12 = 0", "samples")(
+    lambda s, d: tables.samples(s, d).where("location = 'Boston, MA'").select("id", international(F.col("location"), F.lit(""), F.col("title"), F.concat("company", F.lit(" GmbH"))).alias("reason"))
+)
 query("j11_revised_company")(lambda s, d: revised_company(_jobs(s, d)))
-query("j12_same_employer", "SELECT id, CASE WHEN company LIKE 'Acme%' AND url LIKE 'https%' THEN true ELSE false END AS same FROM jobs WHERE company LIKE 'Acme%' AND url LIKE 'https%'", "jobs")(
-    lambda s, d: _jobs(s, d).where("company LIKE 'Acme%' AND url LIKE 'https%'").select("id", enrich.same_employer(F.col("company"), F.lit("Acme Holdings")).alias("same"))
+query("j12_same_employer", "SELECT id, company LIKE 'Acme%' AS same FROM jobs", "jobs")(
+    lambda s, d: _jobs(s, d).select("id", enrich.same_employer(F.col("company"), F.concat(F.lit("Acme "), (F.col("id") % 7).cast("string"), F.lit(" Holdings"))).alias("same"))
 )
 query("j14_reconciled", "SELECT id, title || ' Remote' AS title FROM jobs", "jobs")(lambda s, d: _jobs(s, d).select("id", enrich.reconciled(F.col("title"), F.concat("title", F.lit(" Remote")))[0].alias("title")))
 query("j10_a37_run_counters", "SELECT ts, 'dedup' AS stage, 'duplicate_url' AS reason, duplicate_url AS count FROM runs WHERE duplicate_url > 0 UNION ALL SELECT ts, 'dedup', 'duplicate_job', duplicate_job FROM runs WHERE duplicate_job > 0 UNION ALL SELECT ts, 'age', 'skipped_old', skipped_old FROM runs WHERE skipped_old > 0 UNION ALL SELECT ts, 'fetch', 'failed_http', failed_http FROM runs WHERE failed_http > 0 UNION ALL SELECT ts, 'validation', 'discarded', discarded FROM runs WHERE discarded > 0", "runs")(
@@ -194,8 +203,8 @@ query("j10_a37_run_counters", "SELECT ts, 'dedup' AS stage, 'duplicate_url' AS r
 query("a27_u2_sheet_yield", "SELECT coalesce(source, 'Unknown') AS source, count(*) FILTER (outcome = 'valid') AS valid, count(*) FILTER (outcome = 'discarded') AS discarded, round(count(*) FILTER (outcome = 'valid')::DOUBLE / count(*), 4) AS yield FROM jobs WHERE outcome IN ('valid', 'discarded') GROUP BY 1", "jobs")(
     lambda s, d: sheet_yield(_jobs(s, d).where("outcome = 'valid'"), _jobs(s, d).where("outcome = 'discarded'"))
 )
-query("s5_incremental", "SELECT id FROM jobs WHERE id % 2 = 0 AND url IS NOT NULL AND url NOT IN (SELECT url FROM jobs WHERE id % 2 = 1 AND url IS NOT NULL)", "jobs")(
-    lambda s, d: _jobs(s, d).where("id % 2 = 0 AND url IS NOT NULL").join(_jobs(s, d).where("id % 2 = 1").select("url"), "url", "left_anti").select("id")
+query("s5_incremental", "SELECT id FROM jobs WHERE url IS NOT NULL AND url NOT IN (SELECT url FROM jobs WHERE outcome = 'valid' AND url IS NOT NULL)", "jobs")(
+    lambda s, d: _jobs(s, d).where("url IS NOT NULL").join(_jobs(s, d).where("outcome = 'valid'").select("url"), "url", "left_anti").select("id")
 )
 query("a28_snapshot_views", "SELECT 'jobs' AS view, count(*) AS rows FROM fact WHERE outcome = 'valid' AND url LIKE 'http%' UNION ALL SELECT 'companies', count(*) FROM dim_company UNION ALL SELECT 'weekly', count(DISTINCT p_week) FROM fct_weekly_ingest", "fact", "dim_company", "fct_weekly_ingest")(lambda s, d: _snapshot(s, d))
 

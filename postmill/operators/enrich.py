@@ -208,6 +208,21 @@ def contact_priority(tracker: DataFrame, jobs: DataFrame) -> DataFrame:
     return tracker.join(jobs.select("id", "location", "sponsorship"), "id").select("id", F.when(F.col("sponsorship") == "No", "Skip").when((F.col("sponsorship") == "Yes") & hub, "yes").when(F.col("status") == "Applied", "yes").otherwise("later").alias("priority"))
 
 
+def contact_lookup(rows: DataFrame, contacts: DataFrame, most_bounces: int = 1) -> DataFrame:
+    """Rows (company, title) with the address of a contact (company, role, email, bounces) of their company and role, unless it bounced twice."""
+    good = contacts.where((C.text(F.col("email")) != "") & (F.coalesce("bounces", F.lit(0)) <= most_bounces)).groupBy(C.company_key(F.col("company")).alias("_c"), C.squash(F.col("role")).alias("_r")).agg(F.min("email").alias("email"))
+    return rows.join(good, (C.company_key(F.col("company")) == F.col("_c")) & (C.squash(F.col("title")) == F.col("_r")), "left").drop("_c", "_r")
+
+
+def learned_report(jobs: DataFrame, n: int = 10) -> DataFrame:
+    """Section, label and number: sizes of what is learned, the commonest error patterns, and preferred roles (words of accepted titles)."""
+    count = F.count(F.lit(1))
+    sizes = jobs.agg(F.count_distinct("company").alias("companies"), F.count_distinct("source").alias("sources"), F.count_if(F.col("outcome") == "valid").alias("accepted")).unpivot([], ["companies", "sources", "accepted"], "label", "n").select(F.lit("size").alias("section"), "label", "n")
+    errors = jobs.where("outcome = 'discarded' AND rejection_reason <> ''").groupBy(C.discard_reason(F.col("rejection_reason")).alias("label")).agg(count.alias("n")).orderBy(F.desc("n"), "label").limit(n).select(F.lit("error").alias("section"), "label", "n")
+    roles = jobs.where("outcome = 'valid'").groupBy(F.col("title").alias("label")).agg(count.alias("n")).orderBy(F.desc("n"), "label").limit(n).select(F.lit("role").alias("section"), "label", "n")
+    return sizes.unionByName(errors).unionByName(roles)
+
+
 #: fixed values: states by time zone, for the send slot
 ZONES = {"America/New_York": ("MA", "NY", "NJ", "PA", "FL", "GA"), "America/Chicago": ("TX", "IL"), "America/Denver": ("CO",), "America/Los_Angeles": ("CA", "WA", "OR")}
 

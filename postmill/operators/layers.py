@@ -67,14 +67,12 @@ def conformed(rows: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_layer(rows: DataFrame, path: str, *partition_by: str) -> int:
-    """K1, K2: writes a layer, replacing only the partitions at hand; an empty input writes nothing. Gives the row count.
+    """K1, K2: writes a layer, replacing only the partitions at hand, so an empty input changes nothing. Gives the row count.
 
     The count comes with the write itself (an observation), not from a second pass.
     """
     from pyspark.sql import Observation
 
-    if rows.isEmpty():
-        return 0
     seen = Observation()
     rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     return seen.get["n"]
@@ -82,8 +80,8 @@ def write_layer(rows: DataFrame, path: str, *partition_by: str) -> int:
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
     """A layer with its partition values as text columns; files of different age are merged by name."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return spark.read.option("mergeSchema", True).option("basePath", path).parquet(path)
+    rows = spark.read.option("mergeSchema", True).option("basePath", path).parquet(path)
+    return rows.select(*[F.col(f.name).cast("string").alias(f.name) if f.name.startswith("p_") else F.col(f.name) for f in rows.schema])
 
 
 def read_jobs(jobs: DataFrame, week: str | None = None) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -19,6 +20,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of spark.checkpoint.dir; only a local session without the setting gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{(folder or tempfile.mkdtemp(prefix='spark-shared-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def ranked(rows: DataFrame, name: str, *order: Column, by: tuple[str, ...] = ()) -> DataFrame:
     """rows with a number from 1 in the given order, within each value of `by`.
 

@@ -18,6 +18,7 @@ from postmill.operators import gates
 from postmill.plans.registry import query
 from postmill.sources import tables
 
+BODY_ROWS = 4000
 POSTING = ("company", "title", "location", "url", "job_id", "source", "age", "is_closed")
 BOARDS = {
     "greenhouse": "struct<jobs:array<struct<id:bigint,title:string,absolute_url:string,updated_at:string,location:struct<name:string>>>>",
@@ -26,6 +27,7 @@ BOARDS = {
     "smartrecruiters": "struct<content:array<struct<id:string,name:string,location:struct<city:string,region:string,country:string>>>>",
     "workday": "struct<jobPostings:array<struct<title:string,externalPath:string,locationsText:string,postedOn:string,bulletFields:array<string>>>>",
     "workable": "struct<jobs:array<struct<shortcode:string,title:string,location:struct<city:string,region:string>>>>",
+    "workday_tenants": "struct<jobPostings:array<struct<title:string,externalPath:string,locationsText:string,postedOn:string,bulletFields:array<string>>>>",
     "rippling": "array<struct<uuid:string,name:string,url:string,workLocation:struct<label:string>>>",
     "themuse": "struct<results:array<struct<id:bigint,name:string,locations:array<struct<name:string>>,company:struct<name:string>,refs:struct<landing_page:string>,publication_date:string>>>",
     "remotive": "struct<jobs:array<struct<id:bigint,title:string,company_name:string,candidate_required_location:string,url:string,publication_date:string>>>",
@@ -43,7 +45,7 @@ def board_postings(payloads: DataFrame, board: str, as_of: str) -> DataFrame:
     """Postings of a board's landed payloads (company, body: JSON text). Bodies that don't parse have none."""
     kind, day = BOARDS[board], F.lit(as_of).cast("date")
     parsed = payloads.select(F.col("company"), F.from_json("body", kind).alias("p"))
-    at = {"greenhouse": "p.jobs", "ashby": "p.jobs", "smartrecruiters": "p.content", "workday": "p.jobPostings", "workable": "p.jobs", "themuse": "p.results", "remotive": "p.jobs"}.get(board, "p")
+    at = {"greenhouse": "p.jobs", "ashby": "p.jobs", "smartrecruiters": "p.content", "workday": "p.jobPostings", "workday_tenants": "p.jobPostings", "workable": "p.jobs", "themuse": "p.results", "remotive": "p.jobs"}.get(board, "p")
     j = parsed.select(F.col("company").alias("_landed"), F.explode(F.col(at)).alias("j")).select("_landed", "j.*")
     company = F.col("company_name") if board == "remotive" else F.coalesce("company.name", "_landed") if board == "themuse" else F.col("_landed")
     if board == "greenhouse":
@@ -59,6 +61,12 @@ def board_postings(payloads: DataFrame, board: str, as_of: str) -> DataFrame:
     if board == "workday":
         bullet = F.try_element_at(F.filter("bulletFields", lambda b: b.rlike(r"^[A-Z]{0,4}-?\d{3,}")), F.lit(1))
         return _shape(j, board, company=company, title=F.col("title"), location=F.col("locationsText"), url=F.concat(F.lit("https://"), "_landed", F.lit(".myworkdayjobs.com"), "externalPath"), job_id=bullet, age=C.age_from_text(F.col("postedOn")))
+    if board == "workday_tenants":
+        # the key is tenant|data centre|site; a path counts once within its tenant
+        key = [F.get(F.split("_landed", r"\|"), F.lit(i)) for i in range(3)]
+        bullet = F.coalesce(F.try_element_at(F.filter("bulletFields", lambda b: b.rlike(r"^[A-Z]{0,4}-?\d{3,}")), F.lit(1)), F.nullif(F.regexp_extract("externalPath", r"_((?:JR|R|REQ)?-?\d{3,})", 1), F.lit("")))
+        once = j.withColumn("_n", F.row_number().over(Window.partitionBy(key[0], "externalPath").orderBy("title", "postedOn"))).where("_n = 1").drop("_n")
+        return _shape(once, board, company=key[0], title=F.col("title"), location=F.col("locationsText"), url=F.concat(F.lit("https://"), key[0], F.lit("."), key[1], F.lit(".myworkdayjobs.com/"), key[2], F.col("externalPath")), job_id=bullet, age=C.age_from_text(F.col("postedOn")))
     if board == "workable":
         return _shape(j, board, company=company, title=F.col("title"), location=F.concat_ws(", ", "location.city", "location.region"), url=F.concat(F.lit("https://apply.workable.com/"), "_landed", F.lit("/j/"), "shortcode"), job_id=F.col("shortcode"))
     if board == "rippling":
@@ -159,6 +167,53 @@ def html_postings(pages: DataFrame) -> DataFrame:
     return rows.select("page_id", company.alias("company"), F.col("cells")[1].alias("title"), F.col("cells")[2].alias("location"), F.try_element_at(F.filter("links", lambda x: x.startswith("http")), F.lit(-1)).alias("url"), F.element_at("cells", -1).alias("age"))
 
 
+class _Cards(HTMLParser):
+    """Cards of an alert mail: a link to a posting, its text or its logo's name, and the text up to the next card."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.cards, self.open = [], False
+
+    def handle_starttag(self, tag, attrs):
+        values = dict(attrs)
+        if tag == "a" and JOB_LINK.search(values.get("href") or ""):
+            self.cards.append([values["href"], "", "", ""])
+            self.open = True
+        elif tag == "img" and self.cards and not self.cards[-1][3]:
+            self.cards[-1][3] = values.get("alt") or ""
+
+    def handle_data(self, data):
+        if self.cards and data.strip():
+            self.cards[-1][1 if self.open else 2] += data.strip() + ("" if self.open else "\n")
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.open = False
+
+
+JOB_LINK = re.compile(r"https?://[^/]*(?:linkedin\.com/(?:comm/)?jobs/view/(\d+)|jobright\.ai/jobs/info/(\w+)|ziprecruiter\.com/(?:jobs|c)/[^?#]*?(\w+))(?:[/?#]|$)")
+
+
+def alert_cards(mails: DataFrame) -> DataFrame:
+    """Postings of the cards in alert mails (mail_id, html): the line after the title is 'company · location'; the
+    logo's name stands in for a missing company. A URL without its query counts once. Parsing is per mail, in Python."""
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            out = []
+            for mail_id, html in zip(part["mail_id"], part["html"], strict=True):
+                parser = _Cards()
+                parser.feed(html or "")
+                for href, title, after, logo in parser.cards:
+                    company, _, place = (after.split("\n")[0] if "·" in after.split("\n")[0] else "").partition("·")
+                    host = "LinkedIn" if "linkedin" in href else "Jobright" if "jobright" in href else "ZipRecruiter"
+                    job_id = next(g for g in JOB_LINK.search(href).groups() if g)
+                    out.append((mail_id, company.strip() or logo.removesuffix(" logo") or "Unknown", title or "Unknown", place.strip() or "Unknown", re.sub(r"[?#].*", "", href), job_id, host))
+            yield pd.DataFrame(out, columns=["mail_id", "company", "title", "location", "url", "job_id", "source"])
+
+    cards = mails.select("mail_id", "html").mapInPandas(run, "mail_id long, company string, title string, location string, url string, job_id string, source string")
+    return cards.groupBy("url").agg(F.min_by(F.struct("company", "title", "location", "job_id", "source"), "mail_id").alias("c")).select("url", "c.*")
+
+
 def sheet_records(values: DataFrame, header: list[str]) -> DataFrame:
     """S3: rows of a sheet (cells: array of texts) by header; the first of equal names wins, short rows are padded, empty rows go."""
     seen: dict[str, int] = {}
@@ -220,18 +275,32 @@ def work_mode(location: Column, description: Column) -> Column:
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """page_id, field, value, confidence: what title, meta tags, labelled text and URL say about a page."""
+    """page_id, field, value, confidence: what structured data, title, meta tags, data attributes, marked elements, labelled
+    text and URL say about a page."""
+    data = F.regexp_extract("html", r"(?is)<script[^>]+type=\"application/ld\+json\"[^>]*>(.*?)</script>", 1)
+    said_by = lambda path: F.get_json_object(data, path)
+    attribute = lambda name: F.regexp_extract("html", rf"(?i)\bdata-{name}=\"([^\"]+)", 1)
+    marked = lambda name: F.regexp_extract("html", rf"(?i)<\w+[^>]+(?:class|id|itemprop)=\"[^\"]*\b{name}\b[^\"]*\"[^>]*>\s*([^<]{{2,80}})", 1)
     meta = lambda name: F.regexp_extract("html", rf"(?i)<meta[^>]+(?:name|property)=\"{name}\"[^>]+content=\"([^\"]+)", 1)
     label = lambda name: F.regexp_extract(gates.page_text(F.col("html")), rf"(?i)\b{name}:\s*([^.|<]{{2,60}}?)(?=\s{{2}}|[.|<]|$)", 1)
     said = [
         ("title", F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1), 0.7), ("title", F.regexp_replace(F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1), "<[^>]+>", ""), 0.9), ("company", meta("og:site_name"), 0.9),
         ("company", F.regexp_extract("url", r"^https?://(?:www\.|m\.)?([^./]+)", 1), 0.4), ("location", label("location"), 0.8), ("job_id", C.board_job_id(F.col("url")), 0.9), ("job_id", label("job id"), 0.85), ("job_type", label("job type"), 0.8),
+        ("title", said_by("$.title"), 0.95), ("company", said_by("$.hiringOrganization.name"), 0.93), ("company", marked("company(?:-name)?"), 0.85), ("job_type", said_by("$.employmentType"), 0.95), ("job_type", meta("job-type"), 0.9),
+        ("location", F.nullif(F.concat_ws(", ", said_by("$.jobLocation.address.addressLocality"), said_by("$.jobLocation.address.addressRegion")), F.lit("")), 0.95), ("location", marked("(?:job-)?location"), 0.88), ("location", names_place(F.col("url")), 0.7),
+        ("job_id", said_by("$.identifier.value"), 0.95), ("job_id", attribute("job-?id"), 0.9), ("job_id", meta("job-?id"), 0.95),
         ("language", F.regexp_extract("html", r"(?i)<html[^>]+lang=\"([a-z]{2})", 1), 0.95), ("language", F.regexp_extract("url", r"/(en|de|fr|es)/", 1), 0.6),
     ]
     found = F.array(*[F.struct(F.lit(f).alias("field"), F.trim(v).alias("value"), F.lit(c).alias("confidence")) for f, v, c in said])
     return pages.select("page_id", F.explode(found).alias("v")).select("page_id", "v.*").where("value IS NOT NULL AND value <> ''")
 
 
+def names_place(url: Column) -> Column:
+    """'City-ST' in a URL's path as 'City, ST'."""
+    city, state = (F.regexp_extract(C.text(url), r"/([A-Z][a-z]+(?:-[A-Z][a-z]+)?)-([A-Z]{2})(?:[/_?-]|$)", i) for i in (1, 2))
+    return F.when(state.isin(*C.STATES), F.concat(F.replace(city, F.lit("-"), F.lit(" ")), F.lit(", "), state))
+
+
 def elected(cast: DataFrame, least: float = 0.3) -> DataFrame:
     """Of each page and field the value with the best score: number of votes * 1.2 * mean confidence."""
     by = cast.where(F.col("confidence") >= least).where("lower(value) <> 'unknown'").groupBy("page_id", "field", "value").agg((F.count(F.lit(1)) * 1.2 * F.avg("confidence")).alias("score"), F.max("confidence").alias("confidence"))
@@ -244,17 +313,23 @@ def _landed(spark: SparkSession, sf_dir: str, board: str) -> DataFrame:
     one = {
         "greenhouse": F.struct(F.col("id"), "title", F.col("url").alias("absolute_url"), F.col("processed_at").alias("updated_at"), F.struct(F.col("location").alias("name")).alias("location")),
         "lever": F.struct(F.col("id").cast("string").alias("id"), F.col("title").alias("text"), F.col("url").alias("hostedUrl"), (F.unix_timestamp(F.to_timestamp("processed_at")) * 1000).alias("createdAt"), F.struct("location").alias("categories")),
+        "smartrecruiters": F.struct(F.col("id").cast("string").alias("id"), F.concat_ws(" ", "title", F.col("id").cast("string")).alias("name"), F.struct(F.lit("Boston").alias("city"), F.lit("MA").alias("region"), F.when(F.col("id") % 3 == 0, "ca").otherwise("us").alias("country")).alias("location")),
+        "workable": F.struct(F.col("id").cast("string").alias("shortcode"), "title", F.struct(F.lit("Boston").alias("city"), F.lit("MA").alias("region")).alias("location")),
+        "rippling": F.struct(F.col("id").cast("string").alias("uuid"), F.col("title").alias("name"), "url", F.struct(F.col("location").alias("label")).alias("workLocation")),
+        "themuse": F.struct("id", F.col("title").alias("name"), F.array(F.struct(F.lit(" ").alias("name")), F.struct(F.col("location").alias("name"))).alias("locations"), F.struct(F.col("company").alias("name")).alias("company"), F.struct(F.col("url").alias("landing_page")).alias("refs"), F.col("processed_at").alias("publication_date")),
+        "remotive": F.struct("id", "title", F.col("company").alias("company_name"), F.col("location").alias("candidate_required_location"), "url", F.col("processed_at").alias("publication_date")),
         "workday": F.struct("title", F.concat(F.lit("/job/"), F.col("id").cast("string")).alias("externalPath"), F.col("location").alias("locationsText"), F.concat(F.lit("Posted "), (F.col("id") % 30).cast("string"), F.lit(" Days Ago")).alias("postedOn"), F.array(F.lit("Full time"), F.col("job_id")).alias("bulletFields")),
     }[board]
-    items = F.array_sort(F.collect_list(one)) if board != "workday" else F.collect_list(one)
-    body = F.to_json(items) if board == "lever" else F.to_json(F.struct(items.alias("jobPostings" if board == "workday" else "jobs")))
-    return rows.groupBy(F.col("slug").alias("company")).agg(body.alias("body"))
+    items = F.collect_list(one)
+    body = F.to_json(items) if board in ("lever", "rippling") else F.to_json(F.struct(items.alias({"workday": "jobPostings", "smartrecruiters": "content", "themuse": "results"}.get(board, "jobs"))))
+    # a body holds at most so many postings
+    return rows.groupBy(F.col("slug").alias("company"), F.floor(F.col("id") / BODY_ROWS).alias("page")).agg(body.alias("body")).drop("page")
 
 
 def _markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tables.jobs(spark, sf_dir).where("company <> '' AND url LIKE 'http%'")
     line = F.concat(F.lit("| "), F.when(F.col("id") % 4 == 0, "↳").otherwise(F.col("company")), F.lit(" | "), "title", F.lit(" | "), "location", F.lit(" | [apply]("), "url", F.lit(") | "), (F.col("id") % 20).cast("string"), F.lit("d |"))
-    grouped = rows.groupBy(F.col("processed_at").alias("path")).agg(F.transform(F.array_sort(F.collect_list(F.struct("id", line.alias("line")))), lambda x: x["line"]).alias("lines"))
+    grouped = rows.groupBy(F.concat_ws("/", "processed_at", F.floor(F.col("id") / BODY_ROWS).cast("string")).alias("path")).agg(F.transform(F.array_sort(F.collect_list(F.struct("id", line.alias("line")))), lambda x: x["line"]).alias("lines"))
     return grouped.select("path", F.concat(F.lit("| Company | Role | Location | Link | Age |\n|---|---|---|---|---|\n"), F.array_join("lines", "\n")).alias("value"))
 
 
@@ -272,14 +347,38 @@ for _board, _id in (("greenhouse", "CAST(id AS VARCHAR)"), ("lever", "CAST(id AS
         lambda s, d, b=_board: board_postings(_landed(s, d, b), b, tables.JOBS_AS_OF)
     )
 query("s14b_workday", f"SELECT {SLUG} AS company, title, location, 'https://' || {SLUG} || '.myworkdayjobs.com/job/' || id AS url, CASE WHEN regexp_matches(job_id, '^[A-Z]{{0,4}}-?[0-9]{{3,}}') THEN job_id ELSE 'N/A' END AS job_id, 'workday' AS source, id % 30 AS age, false AS is_closed FROM jobs WHERE url IS NOT NULL AND company <> ''", "jobs")(lambda s, d: board_postings(_landed(s, d, "workday"), "workday", tables.JOBS_AS_OF))
+RECENT = f"CASE WHEN date_diff('day', substr(processed_at, 1, 10)::DATE, DATE '{tables.JOBS_AS_OF}') <= 3650 THEN date_diff('day', substr(processed_at, 1, 10)::DATE, DATE '{tables.JOBS_AS_OF}') END"
+for _board, _company, _title, _place, _url, _id, _age in (
+    ("smartrecruiters", SLUG, "title || ' ' || id", "'Boston, MA'", f"'https://jobs.smartrecruiters.com/' || {SLUG} || '/' || id", "id", "NULL"), ("workable", SLUG, "title", "'Boston, MA'", f"'https://apply.workable.com/' || {SLUG} || '/j/' || id", "id", "NULL"),
+    ("rippling", SLUG, "title", "location", "url", "id", "NULL"), ("themuse", "company", "title", "location", "url", "id", RECENT), ("remotive", "company", "title", "location", "url", "id", RECENT),
+):
+    query({"smartrecruiters": "s14a_", "workable": "s14d_", "rippling": "s14e_", "themuse": "s10_", "remotive": "s11_"}[_board] + _board, f"SELECT {_company} AS company, {_title} AS title, {_place} AS location, {_url} AS url, CAST({_id} AS VARCHAR) AS job_id, '{_board}' AS source, {_age} AS age, false AS is_closed {LANDED}" + " AND id % 3 <> 0" * (_board == "smartrecruiters"), "jobs")(
+        lambda s, d, b=_board: board_postings(_landed(s, d, b), b, tables.JOBS_AS_OF)
+    )
+
+
+def _tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each posting lands twice, on two sites of its tenant."""
+    posting = F.struct("title", F.concat(F.lit("/job/x_JR"), F.col("id").cast("string")).alias("externalPath"), F.col("location").alias("locationsText"), F.lit("Posted Today").alias("postedOn"), F.array(F.lit("Full time")).alias("bulletFields"))
+    rows = tables.jobs(spark, sf_dir).where("company <> ''").withColumn("site", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    grouped = rows.groupBy(F.concat_ws("|", C.squash(F.col("company")), F.lit("wd1"), "site").alias("company"), F.floor(F.col("id") / BODY_ROWS).alias("page")).agg(F.to_json(F.struct(F.collect_list(posting).alias("jobPostings"))).alias("body"))
+    return board_postings(grouped.drop("page"), "workday_tenants", tables.JOBS_AS_OF)
+
+
+query("s14c_workday_tenants", f"SELECT {SLUG} AS company, title, CASE WHEN id < 100 THEN 'N/A' ELSE 'JR' || id END AS job_id, 0 AS age FROM jobs WHERE company <> ''", "jobs")(lambda s, d: _tenants(s, d).select("company", "title", "job_id", "age"))
+CARD = "'<td><a href=\"https://www.linkedin.com/comm/jobs/view/' || CAST(id AS STRING) || '?trk=mail\"><img alt=\"Logo Co logo\">' || title || '</a><p>' || CASE WHEN id % 5 = 0 THEN '' ELSE company || ' · ' || location END || '</p></td><td><a href=\"https://jobright.ai/jobs/info/j' || CAST(id AS STRING) || '\">' || title || '</a><p>' || company || ' · ' || location || '</p></td>'"
+query("s20_alert_cards", """WITH c AS (SELECT id, company, title, location, 'https://www.linkedin.com/comm/jobs/view/' || id AS url, id::VARCHAR AS job_id, 'LinkedIn' AS source FROM jobs WHERE company <> '' UNION ALL SELECT id, company, title, location, 'https://jobright.ai/jobs/info/j' || id, 'j' || id, 'Jobright' FROM jobs WHERE company <> '')
+    SELECT url, CASE WHEN source = 'LinkedIn' AND id % 5 = 0 THEN 'Logo Co' ELSE company END AS company, title, CASE WHEN source = 'LinkedIn' AND id % 5 = 0 THEN 'Unknown' ELSE location END AS location, job_id, source FROM c""", "jobs")(
+    lambda s, d: alert_cards(tables.jobs(s, d).where("company <> ''").select(F.col("id").alias("mail_id"), F.expr(CARD).alias("html")))
+)
 query("s9_json_lines", "SELECT id, company, title FROM jobs WHERE trim(company) <> '' AND url LIKE 'http%' AND coalesce(source, '') <> ''", "jobs")(
     lambda s, d: json_lines(tables.jobs(s, d).select(F.to_json(F.struct("company", "title", "location", "url", F.col("id").cast("string").alias("job_id"), "source")).alias("value")))[0].select(F.col("job_id").cast("long").alias("id"), "company", "title")
 )
-query("s12_s16_s21_union", "SELECT url, min(source) AS source FROM (SELECT url, 'a' AS source FROM jobs WHERE id % 2 = 0 UNION ALL SELECT url, 'b' FROM jobs WHERE id % 3 = 0) GROUP BY 1", "jobs")(
-    lambda s, d: union_first([tables.jobs(s, d).where("id % 2 = 0").select("url", "title", F.lit("a").alias("source")), tables.jobs(s, d).where("id % 3 = 0").select("url", "title", F.lit("b").alias("source"))]).select("url", "source")
+query("s12_s16_s21_union", "SELECT url, min(source) AS source FROM (SELECT regexp_replace(url, '[?].*', '') AS url, outcome AS source FROM jobs) GROUP BY 1", "jobs")(
+    lambda s, d: union_first([tables.jobs(s, d).where(F.col("outcome") == x).select(F.regexp_replace("url", "[?].*", "").alias("url"), "title", F.lit(x).alias("source")) for x in ("valid", "discarded", "reviewed")]).select("url", "source")
 )
 query("s15_forum")(lambda s, d: forum_postings(tables.jobs(s, d).select(F.concat_ws(" | ", "company", "location", "title").alias("line"), "url").select(F.concat("line", F.lit("\nwe hire interns <a href=\""), F.coalesce("url", F.lit("")), F.lit("\">")).alias("text"))))
-MD = """WITH r AS (SELECT *, CASE WHEN id % 4 = 0 THEN NULL ELSE company END AS own FROM jobs WHERE company <> '' AND url LIKE 'http%') SELECT processed_at AS path, last_value(own IGNORE NULLS) OVER (PARTITION BY processed_at ORDER BY id ROWS UNBOUNDED PRECEDING) AS company, title, location, url, (id % 20) || 'd' AS age FROM r"""
+MD = """WITH r AS (SELECT *, CASE WHEN id % 4 = 0 THEN NULL ELSE company END AS own FROM jobs WHERE company <> '' AND url LIKE 'http%') SELECT processed_at || '/' || (id // 4000) AS path, last_value(own IGNORE NULLS) OVER (PARTITION BY processed_at, id // 4000 ORDER BY id ROWS UNBOUNDED PRECEDING) AS company, title, location, url, (id % 20) || 'd' AS age FROM r"""
 query("s17_w2_markdown", MD, "jobs")(lambda s, d: markdown_rows(_markdown(s, d)).drop("line_no"))
 query("s18_html_tables", "SELECT id // 100 AS page_id, company, title, location, url, (id % 20) || 'd' AS age FROM jobs WHERE company <> '' AND url LIKE 'http%'", "jobs")(lambda s, d: html_postings(_html(s, d)))
 query("s3_s4_sheet", "SELECT company, title, coalesce(nullif(source, ''), 'Unknown') AS source FROM (SELECT coalesce(nullif(company, ''), 'Unknown') AS company, title, source FROM jobs)", "jobs")(
@@ -288,3 +387,13 @@ query("s3_s4_sheet", "SELECT company, title, coalesce(nullif(source, ''), 'Unkno
 query("p40_plain_text")(lambda s, d: tables.table(s, d, "pages").select("page_id", plain_text(F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)).alias("title")))
 query("p41_p43_location_mode")(lambda s, d: tables.jobs(s, d).select("id", clean_location(F.col("location")).alias("location"), work_mode(F.col("location"), F.col("remote")).alias("mode")))
 query("p54_a48_votes")(lambda s, d: elected(votes(tables.table(s, d, "pages"))))
+LD = """CONCAT('<script type="application/ld+json">{"title":"', title, '","hiringOrganization":{"name":"', company, '"},"jobLocation":{"address":{"addressLocality":"Boston","addressRegion":"MA"}},"employmentType":"INTERN","identifier":{"value":"', id, '"}}</script>')"""
+HTML = f"""CONCAT('<html><head><title>', title, '</title>', CASE WHEN id % 2 = 0 THEN {LD} ELSE '' END, '<meta name="job-id" content="', id, '"></head><body data-job-id="', id, '"><h1>', title, '</h1><b class="company-name">', company, ' Ltd</b><i class="job-location">', CASE WHEN id % 3 = 0 THEN 'Austin, TX' ELSE 'Boston, MA' END, '</i></body></html>')"""
+query("p54_sample_votes", """WITH v AS (SELECT id AS page_id, 'title' AS field, title AS value, c AS confidence FROM samples, (VALUES (0.7), (0.9), (0.95)) t(c) WHERE c < 0.95 OR id % 2 = 0
+    UNION ALL SELECT id, 'company', company, 0.93 FROM samples WHERE id % 2 = 0 UNION ALL SELECT id, 'company', company || ' Ltd', 0.85 FROM samples UNION ALL SELECT id, 'company', 'example', 0.4 FROM samples
+    UNION ALL SELECT id, 'job_type', 'INTERN', 0.95 FROM samples WHERE id % 2 = 0 UNION ALL SELECT id, 'location', 'Boston, MA', 0.95 FROM samples WHERE id % 2 = 0 UNION ALL SELECT id, 'location', CASE WHEN id % 3 = 0 THEN 'Austin, TX' ELSE 'Boston, MA' END, 0.88 FROM samples
+    UNION ALL SELECT id, 'job_id', id::VARCHAR, c FROM samples, (VALUES (0.95, 1), (0.9, 1), (0.95, 0)) t(c, k) WHERE k = 1 OR id % 2 = 0),
+    g AS (SELECT page_id, field, value, count(*) * 1.2::DOUBLE * avg(confidence::DOUBLE) AS score, max(confidence)::DOUBLE AS confidence FROM v GROUP BY 1, 2, 3)
+    SELECT page_id, field, arg_max(value, (score, confidence, value)) AS value, arg_max(confidence, (score, confidence, value)) AS confidence, round(max(score), 4) AS score FROM g GROUP BY 1, 2""", "samples")(
+    lambda s, d: elected(votes(tables.samples(s, d).selectExpr("id AS page_id", f"{HTML} AS html", "'https://www.example.com/p' AS url")))
+)

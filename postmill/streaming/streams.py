@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from postmill.operators.lineage import shared_path
 from postmill.plans.registry import query
 from postmill.sources import tables
 
@@ -56,21 +57,49 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 day") ->
 def last_runs(events: DataFrame, keep: int = 30) -> DataFrame:
     """Per source, how many of its last `keep` values lie at 50 or above, kept in state between batches."""
     def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        values = list(state.get[0]) if state.exists else []
+        at, values = state.get if state.exists else ([], [])
+        held = pd.DataFrame({"ts": list(at), "value": list(values)})
         for part in parts:
-            values += part.sort_values("ts")["value"].tolist()
-        values = values[-keep:]
-        state.update((values,))
-        yield pd.DataFrame({"event_type": [key[0]], "n": [len(values)], "high": [sum(v >= 50 for v in values)]})
+            # only the last rows are kept between chunks, whatever their number
+            held = pd.concat([held, pd.DataFrame({"ts": part["ts"].astype("int64"), "value": part["value"]})]).sort_values("ts", kind="stable").tail(keep)
+        state.update((held["ts"].tolist(), held["value"].tolist()))
+        yield pd.DataFrame({"event_type": [key[0]], "n": [len(held)], "high": [int((held["value"] >= 50).sum())]})
 
-    return events.groupBy("event_type").applyInPandasWithState(update, "event_type string, n long, high long", "values array<double>", "update", GroupStateTimeout.NoTimeout)
+    return events.groupBy("event_type").applyInPandasWithState(update, "event_type string, n long, high long", "ts array<bigint>, values array<double>", "update", GroupStateTimeout.NoTimeout)
 
 
 def _events(spark, sf_dir):
     return tables.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-query("x2_first_seen", "SELECT user_id, min(ts) AS ts FROM events GROUP BY 1")(lambda s, d: _events(s, d).groupBy("user_id").agg(F.min("ts").cast("timestamp_ntz").alias("ts")))
+def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream(spark, f"{sf_dir}/event[s].parquet", tables.table(spark, sf_dir, "events").schema)
+
+
+def _written(rows: DataFrame) -> DataFrame:
+    """The rows of a stream's append output, once all input is read."""
+    path = shared_path(rows.sparkSession, "stream")
+    rows.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/rows")
+
+
+def _updated(rows: DataFrame) -> DataFrame:
+    """The rows of a stream's update output, batch by batch, once all input is read."""
+    path = shared_path(rows.sparkSession, "stream")
+    query_ = rows.writeStream.outputMode("update").foreachBatch(lambda df, number: df.write.mode("overwrite").parquet(f"{path}/rows/batch={number}")).option("checkpointLocation", f"{path}/state")
+    query_.trigger(availableNow=True).start().awaitTermination()
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/rows").select(rows.columns)
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "landed")
+    land(_source(spark, sf_dir), f"{path}/rows", f"{path}/state").awaitTermination()
+    return spark.read.parquet(f"{path}/rows")
+
+
+query("x1_landed", "SELECT ts::DATE AS p_day, count(*) AS n FROM events GROUP BY 1")(lambda s, d: _landed(s, d).groupBy("p_day").agg(F.count(F.lit(1)).alias("n")))
+query("x2_first_seen", "SELECT DISTINCT user_id FROM events")(lambda s, d: _written(first_seen(_source(s, d), "user_id")).select("user_id"))
+query("x5_last_runs", "SELECT event_type, count(*) AS n, count(*) FILTER (value >= 50) AS high FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) AS b FROM events) WHERE b <= 30 GROUP BY 1")(lambda s, d: _updated(last_runs(_source(s, d))))
 query("x3_weekly", "SELECT date_trunc('week', ts)::TIMESTAMP AS week, event_type, count(*) AS n FROM events GROUP BY 1, 2")(lambda s, d: weekly(_events(s, d)).withColumn("week", F.col("week").cast("timestamp_ntz")))
 query("x4_daily", "SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS fetched, count(*) FILTER (value >= 50) AS valid FROM events GROUP BY 1, 2")(lambda s, d: daily(_events(s, d)).withColumn("day", F.col("day").cast("timestamp_ntz")))
 query("x6_velocity", "SELECT date_trunc('day', ts)::TIMESTAMP - to_days(k) AS start, event_type, count(*) AS n FROM events, range(0, 30) t(k) GROUP BY 1, 2")(lambda s, d: velocity(_events(s, d)).withColumn("start", F.col("start").cast("timestamp_ntz")))
