@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from postmill.llm import words as W
 
-PIECES, PARTS, CHUNK_BYTES, ROWS = 700_000, 100_000, 4 << 20, 2000
+PIECES, PARTS, CHUNK_BYTES, ROWS = 450_000, 50_000, 3 << 20, 1000
 #: marks that end a piece; a run of them after a word is a part of its own in both files
 MARKS = ".,;:!?"
 _ids = attrgetter("id")

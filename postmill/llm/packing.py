@@ -30,7 +30,7 @@ from postmill.llm.shared import materialize
 
 SEQUENCE, END_ID = 4096, 1
 BINS, MOST_DOCUMENTS = 64, 4
-RANK_ROWS = 2000
+RANK_ROWS, CUT_ROWS = 2000, 500
 
 
 @cache
@@ -176,7 +176,7 @@ def cut(docs: DataFrame, path: str, capacity: int = SEQUENCE, end_id: int = END_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end, size = encoder(path).encode_all, end_id.to_bytes(4, "little"), 4 * capacity
-        for batch in batches:
+        for batch in (b.slice(a, CUT_ROWS) for b in batches for a in range(0, b.num_rows, CUT_ROWS)):
             rows = []
             for doc_id, found in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
                 data = found + end

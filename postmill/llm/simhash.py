@@ -69,11 +69,13 @@ def signatures(values: np.ndarray, n_shingles: np.ndarray) -> np.ndarray:
     out = np.zeros(len(n_shingles), np.uint64)
     some = np.flatnonzero(n_shingles)
     cuts = np.r_[0, np.cumsum(n_shingles[some])]
-    for a in range(0, len(some), 64):  # few rows at a time: the bits take 64 bytes a shingle
-        b = min(a + 64, len(some))
+    a = 0
+    while a < len(some):  # few rows at a time: the bits take 64 bytes a shingle
+        b = max(a + 1, int(np.searchsorted(cuts, cuts[a] + 100_000, side="right")) - 1)
         bits = np.unpackbits(values[cuts[a] : cuts[b]].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         ones = np.add.reduceat(bits, cuts[a:b] - cuts[a], axis=0, dtype=np.int32)
         out[some[a:b]] = np.packbits(2 * ones > n_shingles[some[a:b], None], axis=1).view(">u8").ravel()
+        a = b
     return out
 
 
