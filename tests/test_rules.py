@@ -107,6 +107,53 @@ def test_outages_need_dense_days(spark):
     assert [(r.source, r.alert_type) for r in found] == [("a", "outage")]
 
 
+RESTRICTED = {
+    "Now pursuing a bachelor's degree in computing": "undergraduate_only", "You are a rising senior at a college": "undergraduate_only", "advancing to their junior year": "undergraduate_only", "Needs sophomore standing": "undergraduate_only",
+    "Pursuing a BS/MS in computing": None, "Pursuing a bachelor's or master's degree": None, "currently pursuing a PhD in statistics": "phd_only", "PhD internship": "phd_only", "pursuing a degree in computing": None, "Join as an intern!": None,
+    "PhD students only. " + "x " * 400 + "master": "phd_only", "master " + "x " * 100 + " PhD students only": None, "No CPT here." + " y" * 200 + " We support OPT": "cpt_opt", "No CPT. We support OPT": None,
+    "degree in finance " + "z " * 150 + "computer science": "non_cs_degree", "degree in finance or computer science": None, "US persons only": "us_person", "US persons only, export compliance": None, "graduating in 2028 or 2029": "graduation_year",
+    "graduating between 2026 and 2028": None, "graduate in 2028 or later": None, "enrolled at a university in Texas": "geography", "enrolled at a university in Texas or anywhere in the United States": None, None: None, "": None,
+}
+
+
+def test_restrictions_look_around_each_hit(spark):
+    assert dict(zip(RESTRICTED, values(spark, list(RESTRICTED), gates.restriction), strict=True)) == RESTRICTED
+
+
+def test_title_gates_and_age(spark):
+    cases = {"Co - Op, Fall 2027": "wrong_term", "Spring 2027 Summer Analyst": None, "2027 (Summer) Intern": "wrong_term", "Mechanical Engineer": "hardware_role", "Electrical Software Engineer": None, "Photonics Data Engineer Intern": None, "Nuclear AI Intern": "hardware_role", "Talent Acquisition AI Intern": None}
+    assert values(spark, list(cases), gates.title_reason) == list(cases.values())
+    ages = spark.createDataFrame([(0, None), (1, 3), (2, 4)], "i int, age int").orderBy("i").select(gates.too_old(F.col("age")), gates.too_old(F.col("age"), keep_undated=True)).collect()
+    assert [tuple(r) for r in ages] == [(True, False), (False, False), (True, True)]
+
+
+def test_company_similarity(spark):
+    import difflib
+
+    from postmill.functions import names
+
+    pairs = [("Acme, Inc.", "acmeinc"), ("Acme Robotics", "acme"), ("Blue River", "bluriver"), ("", "x"), (None, "x"), ("Zeta", "omega")]
+    found = [r[0] for r in spark.createDataFrame(pairs, "a string, b string").select(names.similarity("a", "b")).collect()]
+    assert found[:2] == [1.0, 0.9] and found[3:5] == [0.0, 0.0]
+    assert found[2] == pytest.approx(difflib.SequenceMatcher(None, "blueriver", "bluriver", autojunk=False).ratio()) and found[5] < 0.5
+
+
+def test_numbers_without_one_task(spark):
+    from postmill.operators import lineage
+
+    rows = spark.range(500).select("id", F.pmod(F.xxhash64("id"), F.lit(97)).alias("x"), F.when(F.col("id") % 3 > 0, "a").alias("s"))
+    found = lineage.ranked(rows, "n", F.col("x"), F.col("id"), by=("s",)).collect()
+    for s in ("a", None):
+        part = sorted((r for r in found if r.s == s), key=lambda r: (r.x, r.id))
+        assert [r.n for r in part] == list(range(1, len(part) + 1))
+
+
+def test_alert_cards_of_awkward_mails(spark):
+    mails = [(1, "<a href='https://www.linkedin.com/jobs/view/7?x=1'>Title <b>A</b></a><p>Co · Boston, MA</p><p>more</p>"), (2, "<a href='https://www.linkedin.com/jobs/view/7'>again</a>"), (3, None), (4, "<a href='https://x.com/jobs/view/7'>no</a>"), (5, "<a href='https://jobright.ai/jobs/info/ab'></a>")]
+    found = {r.url: tuple(r)[1:] for r in feeds.alert_cards(spark.createDataFrame(mails, "mail_id long, html string")).collect()}
+    assert found == {"https://www.linkedin.com/jobs/view/7": ("Co", "TitleA", "Boston, MA", "7", "LinkedIn"), "https://jobright.ai/jobs/info/ab": ("Unknown", "Unknown", "Unknown", "ab", "Jobright")}
+
+
 def test_throttle(spark):
     t = datetime.datetime(2024, 1, 1)
     rows = spark.createDataFrame([("m", t + datetime.timedelta(hours=h), k) for h, k in ((0, "ok"), (1, "down"), (2, "down"), (8, "down"), (9, "ok"))], "module string, ts timestamp, kind string")
