@@ -1,6 +1,6 @@
 """Copies of images by local descriptors.
 
-Corners are found on six scales (Harris measure, local maxima refined below a pixel, the strongest KEYPOINTS of each scale).
+Corners are found on four scales (Harris measure, local maxima refined below a pixel, the strongest KEYPOINTS of each scale).
 Each gets an orientation from its patch's intensity centroid and 256 binary tests of pixel pairs, sampled between pixels and
 turned by that orientation; the pairs of a test lie across the orientation, since along it the centroid foretells the order.
 Descriptors that agree on one of their eight 32-bit words meet; those that agree in all but SPARE of the next 64 bits are
@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.components import components
-from postmill.llm.shared import discard, materialize
+from postmill.llm.shared import materialize
 
 SIDE = 96
-SCALES, KEYPOINTS, RADIUS, MARGIN = (1.0, 1.15, 1.32, 1.52, 1.75, 2.0), (11, 9, 8, 7, 6, 5), 8, 13
-SPARE, INLIERS = 20, 4
+SCALES, KEYPOINTS, RADIUS, MARGIN = (1.0, 1.15, 1.32, 1.52), (12, 11, 10, 9), 10, 16
+SPARE, INLIERS = 12, 3
 WORDS, CELL_ROWS = 8, 1024
 TURN, ZOOM, SHIFT = np.pi / 4, 0.5, 16.0
 OFFSETS = np.stack(np.meshgrid(np.arange(-RADIUS, RADIUS + 1), np.arange(-RADIUS, RADIUS + 1), indexing="ij"), -1).reshape(-1, 2)
@@ -201,7 +201,7 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def links(points: DataFrame) -> DataFrame:
-    """a, b, inliers: images of which at least INLIERS distinct keypoints agree on one placement. points is a table of keypoints()."""
+    """a, b, inliers: images of which at least INLIERS distinct keypoints agree on one placement. points are rows of keypoints() of a table."""
     words = [F.xxhash64(F.lit(w), F.shiftrightunsigned(f"d{w // 2}", 32 * (w % 2)).bitwiseAND(F.lit(0xFFFFFFFF))) for w in range(WORDS)]
     mores = F.array(*[F.col(f"d{(w // 2 + 1) % 4}") for w in range(WORDS)])
     cells = points.select("image_id", "place", mores.alias("more"), F.posexplode(F.array(*words)).alias("word", "key")).select("image_id", "place", F.get("more", F.col("word")).alias("more"), "key")
@@ -235,9 +235,7 @@ def image_copies(images: DataFrame) -> DataFrame:
     rows = materialize(described(images), "described")
     nodes = materialize(rows.groupBy("h1", "h2").agg(F.min("image_id").alias("node")), "nodes")
     shown = rows.where("image_id IS NOT NULL").join(nodes.select(F.col("node").alias("image_id")), "image_id", "left_semi").dropDuplicates(["image_id", "h1", "h2"])
-    points = materialize(keypoints(shown), "keypoints")
-    linked = materialize(links(points), "image-links")
-    discard(points)
+    linked = materialize(links(keypoints(shown)), "image-links")
     roots = components(linked)
     degree = linked.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     named = materialize(nodes.join(roots, "node", "left").join(degree, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "image-classes")

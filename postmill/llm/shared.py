@@ -10,8 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where the setting is absent (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or _own_root()).rstrip("/")
+    """The folder named in spark.checkpoint.dir; a temporary one only for a local session without the setting (tests)."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return (folder or _own_root()).rstrip("/")
+
+
+_tables: list[str] = []
 
 
 @cache
@@ -27,10 +33,25 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: lineage ends there, and the copy survives lost executors."""
     path = shared_path(df.sparkSession, name)
+    _tables.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def mark() -> int:
+    """A point in time for discard_since()."""
+    return len(_tables)
+
+
+def discard_since(spark: SparkSession, when: int, *keep: DataFrame) -> None:
+    """Removes the tables that materialize() wrote since then, but for some."""
+    kept = {file.rpartition("/")[0].rpartition("/")[2] for df in keep for file in df.inputFiles()[:1]}
+    for path in _tables[when:]:
+        if path.rpartition("/")[2] not in kept:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discard(df: DataFrame) -> None:
     """Removes the files of a table that materialize() wrote."""
     spark = df.sparkSession
@@ -44,6 +65,11 @@ def open_fs(path: str):
     """(pyarrow file system, path in it) for a URI or a plain path, for range reads and binary files inside tasks."""
     from pyarrow import fs
 
+    scheme, colon, rest = path.partition(":")
+    if colon and scheme in ("s3a", "s3n"):  # Hadoop's names of what pyarrow calls s3
+        path = f"s3:{rest}"
+    if scheme == "dbfs":  # mounted on every node
+        return fs.LocalFileSystem(), "/dbfs/" + rest.lstrip("/")
     if "://" in path or path.startswith("file:"):
         return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
     return fs.LocalFileSystem(), path

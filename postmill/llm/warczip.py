@@ -1,8 +1,10 @@
 """WARC records in ZIP packages, read by range without extraction.
 
 A package stores (without compression) `archive/data.warc.gz`, one gzip member per record, and `indexes/index.cdxj`, a line
-per record with its place and length in the archive. The reader finds the central directory from the end of the file, follows
-ZIP64 fields where 32 bits don't suffice, skips each local header, and then reads index and records by range.
+per record, sorted by reversed host, path and time, with its place and length in the archive. The reader finds the central
+directory from the end of the file, follows ZIP64 fields where 32 bits don't suffice, skips each local header, and then reads
+by range. It takes any stored archives (`.warc.gz`, `.warc`) and any stored indexes (`.cdxj`); archives without an index are
+scanned record by record.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from postmill.llm.shared import materialize, open_fs, shared_path
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 REVISIT_BYTES = 1000
-PACKAGE_BYTES, READ_BYTES, TAIL_BYTES = 64 << 20, 4 << 20, 65557
+PACKAGE_BYTES, READ_BYTES, TAIL_BYTES, HEAD_BYTES = 64 << 20, 4 << 20, 65557, 64 << 10
 NAMES = uuid.UUID("6f6b1d3e-0f5c-5d0e-9a52-2d1c0c7b8a11")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LIMIT32, LIMIT16 = 0xFFFFFFFF, 0xFFFF
@@ -109,12 +111,73 @@ def members(f) -> dict[str, tuple[int, int]]:
     return found
 
 
-def record(page_id: int | None, number: int, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str) -> bytes:
-    """One WARC/1.1 response, or a revisit that keeps the HTTP head only."""
+def sort_key(url: str | None) -> str:
+    """The host's parts in reverse order, then the path, in lower case and without white space."""
+    found = re.match(r"(?i)https?://(?:www\.)?([^/:?#]+)[^/?#]*([^#]*)", url or "")
+    text = f"{','.join(reversed(found[1].lower().split('.')))}){found[2].lower() or '/'}" if found else url or "-"
+    return re.sub(r"\s", "%20", text)
+
+
+def entries(f, where: dict[str, tuple[int, int]]) -> Iterator[tuple[int, int, bool]]:
+    """(place, length, whether compressed) of the records of a package, in order of place."""
+    archives, indexed = {n: where[n] for n in where if n.endswith((".warc.gz", ".warc"))}, []
+    for name in where:
+        if name.endswith(".cdxj"):
+            at, length = where[name]
+            for line in io.BytesIO(f.read_at(length, at)):
+                if not line.strip() or line.startswith(b"!"):
+                    continue
+                said = json.loads(b"{" + line.partition(b" ")[2].partition(b"{")[2])
+                file = next((n for n in archives if n.rpartition("/")[2] == said.get("filename", "").rpartition("/")[2]), None) or (next(iter(archives)) if len(archives) == 1 else None)
+                if file is None:
+                    raise ValueError("an index entry names no archive of its package")
+                indexed.append((archives[file][0] + int(said["offset"]), int(said["length"]), file.endswith(".gz")))
+    if indexed:
+        yield from sorted(indexed)
+        return
+    for name in sorted(archives):
+        at, length = archives[name]
+        yield from ((at + a, n, name.endswith(".gz")) for a, n in (_members_of(f, at, length) if name.endswith(".gz") else _records_of(f, at, length)))
+
+
+def _members_of(f, at: int, length: int) -> Iterator[tuple[int, int]]:
+    """(place, length) of the gzip members of an archive."""
+    place, read, held = 0, 0, b""
+    while place < length:
+        unpack, used = zlib.decompressobj(31), 0
+        while not unpack.eof:
+            if not held:
+                held = f.read_at(min(READ_BYTES, length - read), at + read)
+                read += len(held)
+                if not held:
+                    raise ValueError("an archive ends inside a record")
+            used += len(held)
+            unpack.decompress(held)
+            held = unpack.unused_data
+        used -= len(held)
+        yield place, used
+        place += used
+
+
+def _records_of(f, at: int, length: int) -> Iterator[tuple[int, int]]:
+    """(place, length) of the records of an archive without compression."""
+    place = 0
+    while place < length:
+        head = f.read_at(min(HEAD_BYTES, length - place), at + place).partition(b"\r\n\r\n")[0]
+        size = re.search(rb"(?im)^content-length: *(\d+)", head)
+        if not head.startswith(b"WARC/") or not size:
+            raise ValueError("not a WARC record")
+        n = len(head) + 4 + int(size[1]) + 4
+        yield place, n
+        place += n
+
+
+def record(page_id: int | None, number: int | str, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str) -> bytes:
+    """One WARC/1.1 response, or a revisit that keeps the HTTP head only. number makes its id."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     fields = [
-        ("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(NAMES, f'{page_id}/{number}')}>"), ("WARC-Date", date),
+        ("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(NAMES, f'{number}')}>"), ("WARC-Date", date),
         ("WARC-Payload-Digest", "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode()), ("Content-Type", "application/http; msgtype=response"),
     ]
     if url is not None:
@@ -122,42 +185,46 @@ def record(page_id: int | None, number: int, url: str | None, payload: bytes, di
     if page_id is not None:
         fields.append(("X-Page-ID", str(page_id)))
     if refers_to is not None:
-        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:uuid:{uuid.uuid5(NAMES, f'{refers_to}/0')}>"), ("X-Refers-To-Page-ID", str(refers_to))]
+        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:uuid:{uuid.uuid5(NAMES, f'{refers_to}/{digest}')}>"), ("X-Refers-To-Page-ID", str(refers_to))]
     head = "".join(f"{k}: {v}\r\n" for k, v in [*fields, ("Content-Length", len(block))])
     return b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def parse(data: bytes) -> dict:
-    """A record's fields, and its payload (None of a revisit)."""
+def parse(data: bytes) -> dict | None:
+    """A record's fields, and its payload (None of a revisit); None for a record that is neither a response nor a revisit."""
     head, _, rest = data.partition(b"\r\n\r\n")
     version, *lines = head.decode().split("\r\n")
     if not version.startswith("WARC/"):
         raise ValueError("not a WARC record")
-    fields = dict(line.split(": ", 1) for line in lines)
+    fields = dict(line.split(": ", 1) for line in lines if ": " in line)
+    if fields["WARC-Type"] not in ("response", "revisit"):
+        return None
     block = rest[: int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
-    http_fields = dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])
+    http_fields = dict(line.split(": ", 1) for line in http.decode("latin-1").split("\r\n")[1:] if ": " in line)
     revisit = fields["WARC-Type"] == "revisit"
-    digest = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
+    said = fields.get("WARC-Payload-Digest", "")
+    digest = base64.b32decode(said.removeprefix("sha1:")).hex() if said.startswith("sha1:") else hashlib.sha1(payload).hexdigest()
     if not revisit and hashlib.sha1(payload).hexdigest() != digest:
         raise ValueError("a payload differs from its digest")
     number = lambda k: int(fields[k]) if k in fields else None
     return {
-        "page_id": number("X-Page-ID"), "url": fields.get("WARC-Target-URI"), "payload_bytes": int(http_fields["Content-Length"]) if revisit else len(payload), "payload_digest": digest,
+        "page_id": number("X-Page-ID"), "url": fields.get("WARC-Target-URI"), "payload_bytes": int(http_fields.get("Content-Length", 0)) if revisit else len(payload), "payload_digest": digest,
         "record_type": fields["WARC-Type"], "refers_to": number("X-Refers-To-Page-ID"), "payload": None if revisit else payload,
     }
 
 
 def with_revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
-    """page_id, url, payload, digest, refers_to, lead: of equal payloads of `least` bytes or more, all but one refer to the largest page_id.
+    """page_id, url, payload, digest, refers_to, referred: of equal payloads of `least` bytes or more, all but one refer to the largest page_id.
 
-    Only digests that occur twice are joined back, so pages without copies keep to their place in the plan.
+    Only digests that occur twice are joined back; while their table is below Spark's broadcast threshold no payload moves.
     """
     keyed = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha1("payload"))
     copies = keyed.where((F.octet_length("payload") >= least) & F.col("page_id").isNotNull()).groupBy("digest").agg(F.max("page_id").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     copies = materialize(copies, "copies")
     refers = F.when(F.col("lead") != F.col("page_id"), F.col("lead"))
-    return keyed.join(copies, "digest", "left").select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
+    referred = F.coalesce(F.col("lead") == F.col("page_id"), F.lit(False))
+    return keyed.join(copies, "digest", "left").select("page_id", "url", "payload", "digest", refers.alias("refers_to"), referred.alias("referred"))
 
 
 def write_packages(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", package_bytes: int = PACKAGE_BYTES, force64: bool = False) -> DataFrame:
@@ -176,7 +243,7 @@ def write_packages(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:
         def close() -> pa.RecordBatch:
             nonlocal number
             name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}-{number:04d}.wacz"
-            lines = "".join(f"{key} {json.dumps(value)}\n" for key, value in sorted(index, key=lambda x: x[1]["offset"])).encode()
+            lines = "".join(f"{key} {json.dumps(value)}\n" for key, value in sorted(index, key=lambda x: (x[0], x[1]["offset"]))).encode()
             with fs.open_output_stream(f"{root}/{name}") as out:
                 package = ZipWriter(out, force64)
                 package.member(ARCHIVE, size, crc, data)
@@ -187,10 +254,12 @@ def write_packages(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:
 
         for batch in batches:
             for i in range(batch.num_rows):
-                page_id, url, payload, digest, refers_to = (batch.column(c)[i].as_py() for c in range(5))
+                page_id, url, payload, digest, refers_to, referred = (batch.column(c)[i].as_py() for c in range(6))
+                # a record that others refer to is named by its page and digest, any other by its place
+                name = f"{page_id}/{digest}" if referred else f"{folder}/{context.taskAttemptId()}/{number}/{len(index)}"
                 packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-                packed = packer.compress(record(page_id, 0, url, payload, digest, refers_to, date)) + packer.flush()
-                index.append((re.sub(r"\s", "%20", url or "-"), {"offset": size, "length": len(packed)}))
+                packed = packer.compress(record(page_id, name, url, payload, digest, refers_to, date)) + packer.flush()
+                index.append((f"{sort_key(url)} {re.sub(r'[^0-9]', '', date)}", {"url": url, "mime": "text/html" if refers_to is None else "warc/revisit", "status": "200", "digest": f"sha1:{digest}", "filename": ARCHIVE.rpartition("/")[2], "offset": size, "length": len(packed)}))
                 data.append(packed)
                 crc, size = zlib.crc32(packed, crc), size + len(packed)
                 if size >= package_bytes:
@@ -199,7 +268,7 @@ def write_packages(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:
         if index:
             yield close()
 
-    return materialize(pages.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(run, "path string, records long"), "packages")
+    return materialize(pages.select("page_id", "url", "payload", "digest", "refers_to", "referred").mapInArrow(run, "path string, records long"), "packages")
 
 
 def read_packages(packages: DataFrame) -> DataFrame:
@@ -212,15 +281,16 @@ def read_packages(packages: DataFrame) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 fs, root = open_fs(path)
                 with fs.open_input_file(root) as f:
-                    where = members(f)
-                    base, (at, length) = where[ARCHIVE][0], where[INDEX]
-                    entries = [json.loads(b"{" + line.rpartition(b" {")[2]) for line in io.BytesIO(f.read_at(length, at))]
-                    places = np.array([e["offset"] for e in entries], np.int64)
+                    known = list(entries(f, members(f)))
+                    places = np.array([e[0] for e in known], np.int64)
                     a = 0
-                    while a < len(entries):
+                    while a < len(known):
                         b = max(int(np.searchsorted(places, places[a] + READ_BYTES)), a + 1)
-                        block = f.read_at(int(places[b - 1]) + entries[b - 1]["length"] - int(places[a]), base + int(places[a]))
-                        found = [parse(zlib.decompress(block[e["offset"] - places[a] :][: e["length"]], 31)) for e in entries[a:b]]
+                        start = known[a][0]
+                        block = memoryview(f.read_at(known[b - 1][0] + known[b - 1][1] - start, start))
+                        raw = (block[at - start : at - start + n] for at, n, _ in known[a:b])
+                        found = [parse(zlib.decompress(part, 31) if packed else bytes(part)) for part, (_, _, packed) in zip(raw, known[a:b], strict=True)]
+                        found = [x for x in found if x]
                         yield pa.record_batch([pa.array([x[c] for x in found], k) for c, k in zip(columns, kinds, strict=True)], names=list(columns))
                         a = b
 
