@@ -1,6 +1,6 @@
 """Copies of images by local descriptors.
 
-Corners are found on four scales (Harris measure, local maxima refined below a pixel, the strongest KEYPOINTS of each scale).
+Corners are found on five scales (Harris measure, local maxima refined below a pixel, the strongest KEYPOINTS of each scale).
 Each gets an orientation from its patch's intensity centroid and 256 binary tests of pixel pairs, sampled between pixels and
 turned by that orientation; the pairs of a test lie across the orientation, since along it the centroid foretells the order.
 Descriptors that agree on one of their eight 32-bit words meet; those that agree in all but SPARE of the next 64 bits are
@@ -24,8 +24,8 @@ from postmill.llm.components import components
 from postmill.llm.shared import materialize
 
 SIDE = 96
-SCALES, KEYPOINTS, RADIUS, MARGIN = (1.0, 1.15, 1.32, 1.52), (12, 11, 10, 9), 10, 16
-SPARE, INLIERS = 12, 3
+SCALES, KEYPOINTS, RADIUS, MARGIN = (1.0, 1.15, 1.32, 1.52, 1.75), (11, 9, 8, 7, 6), 9, 14
+SPARE, INLIERS = 16, 4
 WORDS, CELL_ROWS = 8, 1024
 TURN, ZOOM, SHIFT = np.pi / 4, 0.5, 16.0
 OFFSETS = np.stack(np.meshgrid(np.arange(-RADIUS, RADIUS + 1), np.arange(-RADIUS, RADIUS + 1), indexing="ij"), -1).reshape(-1, 2)

@@ -427,7 +427,7 @@ def test_image_links_in_crowded_cells(spark, monkeypatch, cell_rows):
     random_ = np.random.default_rng(11)
     pictures = []
     for k in range(3):
-        drawn = images._drawn(random_.normal(size=16), images.SIDE)
+        drawn = images._drawn(random_.normal(size=32) * 0.2, images.SIDE)
         base = 128 + 60 * drawn / drawn.std()
         pictures += [(k, np.clip(base + random_.normal(0, 4, base.shape), 0, 255).astype(np.uint8)) for _ in range(20)]
     ids = random_.permutation(1000)[: len(pictures)].tolist()
@@ -441,9 +441,9 @@ def test_image_links_in_crowded_cells(spark, monkeypatch, cell_rows):
             near = np.any([(word[i][:, None, k] == word[j][None, :, k]) & (apart[:, :, (k // 2 + 1) % 4] <= images.SPARE) for k in range(8)], axis=0)
             u, v = np.nonzero(near)
             votes = Counter((x, y) for x, y in {(tuple(np.rint(shape[j[q], :2])), tuple(np.rint((shape[i[p], :2] - shape[j[q], :2]) / 4))) for p, q in zip(u, v, strict=True)})
-            if Counter(d for _, d in votes).most_common(1)[:1] and max(Counter(d for _, d in votes).values()) >= 8:
+            if Counter(d for _, d in votes).most_common(1)[:1] and max(Counter(d for _, d in votes).values()) >= 5:
                 links.add((min(ids[a], ids[b]), max(ids[a], ids[b])))
-    assert len(links) > 500
+    assert len(links) > 350
     media = spark.createDataFrame([(i, p.tobytes()) for i, (_, p) in zip(ids, pictures, strict=True)], "image_id long, pixels binary")
     found = {(r.a, r.b) for r in images.links(images.keypoints(images.described(media))).collect()}
     assert links <= found
