@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import mixing, packing, quality, similar, surrogates
-from postmill.llm.shared import materialize
+from postmill.llm.shared import discard_since, mark, materialize
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,5 +46,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
+        began = mark()
         docs = materialize(stage(spark, docs, sf_dir), name)
+        discard_since(spark, began, docs)
     return STAGES[-1][1](spark, docs, sf_dir)
