@@ -184,11 +184,14 @@ query("d5_u5_discriminator", SIMILAR + f""", p AS (SELECT a.id AS a, b.id AS b F
 query("d6_corpus_stats", "WITH t AS (SELECT id, list_filter(string_split_regex(lower(title), '[^a-z0-9]+'), lambda x: x <> '') AS t FROM titles) SELECT count(*) AS documents, round(avg(len(t)), 4) AS mean_tokens, (SELECT count(DISTINCT x) FROM (SELECT unnest(t) AS x FROM t)) AS vocabulary FROM t", "titles")(lambda s, d: corpus_stats(tables.titles(s, d)))
 query("d7_w1_first_rows", f"SELECT min(id) AS id FROM jobs GROUP BY {K}", "jobs")(lambda s, d: first_of(tables.jobs(s, d), "id", dedup_key(F.col("company"), F.col("title"))).select("id"))
 query("d8_rejected_once", f"SELECT min(id) AS id FROM (SELECT id, company, title, row_number() OVER (PARTITION BY url, rejection_reason ORDER BY id) AS n FROM jobs WHERE outcome = 'discarded') WHERE n = 1 GROUP BY {K}", "jobs")(lambda s, d: rejected_once(tables.jobs(s, d).where("outcome = 'discarded'")).select("id"))
-query("d9_repeated_job_ids", "SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY company, job_id ORDER BY id) AS n FROM jobs WHERE job_id NOT IN ('', 'N/A')) WHERE n > 1", "jobs")(lambda s, d: repeated_job_ids(tables.jobs(s, d)).select("id"))
+query("d9_repeated_job_ids", "SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY company, job_id ORDER BY id) AS n FROM (SELECT id, company, CASE WHEN job_id = 'N/A' THEN job_id ELSE 'JR-' || id % 50 END AS job_id FROM jobs) WHERE job_id NOT IN ('', 'N/A')) WHERE n > 1", "jobs")(
+    lambda s, d: repeated_job_ids(tables.jobs(s, d).withColumn("job_id", F.when(F.col("job_id") == "N/A", "N/A").otherwise(F.concat(F.lit("JR-"), (F.col("id") % 50).cast("string"))))).select("id")
+)
 query("d10_not_sent", "WITH e AS (SELECT event_id, CAST(user_id AS STRING) AS r, event_type AS s, ts FROM events) SELECT a.event_id FROM e a WHERE NOT EXISTS (SELECT 1 FROM e b WHERE a.r = b.r AND a.s = b.s AND b.ts < a.ts AND b.ts >= a.ts - INTERVAL 30 DAY)")(lambda s, d: _drafts(s, d))
 query("d11_duplicate_groups", SIMILAR + ", p AS (SELECT a.id AS a, b.id AS b FROM u a JOIN u b ON a.company = b.company AND a.term = b.term AND a.id < b.id GROUP BY 1, 2 HAVING sum(a.x * b.x) >= 0.7), e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p), r AS (SELECT DISTINCT a AS id, a AS g FROM e), q AS (WITH RECURSIVE x(id, g) AS (SELECT id, g FROM r UNION SELECT e.b, x.g FROM x JOIN e ON x.id = e.a) SELECT * FROM x), m AS (SELECT id, min(g) AS g FROM q GROUP BY 1) SELECT titles.id, coalesce(m.g, n.id) AS \"group\" FROM titles JOIN n ON titles.company = n.company AND titles.title = n.title LEFT JOIN m ON n.id = m.id", "titles")(lambda s, d: title_groups(tables.titles(s, d)))
-query("j4_j6_u4_unseen", f"SELECT id FROM jobs WHERE outcome = 'valid' AND {K} NOT IN (SELECT {K} FROM jobs WHERE outcome = 'discarded')", "jobs")(lambda s, d: unseen(tables.jobs(s, d).where("outcome = 'valid'"), known_keys(tables.jobs(s, d).where("outcome = 'discarded'"))).select("id"))
-query("j5_u3_exclusive", f"SELECT id FROM jobs WHERE outcome = 'discarded' AND {K} NOT IN (SELECT {K} FROM jobs WHERE outcome = 'reviewed')", "jobs")(lambda s, d: exclusive(tables.jobs(s, d).where("outcome = 'reviewed'"), tables.jobs(s, d).where("outcome = 'discarded'")).select("id"))
+NUMBERED = "WITH j AS (SELECT id, outcome, company, title || ' ' || id % 997 AS title FROM jobs) "
+query("j4_j6_u4_unseen", NUMBERED + f"SELECT id FROM j WHERE outcome = 'valid' AND {K} NOT IN (SELECT {K} FROM j WHERE outcome = 'discarded')", "jobs")(lambda s, d: unseen(_numbered(s, d, "valid"), known_keys(_numbered(s, d, "discarded"))).select("id"))
+query("j5_u3_exclusive", NUMBERED + f"SELECT id FROM j WHERE outcome = 'discarded' AND {K} NOT IN (SELECT {K} FROM j WHERE outcome = 'reviewed')", "jobs")(lambda s, d: exclusive(_numbered(s, d, "reviewed"), _numbered(s, d, "discarded")).select("id"))
 
 
 def _guarded(spark, sf_dir):
@@ -197,6 +200,11 @@ def _guarded(spark, sf_dir):
     return similar_titles(rows).join(a, "a").join(b, "b").select("a", "b", differs(F.col("ta"), F.col("tb")).alias("differs"))
 
 
+def _numbered(spark, sf_dir, outcome):
+    """Jobs of an outcome under titles that few others share."""
+    return tables.jobs(spark, sf_dir).where(F.col("outcome") == outcome).withColumn("title", F.concat("title", F.lit(" "), (F.col("id") % 997).cast("string")))
+
+
 def _drafts(spark, sf_dir):
     log = tables.table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("recipient"), F.col("event_type").alias("subject"), F.col("ts").alias("at"))
     return not_sent(log, log).select("event_id")

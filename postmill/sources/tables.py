@@ -52,7 +52,7 @@ SELECT event_type AS source, CAST(ts AS DATE) AS run, count(*) AS fetched, count
 FROM {events} GROUP BY 1, 2
 """
 
-TITLES = "SELECT page_id AS id, regexp_extract(url, '^https?://([^/]+)', 1) AS company, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM {pages}"
+TITLES = "SELECT page_id AS id, regexp_extract(url, '^https?://[^/]*[.]([a-z]+)', 1) AS company, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM {pages}"
 
 EMPLOYERS = """
 SELECT 'ACME ' || CAST(c_custkey % 60 AS STRING) || ' LLC' AS name, CAST(floor(c_acctbal) AS INT) AS approvals FROM {customer} WHERE c_acctbal > 0
