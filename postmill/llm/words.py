@@ -17,7 +17,7 @@ IS_SEPARATOR = np.zeros(256, dtype=bool)
 IS_SEPARATOR[list(SEPARATORS)] = True
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 COUNT_SQL = r"coalesce(regexp_count({0}, '[^\\x20\\x09-\\x0D]+'), 0)"
 
 
