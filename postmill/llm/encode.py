@@ -30,7 +30,7 @@ PIECES, PARTS, CHUNK_BYTES, ROWS = 450_000, 50_000, 3 << 20, 1000
 MARKS = ".,;:!?"
 _ids = attrgetter("id")
 WHITE = tuple("\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0     　") + tuple(map(chr, range(0x2000, 0x200B)))
-SAMPLE = ("It's a  test,\n\n of THE encoder: 12.5% (or so)...  we'll see; naïve Übung\n", " x\n y \n\n\n z", "don't!? a_b-c/d@e #1\t\u00a0end", "\u4e2d\u6587 \U0001f600 e\u0301", "")
+SAMPLE = ("a<|endoftext|>b <|startoftext|>", "It's a  test,\n\n of THE encoder: 12.5% (or so)...  we'll see; naïve Übung\n", " x\n y \n\n\n z", "don't!? a_b-c/d@e #1\t\u00a0end", "\u4e2d\u6587 \U0001f600 e\u0301", "")
 CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d|"
 
 
@@ -81,13 +81,15 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
+        """plain: strings of special tokens in a text are ordinary text."""
         if sys.byteorder != "little" or array("I").itemsize != 4:
             raise RuntimeError("ids are packed as the machine's 32-bit little-endian integers")
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             setup = json.load(file)
-        self.special = tuple(x["content"] for x in setup["added_tokens"])
+        self.tokenizer.encode_special_tokens = plain
+        self.special = () if plain else tuple(x["content"] for x in setup["added_tokens"])
         before = setup["pre_tokenizer"] or {}
         self.letters, self.model, self.fold, self.strip, self.simple = _byte_letters(), self.tokenizer.model, str, False, True
         if before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not setup["normalizer"]:
@@ -167,6 +169,6 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """One per worker process and file."""
-    return Encoder(path)
+    return Encoder(path, plain)
