@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import images, langid, mixing, packing, quality, simhash, substring, surrogates, tokenfile, warczip
+from postmill.llm import align, images, langid, mixing, packing, quality, resample, simhash, substring, surrogates, tokencounts, tokenfile, warczip
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,9 +58,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.link_statistics(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc": op1_warc, "op2_token_files": op2_token_files, "op3_quality": op3_quality, "op4_surrogates": op4_surrogates, "op5_images": op5_images, "op6_substring": op6_substring, "op7_language": op7_language, "op8_packing": op8_packing, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing}
+    return {"op1_warc": op1_warc, "op2_token_files": op2_token_files, "op3_quality": op3_quality, "op4_surrogates": op4_surrogates, "op5_images": op5_images, "op6_substring": op6_substring, "op7_language": op7_language, "op8_packing": op8_packing, "op9_simhash": op9_simhash, "op10_mixing": op10_mixing, "op11_token_counts": op11_token_counts, "op12_alignment": op12_alignment, "op13_resampling": op13_resampling}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warczip.ORACLE, "op6_substring": substring.ORACLE, "op10_mixing": mixing.ORACLE}
+    return {"op1_warc": warczip.ORACLE, "op6_substring": substring.ORACLE, "op10_mixing": mixing.ORACLE, "op13_resampling": resample.ORACLE}
