@@ -35,6 +35,7 @@ CTES = {
     "rejection_funnel": tables.REJECTION_FUNNEL.format(events="events"),
     "source_runs": tables.SOURCE_RUNS.format(events="events"),
     "samples": tables.SAMPLES.format(orders="orders"),
+    "restricted": tables.RESTRICTED.format(orders="orders"),
     "titles": tables.TITLES.format(pages="pages"),
     "employers": tables.EMPLOYERS.format(customer="customer"),
     "fact": f"SELECT *, coalesce({STATE}, '') AS location_state, CASE WHEN lower(remote) IN ('remote', 'yes') THEN 1 ELSE 0 END AS is_remote, CASE WHEN lower(sponsorship) IN ('yes', 'true', '1') THEN 1 ELSE 0 END AS is_sponsored FROM jobs",

@@ -83,6 +83,30 @@ SELECT o_orderkey AS id, {_dealt(SAMPLE_TITLES)} AS title, {_dealt(SAMPLE_TEXTS)
 FROM {{orders}}
 """
 
+#: statements of restrictions, and sentences that may save them, at distances that grow with the order's number
+STATEMENTS = (
+    "Currently pursuing a bachelor''s degree in Computer Science.", "Must be a rising junior or senior in an accredited university.", "Must be at least advancing to their junior year of study.", "Requires sophomore standing or higher.", "Pursuing a BS/MS in Computer Engineering.",
+    "Currently pursuing a bachelor''s or master''s degree in CS.", "Must be currently pursuing a Ph.D. in computer science.", "PhD Internship - Machine Learning Research.", "This is a Summer 2027 internship program.", "Currently pursuing a degree in Computer Science or related field.", "Join our team as a software engineering intern!",
+    "In process of obtaining a Bachelors degree.", "Enrolled in an accredited four-year college.", "We will not provide documentation for CPT.", "Sponsorship is not available, which includes F-1 (OPT).", "U.S. Person status; a DoD contract.", "Degrees preferred: mechanical engineering, physics.", "Preferred majors: mechanical or computer science.",
+    "Bachelor''s in electrical engineering.", "Graduation date of December 2026.", "Bachelor''s students only.", "Requires a PhD.", "Candidates enrolled in a PhD program.",
+)
+SAVERS = ("Master''s students are welcome.", "We support CPT.", "Subject to export control rules.", "Computer science or software.", "Nothing else.", "Graduate students may apply.", "Line one.")
+#: pages with headings: rules on doctoral studies and places look at their sections
+SAMPLE_PAGES = (
+    "<h2>About us</h2><p>Our founders enrolled at a university in Texas.</p><h2>Requirements</h2><p>Python.</p>", "<h2>Requirements</h2><p>Enrolled at a university in Texas.</p>", "<h2>Requirements</h2><p>You attend a college within the greater Chicago area.</p>", "<h2>Requirements</h2><p>Enrolled at a university in Massachusetts.</p>",
+    "<h2>Requirements</h2><p>Enrolled at a college or university in the United States.</p>", "<h3>Benefits</h3><p>Students at our partner college in Ohio get a discount.</p>", "<h3>Who you are</h3><ul><li>A PhD student</li></ul>", "<h3>Who we are</h3><p>Half of us have a PhD degree.</p><h3>Qualifications</h3><p>Python.</p>",
+    "<p>PhD candidates.</p>{filler}<h2>Minimum qualifications</h2><p>Pursuing an MS degree or a PhD.</p>", "<p>PhD candidates.</p>{filler}<h2>About the team</h2><p>We advise master students.</p>", "<h2>Nice to have</h2><p>Current PhD.</p>{filler}<p>Or a Masters.</p>", "<h2>Responsibilities</h2><p>Work with a PhD intern.</p>",
+    "<b>Requirements:</b><br>You must live in California.<br>", "<b>Our story</b><br>Our staff must live in California.<br>", "<script>PhD students only</script><p>Open to all.</p>", "<p>PhD&nbsp;students&nbsp;only</p>", "<div>Doctoral candidates</div><div>only</div>", "<p>Pursuing a Ph.D. or M.S. degree in statistics.</p>",
+    "<h2>Qualifications</h2><p>Study at a university located in Ontario.</p>", "<h1>PhD</h1><h2>Internship</h2><p>Open.</p>",
+)
+
+
+RESTRICTED = f"""
+SELECT o_orderkey AS id, {{statements}} || CASE WHEN o_orderkey % 3 = 0 THEN chr(10) ELSE ' ' END || repeat('Some words here. ', CAST(o_custkey % 3 * (o_custkey % 3 + 1) * 6 AS INT)) || {{savers}} AS body, {{pages}} AS html FROM {{{{orders}}}}
+"""
+
+RESTRICTED = RESTRICTED.format(statements=_dealt(STATEMENTS), savers=_dealt(SAVERS), pages=_dealt(tuple(p.replace("{filler}", "<p>" + "words " * 120 + "</p>") for p in SAMPLE_PAGES)))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -100,5 +124,6 @@ runs = _derived(RUNS, "events")
 rejection_funnel = _derived(REJECTION_FUNNEL, "events")
 source_runs = _derived(SOURCE_RUNS, "events")
 samples = _derived(SAMPLES, "orders")
+restricted = _derived(RESTRICTED, "orders")
 titles = _derived(TITLES, "pages")
 employers = _derived(EMPLOYERS, "customer")

@@ -120,8 +120,63 @@ def test_restrictions_look_around_each_hit(spark):
     assert dict(zip(RESTRICTED, values(spark, list(RESTRICTED), gates.restriction), strict=True)) == RESTRICTED
 
 
+def test_golden_pages(spark):
+    """Pages that offers for bachelor or doctoral students only must fail, and that offers open to master students must pass."""
+    undergraduate = ["Currently pursuing a bachelor's degree in Computer Science", "Must be a rising junior or senior in an accredited university", "Must be at least advancing to their junior year of study", "Requires sophomore standing or higher", "This is a Summer 2027 internship program"]
+    doctoral = ["must be currently pursuing a phd in computer science", "PhD Internship - Machine Learning Research", "Requires a Ph.D. in a related field", "PhD candidates only"]
+    free = ["Pursuing a BS/MS in Computer Engineering, Computer Science", "Currently pursuing a bachelor's or master's degree in CS", "Currently pursuing a degree in Computer Science or related field", "Join our team as a software engineering intern!", "Pursuing a BS, MS or PhD in computing"]
+    pages = [f"<html><body><p>{t}</p></body></html>" for t in (*undergraduate, *doctoral, *free)]
+    assert values(spark, pages, gates.page_reason) == ["undergraduate_only"] * len(undergraduate) + ["phd_only"] * len(doctoral) + [None] * len(free)
+
+
+def test_automaton_equals_search_for_each_form():
+    import random
+    import re
+
+    from postmill.operators import phrases, restrictions
+
+    rng, rules = random.Random(5), restrictions.RULES
+    vocabulary = sorted({w for rule in rules for p in (*rule.phrases, *rule.rescue) for part in p.split(" ... ") for form in phrases.plain_forms(part)[:3] for w in form.replace("*", "s").split()}) + ["|", "."] * 40
+    matcher, flat = phrases.Matcher(rules), [(r, role, p, part) for r, role, p, phrase in phrases._phrases(rules) if " ... " not in phrase for part in [phrase]]
+    for _ in range(60):
+        text = " " + " ".join(rng.choice(vocabulary) for _ in range(200)) + " "
+        found = {(h.rule, h.start, h.end) for h in matcher.hits(text) if not rules[h.rule].fields and not rules[h.rule].outside}
+        for r, role, _, part in flat:
+            if role == "phrase" and not rules[r].fields and not rules[r].outside:
+                for form in phrases.plain_forms(part):
+                    pattern = rf"(?<= )(?={re.escape(form[:-1]) + '[^ ]*' if form.endswith('*') else re.escape(form)} )"
+                    for m in re.finditer(pattern, text):
+                        end = text.index(" ", m.start() + len(form) - form.endswith("*"))
+                        assert (r, m.start(), end) in found
+
+
+def test_hits_cost_a_linear_time():
+    import time
+
+    from postmill.operators import phrases, restrictions
+
+    matcher, took = phrases.Matcher(restrictions.RULES), []
+    for n in (2_000, 8_000):
+        text = " " + "rising senior and no cpt with phd students here " * n
+        began = time.process_time()
+        assert len(matcher.hits(text)) >= 3 * n
+        took.append(time.process_time() - began)
+    assert took[1] < 12 * took[0]
+
+
+def test_sections_and_captures():
+    from postmill.operators import phrases
+
+    text = " first §h about us §e we are §h minimum qualifications §e python §h nice to have §e go §h odd §e x "
+    assert [(s.kind, text[s.start : s.end].split()[-1]) for s in phrases.sections(text)] == [("top", "first"), ("about", "are"), ("requirements", "python"), ("preferred", "go"), ("other", "x")]
+    rule = (phrases.Rule("field", ("preferred majors",), ("cs",), fields=("law", "art")),)
+    reason = phrases.Matcher(rule).reason
+    assert [reason(f" {t} ") for t in ("preferred majors law . cs", "preferred majors law cs", "preferred majors . law", "preferred majors art | cs", "majors law")] == ["field", None, None, "field", None]
+    assert phrases.plain_forms("a|b [x|y] c") == ["a x c", "a y c", "a c", "b x c", "b y c", "b c"]
+
+
 def test_title_gates_and_age(spark):
-    cases = {"Co - Op, Fall 2027": "wrong_term", "Spring 2027 Summer Analyst": None, "2027 (Summer) Intern": "wrong_term", "Mechanical Engineer": "hardware_role", "Electrical Software Engineer": None, "Photonics Data Engineer Intern": None, "Nuclear AI Intern": "hardware_role", "Talent Acquisition AI Intern": None}
+    cases = {"Co - Op, Fall 2027": "wrong_term", "Spring 2027 Summer Analyst": None, "2027 (Summer) Intern": "wrong_term", "Mechanical Engineer": "hardware_role", "Electrical Software Engineer": None, "Photonics Data Engineer Intern": None, "Nuclear AI Intern": "hardware_role", "Summer IT AI Intern": "wrong_term", "NVIDIA 2027 Fall Internships": "wrong_term", "Fall 28 Coop": "wrong_term", "Software Engineer, Summer 2027 start": None, "January 2027 Summer Intern": None, "Front-End Recruiter": None, "Summer | one two | Intern": None, "Talent Acquisition AI Intern": None}
     assert values(spark, list(cases), gates.title_reason) == list(cases.values())
     ages = spark.createDataFrame([(0, None), (1, 3), (2, 4)], "i int, age int").orderBy("i").select(gates.too_old(F.col("age")), gates.too_old(F.col("age"), keep_undated=True)).collect()
     assert [tuple(r) for r in ages] == [(True, False), (False, False), (True, True)]
