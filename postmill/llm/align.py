@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from postmill.llm import sparse
 from postmill.llm import words as W
@@ -242,7 +242,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     names = ["doc_id", "a_ids", "b_ids", "group_a", "group_b", "first_b", "last_b"]
     out = StructType().add("doc_id", docs.schema["doc_id"].dataType)
     for name in names[1:]:
-        out = out.add(name, "array<int>")
+        out = out.add(name, ArrayType(IntegerType()))
     return docs.select("doc_id", "text").mapInArrow(run, out)
 
 
