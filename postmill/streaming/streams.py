@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from postmill.operators import seen
 from postmill.operators.lineage import shared_path
 from postmill.plans.registry import query
 from postmill.sources import tables
@@ -97,6 +98,22 @@ def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/rows")
 
 
+def _taken_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as postings that come in: a company and id return in different months."""
+    name, store = seen.STORE
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, store)
+    try:
+        orders = spark.readStream.schema(tables.table(spark, sf_dir, "orders").schema).parquet(f"{sf_dir}/order[s].parquet")
+        key = F.concat_ws("|", (F.col("o_custkey") % 40).cast("string"), (F.col("o_orderkey") % 61).cast("string"))
+        return _written(seen.taken_in(orders.select(key.alias("key"), F.col("o_orderdate").cast("timestamp").alias("ts"), F.col("o_orderkey").alias("id"))))
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+query("x2_registry_stream", """WITH k AS (SELECT (o_custkey % 40) || '|' || (o_orderkey % 61) AS key, o_orderdate::DATE AS day, o_orderkey AS id FROM orders), s AS (SELECT key, day, min(id) AS id FROM k GROUP BY 1, 2),
+    e AS (WITH RECURSIVE e(key, day) AS (SELECT key, min(day) FROM s GROUP BY key UNION ALL SELECT s.key, min(s.day) FROM e JOIN s ON s.key = e.key AND s.day > e.day + 90 GROUP BY s.key, e.day) SELECT DISTINCT s.key, s.day, s.id FROM e JOIN s USING (key, day))
+    SELECT key, (day - DATE '1970-01-01')::INT AS epoch_day, id FROM e""")(_taken_in)
 query("x1_landed", "SELECT ts::DATE AS p_day, count(*) AS n FROM events GROUP BY 1")(lambda s, d: _landed(s, d).groupBy("p_day").agg(F.count(F.lit(1)).alias("n")))
 query("x2_first_seen", "SELECT DISTINCT user_id FROM events")(lambda s, d: _written(first_seen(_source(s, d), "user_id")).select("user_id"))
 query("x5_last_runs", "SELECT event_type, count(*) AS n, count(*) FILTER (value >= 50) AS high FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) AS b FROM events) WHERE b <= 30 GROUP BY 1")(lambda s, d: _updated(last_runs(_source(s, d))))

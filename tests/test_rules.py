@@ -299,3 +299,89 @@ def test_nearest_name_with_any_edit(spark):
 def test_duplicate_groups_of_a_long_chain(spark):
     pairs = spark.createDataFrame([(i, i + 1) for i in range(120)] + [(200, 201)], "a long, b long")
     assert {(r.id, r.group) for r in dedup.duplicate_groups(pairs).collect()} == {(i, 0) for i in range(121)} | {(200, 200), (201, 200)}
+
+
+def brute_registry(rows, days):
+    """Rows (key, day, id) that are taken in, one after another by day and id."""
+    last, taken = {}, []
+    for key, day, i in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: (r[1], r[2])):
+        if key not in last or day > last[key] + days:
+            last[key] = day
+            taken.append(i)
+    return taken
+
+
+def test_registry_equals_brute_force(spark):
+    import random
+
+    from postmill.operators import seen
+
+    rng, base = random.Random(4), datetime.date(2024, 1, 1)
+    rows = [(rng.choice(["a", "b", "c", None]), rng.choice([None, *range(500)]), i) for i in range(400)] + [("hot", d % 300, 1000 + d) for d in range(900)] + [("edge", 0, 5000), ("edge", 90, 5001), ("edge", 91, 5002)]
+    table = spark.createDataFrame([(k, None if d is None else base + datetime.timedelta(days=d), i) for k, d, i in rows], "key string, day date, id long")
+    found = {r.id: r for r in seen.known(table).collect()}
+    taken = set(brute_registry(rows, 90))
+    assert {i for i, r in found.items() if not r.known} == taken | {i for k, d, i in rows if k is None or d is None}
+    assert found[5001].seen_at == base and not found[5002].known and found[5002].seen_at is None
+    assert seen.known(table.limit(0)).count() == 0
+
+
+def test_registry_stream_expires_and_takes_late_rows(spark, tmp_path):
+    import time
+
+    from postmill.operators import seen
+
+    base = datetime.datetime(2024, 1, 1)
+    batches = [[("a", 0, 1), ("a", 0, 2), ("b", 5, 3)], [("a", 90, 4), ("a", 91, 5), ("b", 4, 6)], [("a", 90, 7), ("b", 96, 8), ("c", 180, 9)], [("a", 300, 10), ("b", 297, 11), ("b", 100, 12)]]
+    for batch in batches:
+        spark.createDataFrame([(k, base + datetime.timedelta(days=d), i) for k, d, i in batch], "key string, ts timestamp, id long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(1.1)  # files are taken in the order of their times
+    before = spark.conf.get(seen.STORE[0], None)
+    spark.conf.set(*seen.STORE)
+    try:
+        source = spark.readStream.schema("key string, ts timestamp, id long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        seen.taken_in(source).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset(seen.STORE[0]) if before is None else spark.conf.set(seen.STORE[0], before)
+    # 6 and 7 are late but covered, 12 is beyond the watermark, and ids seen 91 days ago are free again
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 3, 5, 8, 9, 10, 11]
+
+
+@pytest.mark.parametrize(("most", "guard", "earlier"), [(1000, False, False), (7, False, False), (7, True, True)])
+def test_top_matches_equal_brute_force(spark, most, guard, earlier):
+    import math
+    import random
+    from collections import Counter
+
+    rng = random.Random(8)
+    words = ["software", "engineer", "intern", "data", "cloud", "remote", "ii", "senior", "rare", "nlp"]
+    titles = sorted({(c, " ".join(["rare", *rng.sample(words, rng.randint(1, 5))])) for c in "ab" for _ in range(60)})
+    rows = [(i, c, t) for i, (c, t) in enumerate(titles)]
+    table = spark.createDataFrame([*rows, (999, "c", "")], "id long, company string, title string")
+    count = {i: Counter(t.split()) for i, _, t in rows}
+    df = Counter(w for c in count.values() for w in c)
+    vector = {i: {w: n / sum(c.values()) * (math.log((len(rows) + 2) / (df[w] + 1)) + 1) for w, n in c.items()} for i, c in count.items()}
+    norm = {i: math.sqrt(sum(x * x for x in v.values())) for i, v in vector.items()}
+    by_pair = {(r.a, r.b): r.d for r in table.selectExpr("id AS a", "title AS ta").crossJoin(table.selectExpr("id AS b", "title AS tb")).select("a", "b", dedup.differs(F.col("ta"), F.col("tb")).alias("d")).collect()}
+    expected = set()
+    for i, c, _ in rows:
+        near = []
+        for j, e, _ in rows:
+            score = round(sum(x * vector[j].get(w, 0) for w, x in vector[i].items()) / norm[i] / norm[j], 6)
+            if i != j and c == e and score >= 0.7 and not (guard and by_pair[i, j]) and not (earlier and j > i):
+                near.append((-score, j))
+        expected |= {(i, j, -s) for s, j in sorted(near)[:3]}
+    found = {(r.a, r.b, r.score) for r in dedup.top_matches(table, 0.7, 3, guard, earlier, most).collect()}
+    assert found == expected and len(found) > 50
+
+
+def test_tiers_in_order(spark):
+    rows = [
+        (1, "https://boards.greenhouse.io/a/jobs/123456", "Acme Inc", "Data Engineer", "JR-7", "2024-01-01", "r1"), (2, None, "Acme", "Other Role", "JR 7", "2024-03-31", "r2"), (3, None, "Acme", "Third Role", "JR-7", "2024-04-01", "r3"),
+        (4, None, "Elsewhere", "Fourth Role", "jr7", "2024-04-01", "r3"), (5, "https://boards.greenhouse.io/a/jobs/123456?x=1", "Zeta", "Fifth Role", "N/A", "2024-05-01", "r4"), (6, None, "Acme LLC", "Data Engineer (US)", "N/A", "2024-05-01", "r4"),
+        (7, None, "Acme", "Data Engineer Role", "N/A", "2024-05-01", "r4"), (8, None, "Acme", "Data Engineer II", "N/A", "2024-05-01", "r4"), (9, None, None, None, None, None, None), (10, None, "", "Data Engineer", "N/A", "2024-05-01", "r4"),
+    ]
+    table = spark.createDataFrame(rows, "id long, url string, company string, title string, job_id string, processed_at string, run_id string")
+    assert {r.id: r.tier for r in dedup.tiers(table, fuzzy=0.6).collect()} == {1: None, 2: "job_id", 3: None, 4: "run", 5: "url", 6: "key", 7: "fuzzy", 8: None, 9: None, 10: None}
+    assert dedup.tiers(table.limit(0)).count() == 0
+    assert [r.id for r in dedup.run_repeats(table.unionByName(table.where("id = 7").withColumn("id", F.lit(70)))).collect()] == [70]
