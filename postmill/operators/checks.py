@@ -41,6 +41,32 @@ def silver_gate(rows: DataFrame, least: float = 0.20) -> float:
     return rate
 
 
+def week_gate(extracted: DataFrame, landed: DataFrame, weeks: DataFrame, least: float = 0.20) -> DataFrame:
+    """Q6-Q8: week, extracted, landed, silver, rate, verdict of each week to build: skip, lost, stop or pass.
+
+    A week without rows is skipped, but an empty table is an error; a week whose landed rows are not as many as its extracted ones is lost;
+    one with a share of Silver rows below the least is stopped. Silver rows of a week are its valid grains, so they are
+    counted and no row is ranked.
+    """
+    if extracted.isEmpty():
+        raise GateError("the table is empty")
+    grain = F.struct(C.company_key(F.col("company")), *[F.lower(F.trim(F.coalesce(F.col(c), F.lit("none")))) for c in ("title", "source")])
+    n = extracted.groupBy("p_week").agg(F.count(F.lit(1)).alias("extracted"))
+    found = landed.groupBy("p_week").agg(F.count(F.lit(1)).alias("landed"), F.count_distinct(F.when(layers.gate_reason().isNull(), grain)).alias("silver"))
+    both = weeks.select("p_week").distinct().join(n, "p_week", "left").join(found, "p_week", "left").fillna(0, ["extracted", "landed", "silver"])
+    rate = F.when(F.col("landed") > 0, F.col("silver") / F.col("landed")).otherwise(0.0)
+    verdict = F.when(F.col("extracted") == 0, "skip").when(F.col("extracted") != F.col("landed"), "lost").when(rate < least, "stop").otherwise("pass")
+    return both.select("p_week", "extracted", "landed", "silver", F.round(rate, 6).alias("rate"), verdict.alias("verdict"))
+
+
+def require_weeks(verdicts: DataFrame) -> list[str]:
+    """The weeks to build; an error if any is lost or stopped."""
+    bad = [f"{r.p_week} {r.verdict}" for r in verdicts.where("verdict IN ('lost', 'stop')").orderBy("p_week").limit(5).collect()]
+    if bad:
+        raise GateError(f"weeks that may not be published: {', '.join(bad)}")
+    return [r.p_week for r in verdicts.where("verdict = 'pass'").orderBy("p_week").collect()]
+
+
 def run_summary(rows: DataFrame) -> DataFrame:
     """Q9: one line on a run."""
     r = layers.gated(rows).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("quarantine_reason").isNull()).alias("ok"))

@@ -58,10 +58,16 @@ query("p50_repaired", "SELECT id, CASE WHEN id % 5 = 0 THEN 'Unknown' ELSE remot
 )
 
 
-@query("q6_q7_q8_gate", "SELECT round((SELECT count(*) FROM silver)::DOUBLE / (SELECT count(*) FROM jobs), 6) AS rate", "silver")
+@query("q6_q7_q8_gate", f"""WITH x AS (SELECT *, right(p_week, 2)::INT AS w, {sql_company_key("company")} AS k FROM gated WHERE p_week <> 'unknown'), e AS (SELECT x.*, r FROM x, range(10) t(r) WHERE r = 0 OR w % 5 = 0), l AS (SELECT * FROM e WHERE w % 7 <> 0 OR id % 2 = 1),
+    n AS (SELECT p_week, count(*) AS extracted FROM e GROUP BY 1), f AS (SELECT p_week, count(*) AS landed, count(DISTINCT k || '|' || lower(trim(title)) || '|' || lower(trim(coalesce(source, 'none')))) FILTER (reason IS NULL) AS silver FROM l GROUP BY 1),
+    y AS (SELECT p_week FROM n UNION SELECT (1990 + k) || '-W01' FROM range(40) t(k)), j AS (SELECT p_week, coalesce(extracted, 0) AS extracted, coalesce(landed, 0) AS landed, coalesce(silver, 0) AS silver FROM y LEFT JOIN n USING (p_week) LEFT JOIN f USING (p_week))
+    SELECT *, CASE WHEN landed > 0 THEN round(silver / landed::DOUBLE, 6) ELSE 0 END AS rate, CASE WHEN extracted = 0 THEN 'skip' WHEN extracted <> landed THEN 'lost' WHEN landed = 0 OR silver / landed::DOUBLE < 0.2 THEN 'stop' ELSE 'pass' END AS verdict FROM j""", "gated")
 def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rate = checks.silver_gate(layers.bronze(tables.jobs(spark, sf_dir)), least=0.0)  # most of these rows are duplicates by design
-    return spark.range(1).select(F.round(F.lit(rate), 6).alias("rate"))
+    """Every fifth week's rows come ten times, every seventh week loses half of its rows, and some weeks have none."""
+    rows = layers.bronze(tables.jobs(spark, sf_dir)).where("p_week <> 'unknown'").withColumn("_w", F.right("p_week", F.lit(2)).cast("int"))
+    extracted = rows.withColumn("_copy", F.explode(F.when(F.col("_w") % 5 == 0, F.sequence(F.lit(0), F.lit(9))).otherwise(F.array(F.lit(0)))))
+    weeks = rows.select("p_week").unionByName(spark.range(40).select(F.concat((F.col("id") + 1990).cast("string"), F.lit("-W01")).alias("p_week")))
+    return checks.week_gate(extracted, extracted.where("_w % 7 <> 0 OR id % 2 = 1"), weeks)
 
 
 @query("s6_employer_export", "SELECT name, sum(approvals)::BIGINT AS approvals FROM employers GROUP BY 1", "employers")

@@ -90,6 +90,19 @@ def test_silver_gate_and_schema(spark, small):
     assert checks.silver_gate(rows, 0.01) > 0.01
 
 
+def test_week_gate_passes_stops_and_skips(spark):
+    row = lambda i, week, title: (i, "https://a.com/1", "Acme", title, "s", week)
+    rows = spark.createDataFrame([row(i, "2024-W01", f"t{i}") for i in range(5)] + [row(i, "2024-W02", "same") for i in range(10, 16)] + [row(i, "2024-W03", "same") for i in range(20, 25)], "id long, url string, company string, title string, source string, p_week string")
+    weeks = spark.createDataFrame([(f"2024-W0{i}",) for i in range(1, 6)], "p_week string")
+    found = {r.p_week[-1]: r.verdict for r in checks.week_gate(rows, rows.where("id <> 4"), weeks).collect()}
+    assert found == {"1": "lost", "2": "stop", "3": "pass", "4": "skip", "5": "skip"}
+    with pytest.raises(checks.GateError, match="W02 stop"):
+        checks.require_weeks(checks.week_gate(rows, rows, weeks))
+    assert checks.require_weeks(checks.week_gate(rows.where("p_week <> '2024-W02'"), rows.where("p_week <> '2024-W02'"), weeks)) == ["2024-W01", "2024-W03"]
+    with pytest.raises(checks.GateError, match="empty"):
+        checks.week_gate(rows.limit(0), rows, weeks)
+
+
 def test_display_name_variants(spark, small):
     jobs = marts.stage(spark, small)[0]
     assert marts.dim_company(jobs).count() == marts.dim_company(jobs, longest_name=True).count()
