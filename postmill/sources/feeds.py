@@ -17,6 +17,7 @@ from postmill.functions import columns as C
 from postmill.operators import gates
 from postmill.plans.registry import query
 from postmill.sources import tables
+from postmill.sources.pages import votes
 
 BODY_ROWS = 4000
 POSTING = ("company", "title", "location", "url", "job_id", "source", "age", "is_closed")
@@ -274,33 +275,6 @@ def work_mode(location: Column, description: Column) -> Column:
     return found
 
 
-def votes(pages: DataFrame) -> DataFrame:
-    """page_id, field, value, confidence: what structured data, title, meta tags, data attributes, marked elements, labelled
-    text and URL say about a page."""
-    data = F.regexp_extract("html", r"(?is)<script[^>]+type=\"application/ld\+json\"[^>]*>(.*?)</script>", 1)
-    said_by = lambda path: F.get_json_object(data, path)
-    attribute = lambda name: F.regexp_extract("html", rf"(?i)\bdata-{name}=\"([^\"]+)", 1)
-    marked = lambda name: F.regexp_extract("html", rf"(?i)<\w+[^>]+(?:class|id|itemprop)=\"[^\"]*\b{name}\b[^\"]*\"[^>]*>\s*([^<]{{2,80}})", 1)
-    meta = lambda name: F.regexp_extract("html", rf"(?i)<meta[^>]+(?:name|property)=\"{name}\"[^>]+content=\"([^\"]+)", 1)
-    label = lambda name: F.regexp_extract(gates.page_text(F.col("html")), rf"(?i)\b{name}:\s*([^.|<]{{2,60}}?)(?=\s{{2}}|[.|<]|$)", 1)
-    said = [
-        ("title", F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1), 0.7), ("title", F.regexp_replace(F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1), "<[^>]+>", ""), 0.9), ("company", meta("og:site_name"), 0.9),
-        ("company", F.regexp_extract("url", r"^https?://(?:www\.|m\.)?([^./]+)", 1), 0.4), ("location", label("location"), 0.8), ("job_id", C.board_job_id(F.col("url")), 0.9), ("job_id", label("job id"), 0.85), ("job_type", label("job type"), 0.8),
-        ("title", said_by("$.title"), 0.95), ("company", said_by("$.hiringOrganization.name"), 0.93), ("company", marked("company(?:-name)?"), 0.85), ("job_type", said_by("$.employmentType"), 0.95), ("job_type", meta("job-type"), 0.9),
-        ("location", F.nullif(F.concat_ws(", ", said_by("$.jobLocation.address.addressLocality"), said_by("$.jobLocation.address.addressRegion")), F.lit("")), 0.95), ("location", marked("(?:job-)?location"), 0.88), ("location", names_place(F.col("url")), 0.7),
-        ("job_id", said_by("$.identifier.value"), 0.95), ("job_id", attribute("job-?id"), 0.9), ("job_id", meta("job-?id"), 0.95),
-        ("language", F.regexp_extract("html", r"(?i)<html[^>]+lang=\"([a-z]{2})", 1), 0.95), ("language", F.regexp_extract("url", r"/(en|de|fr|es)/", 1), 0.6),
-    ]
-    found = F.array(*[F.struct(F.lit(f).alias("field"), F.trim(v).alias("value"), F.lit(c).alias("confidence")) for f, v, c in said])
-    return pages.select("page_id", F.explode(found).alias("v")).select("page_id", "v.*").where("value IS NOT NULL AND value <> ''")
-
-
-def names_place(url: Column) -> Column:
-    """'City-ST' in a URL's path as 'City, ST'."""
-    city, state = (F.regexp_extract(C.text(url), r"/([A-Z][a-z]+(?:-[A-Z][a-z]+)?)-([A-Z]{2})(?:[/_?-]|$)", i) for i in (1, 2))
-    return F.when(state.isin(*C.STATES), F.concat(F.replace(city, F.lit("-"), F.lit(" ")), F.lit(", "), state))
-
-
 def elected(cast: DataFrame, least: float = 0.3) -> DataFrame:
     """Of each page and field the value with the best score: number of votes * 1.2 * mean confidence."""
     by = cast.where(F.col("confidence") >= least).where("lower(value) <> 'unknown'").groupBy("page_id", "field", "value").agg((F.count(F.lit(1)) * 1.2 * F.avg("confidence")).alias("score"), F.max("confidence").alias("confidence"))
