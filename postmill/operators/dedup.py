@@ -30,8 +30,9 @@ def dedup_key(company: Column, title: Column) -> Column:
 
 
 def first_of(rows: DataFrame, order: str, *keys: Column) -> DataFrame:
-    """The first row of each key."""
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).where("_n = 1").drop("_n")
+    """The first row of each key; rows are compared where they are read, so a hot key sends one row a task."""
+    named = [k.alias(f"_k{i}") for i, k in enumerate(keys)]
+    return rows.groupBy(*named).agg(F.min_by(F.struct("*"), F.col(order)).alias("_row")).select("_row.*")
 
 
 def tiers(jobs: DataFrame, days: int = seen.DAYS, fuzzy: float = 0.90) -> DataFrame:
@@ -233,7 +234,8 @@ def rejected_once(rows: DataFrame) -> DataFrame:
 def repeated_job_ids(rows: DataFrame) -> DataFrame:
     """Later rows of one company and job id."""
     known = rows.where((C.text(F.col("job_id")) != "") & (F.col("job_id") != "N/A"))
-    return known.withColumn("_n", F.row_number().over(Window.partitionBy("company", "job_id").orderBy("id"))).where("_n > 1").drop("_n")
+    first = known.groupBy(F.col("company").alias("_c"), F.col("job_id").alias("_j")).agg(F.min("id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return known.join(first, F.col("company").eqNullSafe(F.col("_c")) & (F.col("job_id") == F.col("_j")) & (F.col("id") > F.col("_first")), "left_semi")
 
 
 def not_sent(drafts: DataFrame, log: DataFrame, days: int = 30) -> DataFrame:

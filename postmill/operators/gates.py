@@ -215,12 +215,15 @@ def expired(rows: DataFrame, as_of: str, limit_days: int, most: int, absurd: flo
 
 
 def first_fail(jobs: DataFrame) -> DataFrame:
-    """jobs with the first gate that each fails, cheapest first; one narrow projection without a shuffle."""
+    """jobs with the first gate that each fails, cheapest first. Titles repeat, so each distinct one is judged once and looked up."""
+    from postmill.operators import chain
+
+    judged = chain.looked_up(jobs, chain.title_verdicts(jobs), "title")
     gate = F.coalesce(
-        F.when(~is_job_url(F.col("url")), "url"), F.when(should_drop_summer(F.col("title"), F.col("job_type")), "term"), F.concat(F.lit("title:"), first_reason(TITLE_VALIDITY, F.col("title"))), F.concat(F.lit("gate:"), title_reason(F.col("title"))),
-        F.when(~more_technical(F.col("title")), "tech"), F.when(~is_us_location(F.col("location")), "location"), F.when(write_quality() < 4, "quality"), F.concat(F.lit("integrity:"), integrity_reason()),
+        F.when(~is_job_url(F.col("url")), "url"), F.when(should_drop_summer(F.col("title"), F.col("job_type")), "term"), F.concat(F.lit("title:"), "validity"), F.concat(F.lit("gate:"), "gate"),
+        F.when(~F.col("technical"), "tech"), F.when(~is_us_location(F.col("location")), "location"), F.when(write_quality() < 4, "quality"), F.concat(F.lit("integrity:"), integrity_reason()),
     )
-    return jobs.withColumn("first_fail", gate)
+    return judged.withColumn("first_fail", gate).drop("validity", "gate", "technical")
 
 
 def sql_reason(rules: tuple[Rule, ...], c: str) -> str:
