@@ -46,7 +46,11 @@ def place_rows() -> list[tuple[str, str, float]]:
     """(name, country, weight) of the place table. Codes stand behind a comma, written ', xx'."""
     rows = [(n, "US", REGION) for n in STATES.values()] + [(n, "Canada", REGION) for n in PROVINCES.values()] + [(n, "US", CITY) for n in CITIES] + [(n, c, CITY) for c, names in ABROAD.items() for n in names.split(",") if n]
     rows += [(n, c, LIKELY if i == 0 else OTHER) for n, lands in SHARED.items() for i, c in enumerate(lands)] + [(n, c, COUNTRY) for c, names in COUNTRY_WORDS.items() for n in names.split(",")]
-    return rows + [(f", {k.lower()}", "US", CODE) for k in STATES] + [(f", {k.lower()}", "Canada", CODE) for k in PROVINCES]
+    rows += [(f", {k.lower()}", "US", CODE) for k in STATES] + [(f", {k.lower()}", "Canada", CODE) for k in PROVINCES]
+    most: dict[tuple[str, str], float] = {}
+    for name, country, weight in rows:  # a name counts once for a land: New York is a city and a state
+        most[name, country] = max(weight, most.get((name, country), 0.0))
+    return [(name, country, weight) for (name, country), weight in most.items()]
 
 
 def gazetteer(spark: SparkSession) -> DataFrame:
