@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash-threshold histograms, with DataFrame operations only.
 
-Every row has a fixed 60-bit hash of its id. A source's budget picks the rows whose hash lies below a threshold. The
+Every row has a fixed 60-bit hash of its id, or of its text where it has no id. A source's budget picks the rows whose hash lies below a threshold. The
 thresholds come from histograms: sizes are summed by source and the hash's top 12 bits, the bucket in which the running sum
 crosses the budget is found, and only the rows of that bucket are summed again by the next 12 bits, until all 60 are used.
 No rows are sorted, and a threshold found for a smaller budget lies below one for a larger budget (nested).
@@ -21,9 +21,9 @@ MOST_REPEATS = 3
 BITS, LEVELS = 12, 5
 
 
-def id_hash(column: Column) -> Column:
-    """60 bits of the MD5 of the id as text; null ids hash as empty text."""
-    return F.conv(F.substring(F.md5(F.coalesce(column.cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
+def id_hash(column: Column, text: Column) -> Column:
+    """60 bits of the MD5 of the id as text; rows without an id have that of their text behind a sign of its own."""
+    return F.conv(F.substring(F.md5(F.coalesce(column.cast("string"), F.concat(F.lit("#"), F.coalesce(text, F.lit("")))).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def word_count(column: str) -> Column:
@@ -90,14 +90,14 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
 
 
 def mix_plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
-    """_source, source_size, target, repeats, threshold of a table (doc_id, source, size); a row per source.
+    """_source, source_size, target, repeats, threshold of a table (source, size, hash); a row per source.
 
     A source's rows are taken `repeats` times each, and those with a hash below `threshold` once more.
     """
     table = materialize(source_targets(rows, weights, most), "targets")
     repeats = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(0)
     rest = F.when(repeats >= most, F.lit(0)).otherwise(F.round(F.col("target") - repeats * F.col("source_size")).cast("long"))
-    hashed = rows.select("source", "size", id_hash(F.col("doc_id")).alias("hash"))
+    hashed = rows.select("source", "size", "hash")
     found = thresholds(hashed, table.select("source", rest.alias("budget"))).withColumnRenamed("source", "_t")
     plan = table.select(F.col("source").alias("_source"), "source_size", "target", repeats.cast("long").alias("repeats")).join(found, F.col("_source").eqNullSafe(F.col("_t"))).drop("_t")
     # a table of its own, so that Spark knows its size: it broadcasts a small one and need not deal the documents by source
@@ -105,11 +105,11 @@ def mix_plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST
 
 
 def _sizes(docs: DataFrame) -> DataFrame:
-    return materialize(docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")
+    return materialize(docs.select("doc_id", "source", word_count("text").alias("size"), id_hash(F.col("doc_id"), F.col("text")).alias("hash")), "sizes")
 
 
-def _copies() -> Column:
-    return F.col("repeats") + F.when(id_hash(F.col("doc_id")) < F.col("threshold"), 1).otherwise(0)
+def _copies(hash_: Column) -> Column:
+    return F.col("repeats") + F.when(hash_ < F.col("threshold"), 1).otherwise(0)
 
 
 def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
@@ -118,24 +118,24 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
     size is the number of words of the text (null: 0). Each source takes every row as often as its target holds its whole
     size, and fills the rest with the rows below its hash threshold, so `taken` is a multiple of size, at most `most` times.
     The sums come within half the crossing row of the target. Rows are kept as they are: repeated rows count and return as
-    often as they occur, sources of size 0 take nothing, and reruns agree since only ids and sizes decide. Null doc_ids
-    share one hash. Extra columns of docs are not read.
+    often as they occur, sources of size 0 take nothing, and reruns agree since only ids and sizes decide. Rows without a
+    doc_id are picked by their texts. Extra columns of docs are not read.
     """
     rows = _sizes(docs)
-    return rows.join(mix_plan(rows, weights, most), F.col("source").eqNullSafe(F.col("_source")), "left").select("doc_id", "size", "source_size", "target", (F.col("size") * _copies()).alias("taken"))
+    return rows.join(mix_plan(rows, weights, most), F.col("source").eqNullSafe(F.col("_source")), "left").select("doc_id", "size", "source_size", "target", (F.col("size") * _copies(F.col("hash"))).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """The rows of docs, each as often as mix_sources() takes it, with all their columns, whatever their names."""
     plan = mix_plan(_sizes(docs), weights, most)
-    rows = docs.select(F.struct("*").alias("_row"), "doc_id", "source")
-    times = F.explode(F.array_repeat(F.lit(0), _copies().cast("int")))
+    rows = docs.select(F.struct("*").alias("_row"), "source", id_hash(F.col("doc_id"), F.col("text")).alias("_hash"))
+    times = F.explode(F.array_repeat(F.lit(0), _copies(F.col("_hash")).cast("int")))
     return rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).select("_row", times.alias("_copy")).select("_row.*")
 
 
 ORACLE = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hash FROM documents),
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '#' || coalesce(text, ''))), 1, 15))::BIGINT AS hash FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM d GROUP BY source),
 r AS (SELECT *, 3 * source_size / weight::DOUBLE AS ratio FROM s),
 a AS (SELECT *, coalesce(sum(3 * source_size) OVER w, 0) AS used, sum(weight) OVER (ORDER BY ratio, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open,

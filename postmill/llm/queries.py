@@ -28,7 +28,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates.replace_entities(documents(spark, sf_dir)).select("doc_id", "text", "n_entities")
+    return surrogates.replace_entities(documents(spark, sf_dir), surrogates.stated_key(spark, surrogates.EXAMPLE_KEY)).select("doc_id", "text", "n_entities")
 
 
 def op5_images(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +20,18 @@ def shared_root(spark: SparkSession) -> str:
     return (folder or _own_root()).rstrip("/")
 
 
-_tables: list[str] = []
+#: the paths that the run of this context wrote
+_run: ContextVar[list[str] | None] = ContextVar("tables", default=None)
+
+
+@contextmanager
+def run_tables() -> Iterator[list[str]]:
+    """A list of the paths that materialize() writes in this block and context, for discard_tables(); other runs have lists of their own."""
+    token = _run.set([])
+    try:
+        yield _run.get()
+    finally:
+        _run.reset(token)
 
 
 @cache
@@ -33,23 +47,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: lineage ends there, and the copy survives lost executors."""
     path = shared_path(df.sparkSession, name)
-    _tables.append(path)
+    if (tables := _run.get()) is not None:
+        tables.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def mark() -> int:
-    """A point in time for discard_since()."""
-    return len(_tables)
-
-
-def discard_since(spark: SparkSession, when: int, *keep: DataFrame) -> None:
-    """Removes the tables that materialize() wrote since then, but for some."""
+def discard_tables(spark: SparkSession, tables: list[str], *keep: DataFrame) -> None:
+    """Removes a run's tables, but for some, and takes them from its list."""
     kept = {file.rpartition("/")[0].rpartition("/")[2] for df in keep for file in df.inputFiles()[:1]}
-    for path in _tables[when:]:
-        if path.rpartition("/")[2] not in kept:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    for path in [p for p in tables if p.rpartition("/")[2] not in kept]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        tables.remove(path)
 
 
 def discard(df: DataFrame) -> None:

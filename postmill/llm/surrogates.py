@@ -18,7 +18,8 @@ Only entities with a later attempt are joined to the texts again; the others are
 
 from __future__ import annotations
 
-import secrets
+import hashlib
+import hmac
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from postmill.llm.shared import discard, materialize
 
 #: the Spark setting that holds the secret
 KEY_SETTING = "spark.postmill.surrogates.key"
+#: for public test tables: what the registered queries use where the setting is missing
+EXAMPLE_KEY = "a key for public test tables"
 ROUNDS, STEPS, LONGEST = 6, 4, 64
 #: fixed values: titles before a name, by gender
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "Г-н", "господин", "Κύριος")
@@ -36,7 +39,7 @@ UPPER = ("MR", "MRS", "MS", "MISS", "DR", "PROF")
 NAME = r"\p{Lu}[\p{L}'’-]+"
 #: by its first character, a match of most kinds begins at a word's start; what can't match there fails at once
 PATTERN = (
-    r"(?<=password=)[^\s\"',;]{4,}|(?<=token = \")[^\"\s]{8,}(?=\")|(?<![\w])(?:"
+    r"(?<=password=)[^\s\"',;]{4,}|(?<=token = \")[^\"\s]{8,}(?=\")|(?<=(?:password: |api_key=|api_key: ))(?=\S*\d)[^\s\"',;]{6,}|(?<=Bearer )[\w.~+/-]{16,}|(?<=(?:ssn|SSN) )\d{9}(?!\w)|(?<![\w])(?:"
     + "|".join(
         [
             r"AKIA[0-9A-Z]{16}(?!\w)",
@@ -44,7 +47,7 @@ PATTERN = (
             r"(?<![.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
             r"(?=\d)(?:(?<![.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)|(?<![.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?!\w)|(?<!-)\d{3}-\d{2}-\d{4}(?![\w-]))",
             r"(?=[0-9A-Fa-f]{1,4}:)(?<![:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])",
-            r"(?=[+\d(])(?:(?<![+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)|(?<![.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-]))",
+            r"(?=[+\d(])(?:(?<![+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)|(?<![.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<![.-])0\d{2,4} \d{3,4} \d{4}(?![\w-]))",
             rf"(?<![\p{{L}}])(?=[MHSDFPГгΚ])(?:(?:{'|'.join(MALE + FEMALE + EITHER + UPPER)})\.? {NAME}(?: {NAME}){{0,2}}|(?:Mr|Mrs|Ms|Dr)\. \p{{Ll}}{{3,}}(?![\p{{L}}]))",
         ]
     )
@@ -69,7 +72,7 @@ def kind(e: Column) -> Column:
         .when(e.rlike(rf"^(?:{'|'.join((*EITHER, 'DR', 'PROF'))})\.? "), "any")
         .when(e.rlike(r"^(\d{1,3}\.){3}\d{1,3}$"), "ip")
         .when(e.rlike(r"^([0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$"), "ip6")
-        .when(e.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
+        .when(e.rlike(r"^(?:\d{3}-\d{2}-\d{4}|\d{9})$"), "ssn")
         .when(e.rlike(r"^[\d -]+$") & (digits >= 13), "card")
         .when(e.rlike(r"^[+(\d][\d ().-]*[ ().-][\d ().-]*$|^\+\d+$"), "phone")
         .when(e.rlike(r"^[A-Z]{2}\d{2}(?:(?: [0-9A-Z]{4}){3,7}(?: [0-9A-Z]{1,3})?|[0-9A-Z]{11,30})$"), "iban")
@@ -355,9 +358,17 @@ def later_attempts(entities: DataFrame, key: str) -> DataFrame | None:
     return None if out.isEmpty() else out
 
 
-def own_key(spark) -> str:
-    """The secret of KEY_SETTING; where it is unset, a new random one, so that no two runs give the same surrogates."""
-    return spark.conf.get(KEY_SETTING, None) or secrets.token_hex(32)
+def stated_key(spark, otherwise: str | None = None) -> str:
+    """The secret of KEY_SETTING; where it is unset, the one given, or an error."""
+    key = spark.conf.get(KEY_SETTING, None) or otherwise
+    if not key:
+        raise ValueError(f"set {KEY_SETTING} to the secret of the surrogates")
+    return key
+
+
+def derived(key: str) -> str:
+    """What stands in plans, event logs and tasks instead of the secret."""
+    return hmac.new(key.encode(), b"surrogates of personal data", hashlib.sha256).hexdigest()
 
 
 def replace_entities(docs: DataFrame, key: str | None = None) -> DataFrame:
@@ -366,9 +377,9 @@ def replace_entities(docs: DataFrame, key: str | None = None) -> DataFrame:
     All columns stay in place. A null text stays null with 0 entities, an empty one empty; ids are not read, so null and
     repeated ones are fine; repeated rows get equal texts, and one entity has one surrogate in all rows. Extra columns pass
     through, but for one named n_entities, which the count replaces. `key` is the secret: another key gives other
-    surrogates; it comes from own_key() if not given. The rows are written once to the shared folder with their entities.
+    surrogates, the same key the same ones in each run; it comes from stated_key() if not given. Plans hold a key derived from it. The rows are written once to the shared folder with their entities.
     """
-    key = key or own_key(docs.sparkSession)
+    key = derived(key or stated_key(docs.sparkSession))
     found = F.when(F.col("text").rlike(PATTERN), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
     marked = materialize(docs.select(F.struct("*").alias("_row"), found.alias("_pii")), "marked")
     text, some = F.col("_row.text"), marked.where("_pii IS NOT NULL")
