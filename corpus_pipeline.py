@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import mixing, packing, quality, similar, surrogates
-from postmill.llm.shared import discard_since, mark, materialize
+from postmill.llm.shared import discard_tables, materialize, run_tables
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +25,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Private data give way to surrogates; n_chars follows the new text."""
-    return surrogates.replace_entities(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return surrogates.replace_entities(docs, surrogates.stated_key(spark, surrogates.EXAMPLE_KEY)).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +45,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        began = mark()
-        docs = materialize(stage(spark, docs, sf_dir), name)
-        discard_since(spark, began, docs)
+    with run_tables() as tables:
+        for name, stage in STAGES[:-1]:
+            docs = materialize(stage(spark, docs, sf_dir), name)
+            discard_tables(spark, tables, docs)
     return STAGES[-1][1](spark, docs, sf_dir)
