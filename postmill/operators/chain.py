@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from postmill.functions import columns as C
 from postmill.operators import dedup, gates
-from postmill.operators.enrich import whole_word_terms
+from postmill.operators.enrich import company_rules, whole_word_terms
 from postmill.operators.lineage import cut
 from postmill.operators.restrictions import restriction
 from postmill.plans.registry import query
@@ -45,21 +45,6 @@ def title_verdicts(titles: DataFrame) -> DataFrame:
     return titles.select("title").distinct().select("title", gates.first_reason(gates.TITLE_VALIDITY, t).alias("validity"), gates.title_reason(t).alias("gate"), gates.more_technical(t).alias("technical"))
 
 
-def company_rules(companies: DataFrame, rules: DataFrame) -> DataFrame:
-    """company, listed: whether a rule's key is the company's, or the start of it, or begins with it (four letters or more).
-
-    Every start of a rule's key, and every start of a company's key, is a join key: one side's whole key meets the other's starts."""
-    key = lambda c: C.squash(C.company_key(F.col(c)))
-    starts = lambda c: F.transform(F.sequence(F.lit(4), F.length(c)), lambda n: F.left(F.col(c), n))
-    names = companies.select("company").distinct().withColumn("_k", key("company"))
-    long = names.where(F.length("_k") >= 4)
-    r = rules.select(key("name").alias("_r")).where(F.length("_r") >= 4).distinct()
-    longer = long.select("company", F.explode(starts("_k")).alias("_x")).join(r, F.col("_x") == F.col("_r"), "left_semi").select("company")
-    shorter = long.join(r.select(F.explode(starts("_r")).alias("_x")).distinct(), F.col("_k") == F.col("_x"), "left_semi").select("company")
-    hit = longer.union(shorter).distinct().select(F.col("company").alias("_c"), F.lit(True).alias("listed"))
-    return names.join(hit, F.col("company").eqNullSafe(F.col("_c")), "left").select("company", F.coalesce("listed", F.lit(False)).alias("listed"))
-
-
 def run_chain(rows: DataFrame, stages: tuple[Stage, ...]) -> DataFrame:
     """id, first_fail, lookups of rows: the first failing gate (null if none), and how many lookups the row took part in.
 

@@ -33,16 +33,38 @@ def approvals_lookup(companies: DataFrame, employers: DataFrame) -> DataFrame:
     return companies.join(hits, "company", "left").select(*companies.columns, F.when(F.col("hit").isNotNull(), "Yes").otherwise("Unknown").alias("verdict"), F.coalesce("hit.approvals", F.lit(0)).alias("approvals"), F.coalesce("hit.name", F.lit("")).alias("employer"))
 
 
+def starts(c: str, least: int) -> Column:
+    """The beginnings of a text, from so many letters to the whole."""
+    return F.transform(F.sequence(F.lit(least), F.length(c)), lambda n: F.left(F.col(c), n))
+
+
+def company_rules(companies: DataFrame, rules: DataFrame) -> DataFrame:
+    """company, listed: whether a rule's key is the company's, or the start of it, or begins with it (four letters or more).
+
+    Every start of a rule's key, and every start of a company's key, is a join key: one side's whole key meets the other's starts."""
+    key = lambda c: C.squash(C.company_key(F.col(c)))
+    names = companies.select("company").distinct().withColumn("_k", key("company"))
+    long = names.where(F.length("_k") >= 4)
+    r = rules.select(key("name").alias("_r")).where(F.length("_r") >= 4).distinct()
+    longer = long.select("company", F.explode(starts("_k", 4)).alias("_x")).join(r, F.col("_x") == F.col("_r"), "left_semi").select("company")
+    shorter = long.join(r.select(F.explode(starts("_r", 4)).alias("_x")).distinct(), F.col("_k") == F.col("_x"), "left_semi").select("company")
+    hit = longer.union(shorter).distinct().select(F.col("company").alias("_c"), F.lit(True).alias("listed"))
+    return names.join(hit, F.col("company").eqNullSafe(F.col("_c")), "left").select("company", F.coalesce("listed", F.lit(False)).alias("listed"))
+
+
 def filings_lookup(companies: DataFrame, employers: DataFrame, block: int = 5) -> DataFrame:
     """Tier, filings and name by exact squashed key, else by a prefix either way (of five letters or more), the largest.
 
-    The prefix join is blocked on the first five letters, which both sides of any such prefix share.
+    Each side's starts of five letters and more are join keys against the other side's whole keys, so no common start is a hot block.
     """
     key = lambda c: C.squash(C.company_key(F.col(c)))
     names = companies.select("company").distinct().withColumn("q", key("company"))
     e = employers.select(key("name").alias("k"), F.col("name").alias("employer"), F.col("approvals").alias("filings")).where("k <> ''")
     exact = names.join(e, F.col("q") == F.col("k")).withColumn("rank", F.lit(1))
-    near = names.where(F.length("q") >= block).join(e.where(F.length("k") >= block), F.substring("q", 1, block) == F.substring("k", 1, block)).where(F.col("k").startswith(F.col("q")) | F.col("q").startswith(F.col("k"))).withColumn("rank", F.lit(0))
+    long, known = names.where(F.length("q") >= block), e.where(F.length("k") >= block)
+    longer = long.withColumn("x", F.explode(starts("q", block))).join(known, F.col("x") == F.col("k"))
+    shorter = long.join(known.withColumn("x", F.explode(starts("k", block))), F.col("q") == F.col("x"))
+    near = longer.unionByName(shorter).drop("x").withColumn("rank", F.lit(0))
     hits = exact.unionByName(near).groupBy("company").agg(F.max_by(F.struct("filings", "employer"), F.struct("rank", "filings", "employer")).alias("hit"))
     n = F.col("hit.filings")
     tier = F.when(n >= STRONG, 1).when(n >= MODERATE, 2).when(n.isNotNull(), 3).otherwise(4)
@@ -51,10 +73,8 @@ def filings_lookup(companies: DataFrame, employers: DataFrame, block: int = 5) -
 
 def blacklisted(jobs: DataFrame, rules: DataFrame) -> DataFrame:
     """Postings whose company key equals a rule, or starts with it, or is its start (four letters or more)."""
-    keyed = jobs.withColumn("_k", C.squash(C.company_key(F.col("company"))))
-    r = rules.select(C.squash(C.company_key(F.col("name"))).alias("_r")).where(F.length("_r") >= 4).distinct()
-    found = keyed.select("_k").where(F.length("_k") >= 4).distinct().join(r, F.substring("_k", 1, 4) == F.substring("_r", 1, 4)).where(F.col("_k").startswith(F.col("_r")) | F.col("_r").startswith(F.col("_k"))).select("_k").distinct()
-    return keyed.join(found, "_k", "left_semi").drop("_k")
+    listed = company_rules(jobs, rules).where("listed").select(F.col("company").alias("_c"))
+    return jobs.join(listed, F.col("company").eqNullSafe(F.col("_c")), "left_semi")
 
 
 def whole_word_terms(jobs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -243,6 +263,21 @@ def status_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def dashboard(rows: DataFrame) -> DataFrame:
+    """Panel, label, n of rows (status, source, state, mode, day): applied rows by source, state, mode, month and ISO week with its
+    running total, and the funnel from all rows to interviews and offers. One pass; each row goes to a cell of each panel."""
+    s = F.lower(C.text(F.col("status")))
+    applied = s.rlike("appl|interview|offer|reject") & ~s.contains("not appl")
+    cell = lambda panel, label, when=None: F.when(F.lit(True) if when is None else when, F.struct(F.lit(panel).alias("panel"), F.coalesce(F.nullif(label, F.lit("")), F.lit("Unknown")).alias("label")))
+    cells = F.array(
+        cell("source", F.col("source"), applied), cell("state", F.col("state"), applied), cell("mode", F.col("mode"), applied), cell("month", F.date_format("day", "yyyy-MM"), applied), cell("week", F.date_trunc("week", "day").cast("date").cast("string"), applied),
+        cell("funnel", F.lit("1 all")), cell("funnel", F.lit("2 applied"), applied), cell("funnel", F.lit("3 interview"), s.rlike("interview|offer")), cell("funnel", F.lit("4 offer"), s.contains("offer")),
+    )
+    counts = rows.select(F.explode(F.filter(cells, lambda c: c.isNotNull())).alias("c")).groupBy("c.panel", "c.label").agg(F.count(F.lit(1)).alias("n"))
+    weeks = counts.where("panel = 'week' AND label <> 'Unknown'")  # a row a week: the span of time bounds the window
+    return counts.unionByName(weeks.select(F.lit("cumulative").alias("panel"), "label", F.sum("n").over(Window.partitionBy("panel").orderBy("label")).alias("n")))
+
+
 def repaired(rows: DataFrame) -> DataFrame:
     """P50: rows whose remote column holds a date are shifted by one: the four fields move back."""
     shifted = F.col("remote").rlike(r"^\d{4}-\d{2}-\d{2}")
@@ -311,6 +346,13 @@ query("j13_nearest_name", "WITH r AS (SELECT DISTINCT name FROM employers), n AS
 )
 query("o4_by_sponsorship")(lambda s, d: by_sponsorship(tables.jobs(s, d)))
 query("p51_send_at")(lambda s, d: tables.jobs(s, d).select("id", send_at(F.col("location"), F.substring("processed_at", 1, 10).cast("date")).alias("send_at")))
+STATUS = "CASE id % 10 WHEN 0 THEN 'Interview' WHEN 1 THEN 'Offer' WHEN 2 THEN 'Rejected' WHEN 3 THEN 'Not Applied' WHEN 4 THEN '' ELSE 'Applied' END"
+query("a44_dashboard", f"""WITH r AS (SELECT {STATUS} AS status, coalesce(nullif(source, ''), 'Unknown') AS source, coalesce(nullif(regexp_extract(location, ',\\s*([A-Z]{{2}})\\b', 1), ''), 'Unknown') AS state, coalesce(nullif(remote, ''), 'Unknown') AS mode, substr(processed_at, 1, 10)::DATE AS day FROM jobs),
+    a AS (SELECT * FROM r WHERE status NOT IN ('', 'Not Applied')), w AS (SELECT date_trunc('week', day)::DATE::VARCHAR AS label, count(*) AS n FROM a GROUP BY 1)
+    SELECT 'source' AS panel, source AS label, count(*) AS n FROM a GROUP BY 2 UNION ALL SELECT 'state', state, count(*) FROM a GROUP BY 2 UNION ALL SELECT 'mode', mode, count(*) FROM a GROUP BY 2 UNION ALL SELECT 'month', strftime(day, '%Y-%m'), count(*) FROM a GROUP BY 2 UNION ALL SELECT 'week', label, n FROM w
+    UNION ALL SELECT 'cumulative', label, (sum(n) OVER (ORDER BY label))::BIGINT FROM w UNION ALL SELECT 'funnel', '1 all', count(*) FROM r UNION ALL SELECT 'funnel', '2 applied', count(*) FROM a UNION ALL SELECT 'funnel', '3 interview', count(*) FROM r WHERE status IN ('Interview', 'Offer') UNION ALL SELECT 'funnel', '4 offer', count(*) FROM r WHERE status = 'Offer'""", "jobs")(
+    lambda s, d: dashboard(tables.jobs(s, d).select(F.expr(STATUS).alias("status"), "source", C.state_code(F.col("location")).alias("state"), F.col("remote").alias("mode"), F.to_date(F.substring("processed_at", 1, 10)).alias("day")))
+)
 query("a43_a44_status_counts", "SELECT CASE outcome WHEN 'valid' THEN 'Applied' WHEN 'discarded' THEN 'Rejected' ELSE 'Not Applied' END AS status, count(*) AS n FROM jobs GROUP BY 1", "jobs")(
     lambda s, d: status_counts(tables.jobs(s, d).select(F.when(F.col("outcome") == "valid", "applied on site").when(F.col("outcome") == "discarded", "Rejected!").alias("status")))
 )

@@ -145,9 +145,23 @@ def _sources(spark, sf_dir):
     return source_quality(*stage(spark, sf_dir))
 
 
-@query("a6_fetch_waste", "SELECT company_display, total_postings, valid_postings, valid_rate, source_count FROM dim_company WHERE is_fetch_waste ORDER BY total_postings DESC, company_display LIMIT 25", "dim_company")
+WASTED = "company LIKE 'Acme %' AND CAST(regexp_extract(company, '([0-9]+)', 1) AS INT) % 8 = 0 AND id % 50 > 0"
+
+
+def _waste_sql() -> str:
+    """The mart's SQL over jobs of which every eighth company hardly has a valid posting."""
+    from postmill.plans.registry import with_ctes
+
+    text = with_ctes("SELECT company_display, total_postings, valid_postings, valid_rate, source_count FROM dim_company WHERE is_fetch_waste ORDER BY total_postings DESC, company_display LIMIT 25", "dim_company")
+    return text.replace("jobs AS (", "base AS (", 1).replace(", bronze AS (", f", jobs AS (SELECT * REPLACE (CASE WHEN {WASTED} THEN 'discarded' ELSE outcome END AS outcome) FROM base), bronze AS (", 1)
+
+
 def _waste(spark, sf_dir):
-    return fetch_waste(dim_company(stage(spark, sf_dir)[0]))
+    jobs = tables.jobs(spark, sf_dir).withColumn("outcome", F.when(F.expr(WASTED), "discarded").otherwise(F.col("outcome")))
+    return fetch_waste(dim_company(staged_jobs(layers.silver(layers.bronze(jobs)))))
+
+
+query("a6_fetch_waste", _waste_sql())(_waste)
 
 
 @query("k7_incremental_weekly", "SELECT * FROM fct_weekly_ingest", "fct_weekly_ingest")

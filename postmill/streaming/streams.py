@@ -55,6 +55,15 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 day") ->
     return found.select("user_id", F.col("w.start").alias("start"), "decisions", (F.unix_timestamp("last") - F.unix_timestamp(F.col("w.start"))).alias("seconds"))
 
 
+def review_effort(found: DataFrame, baseline: float | None) -> DataFrame:
+    """Seconds per posting over all sessions, weighted by the postings of each, and its reduction against a baseline in seconds.
+
+    One row; both are null without a posting, and the reduction without a baseline."""
+    total = found.agg(F.sum("decisions").alias("jobs"), F.sum("seconds").alias("seconds"))
+    mean = F.when(F.col("jobs") > 0, F.round(F.col("seconds") / F.col("jobs"), 1))
+    return total.select(F.coalesce("jobs", F.lit(0)).alias("jobs"), mean.alias("seconds_per_job"), F.round(1 - mean / (F.lit(baseline or None).cast("double")), 3).alias("reduction"))
+
+
 def last_runs(events: DataFrame, keep: int = 30) -> DataFrame:
     """Per source, how many of its last `keep` values lie at 50 or above, kept in state between batches."""
     def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -120,5 +129,8 @@ query("x5_last_runs", "SELECT event_type, count(*) AS n, count(*) FILTER (value
 query("x3_weekly", "SELECT date_trunc('week', ts)::TIMESTAMP AS week, event_type, count(*) AS n FROM events GROUP BY 1, 2")(lambda s, d: weekly(_events(s, d)).withColumn("week", F.col("week").cast("timestamp_ntz")))
 query("x4_daily", "SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS fetched, count(*) FILTER (value >= 50) AS valid FROM events GROUP BY 1, 2")(lambda s, d: daily(_events(s, d)).withColumn("day", F.col("day").cast("timestamp_ntz")))
 query("x6_velocity", "SELECT date_trunc('day', ts)::TIMESTAMP - to_days(k) AS start, event_type, count(*) AS n FROM events, range(0, 30) t(k) GROUP BY 1, 2")(lambda s, d: velocity(_events(s, d)).withColumn("start", F.col("start").cast("timestamp_ntz")))
+SESSIONS = """g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g),
+    f AS (SELECT count(*) AS decisions, (floor(epoch(max(ts))) - floor(epoch(min(ts))))::BIGINT AS seconds FROM s GROUP BY user_id, k), t AS (SELECT sum(decisions)::BIGINT AS jobs, round(sum(seconds) / sum(decisions)::DOUBLE, 1) AS m FROM f)"""
+query("a47_review_effort", f"WITH {SESSIONS} SELECT jobs, m AS seconds_per_job, round(1 - m / 40.0::DOUBLE, 3) AS reduction FROM t")(lambda s, d: review_effort(sessions(_events(s, d)), 40.0))
 query("x7_a47_sessions", """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
     SELECT user_id, min(ts) AS start, count(*) AS decisions, (floor(epoch(max(ts))) - floor(epoch(min(ts))))::BIGINT AS seconds FROM s GROUP BY user_id, k""")(lambda s, d: sessions(_events(s, d)).withColumn("start", F.col("start").cast("timestamp_ntz")))
