@@ -41,9 +41,9 @@ def with_state_codes(location: Column) -> Column:
 
 
 def job_type_of(title: Column, source: Column) -> Column:
-    """From the title, then from the source's name, else full time."""
+    """From the title, then from the source's name, else full time, which first jobs after a degree are too."""
     t, s = F.lower(C.text(title)), F.lower(C.text(source))
-    return F.when(t.rlike(r"co[\s-]?op\b"), "Co-op").when(t.rlike(r"\bintern(ship)?s?\b"), "Internship").when(t.rlike(r"new grad|graduate|entry[ -]level"), "New Grad").when(s.contains("intern"), "Internship").otherwise("Full Time")
+    return F.when(t.rlike(r"co[\s-]?op\b"), "Co-op").when(t.rlike(r"\bintern(ship)?s?\b"), "Internship").when(t.rlike(r"new grad|entry[ -]level"), "Full Time").when(s.contains("intern"), "Internship").otherwise("Full Time")
 
 
 def track(title: Column) -> Column:
@@ -87,14 +87,15 @@ def is_company(c: Column) -> Column:
 
 def clean_title(c: Column) -> Column:
     """In order: leading junk, spaced hyphens, segments after bars that name a team or month, 'X is hiring for', brackets, seasons (unless an internship), repeated halves; under five letters the original stays."""
-    t = F.regexp_replace(C.text(c), r"^[^\p{L}\p{N}]+", "")
-    t = F.regexp_replace(t, r"\s+-\s+", " - ")
+    t = F.regexp_replace(F.regexp_replace(C.text(c), r"^[^\p{L}\p{N}]+", ""), r"(?i)^[a-z0-9-]+\.(ai|com|io|co|org|net)\s+(?=\p{L})", "")
+    # a dash that touches the word before it only is spaced; one at the end goes
+    t = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"(?<=[\p{L})])-\s+(?=\p{L})", " - "), r"\s+[-–—]\s+", " - "), r"\s*[-–—,:]+\s*$", "")
     t = F.array_join(F.filter(F.split(t, r"\s*\|\s*"), lambda s: ~F.lower(s).rlike(r"\bteam$|^(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*( \d{4})?$")), " | ")
     t = F.regexp_replace(t, r"(?i)^.{2,40} is hiring (for )?(an? )?", "")
     t = F.regexp_replace(t, r"\s*[\[(][^\])]*[\])]", "")
     t = F.when(~F.lower(t).rlike(gates.INTERN), F.regexp_replace(t, r"(?i)\s*[-,]?\s*\b(spring|summer|fall|winter)\s*20\d\d\b|\s*[-,]\s*20\d\d$", "")).otherwise(t)
     t = F.trim(F.regexp_replace(F.regexp_replace(t, r"^(.{5,}?)\s*[-|,]?\s*\1$", "$1"), r"\s+", " "))
-    return F.when(F.length(t) < 5, c).otherwise(t)
+    return F.when(F.lower(t).rlike(gates.JUNK), "").when(F.length(t) < 5, c).otherwise(t)
 
 
 def page_title_role(raw: Column, company: Column) -> Column:

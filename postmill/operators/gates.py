@@ -49,7 +49,12 @@ DISCIPLINES = ("mechanical", "electrical", "civil", "structural", "chemical", "i
 SOFTWARE = (" ai ", " backend ", " compiler ", " data engineer", " data scien", " devops ", " firmware ", " front end ", " frontend ", " full stack ", " fullstack ", " machine learning ", " ml ", " qa engineer", " sde ", " sdet ", " site reliability ", " software ", " sre ", " swe ")
 EARLY_CAREER = r"\b(intern(ship)?s?|co[\s-]*op|new (college )?grad(uate)?s?|entry[ -]level|early[ -]career|junior|associate|university grad\w*)\b"
 SENIOR = Rule("too_senior", r"\b(senior|sr|staff|principal|lead|manager|director|head of|vp|vice president|chief|architect)\b", EARLY_CAREER)
-NON_TECH = Rule("non_tech", r"\b(nurse|nursing|teacher|driver|cashier|barista|attorney|paralegal|accountant|accounting|chef|cook|mechanic|pharmac\w+|dental|physician|therapist|janitor|warehouse|electrician|plumber|marketing|human resources)\b", r"\b(software|data|engineer|developer|machine learning)\b")
+#: fixed values: work that is not technical
+OTHER_WORK = (
+    "accountant", "accounting", "actuarial", "attorney", "audit", "barista", "cashier", "chef", "claims", "communications", "cook", "counselor", "culinary", "customer service", "dental", "driver", "electrician", "event planning", "fashion", "front desk", "fundraising", "graphic design", "hospitality", "human resources", "janitor", "journalism",
+    "law clerk", "legal", "logistics", "marketing", "mechanic", "merchandising", "nurse", "nursing", "paralegal", r"pharmac\w+", "physician", "plumber", "procurement", "public relations", "real estate", "retail", "social media", "social work", "supply chain", "tax", "teacher", "teaching", "therapist", "underwriting", "veterinary", "warehouse",
+)
+NON_TECH = Rule("non_tech", rf"\b({'|'.join(OTHER_WORK)})\b", r"\b(software|data|engineer|developer|machine learning)\b")
 
 
 def any_of(words: tuple[str, ...]) -> str:
@@ -84,9 +89,8 @@ def title_gates(title: Column) -> Column:
     )
 
 
-TECH = Rule("non_tech", r"\b(nurse|teacher|driver|cashier|barista|attorney|accountant|chef|mechanic|pharmac\w+)\b", r"\b(software|data|engineer)\b")
 TECH = r"\b(software|developer|data|machine learning|engineer|analyst|scientist|cloud|devops|sre|ai|ml|programmer)\b"
-JUNK = r"^(apply now|job openings?|careers?|search results|home|page not found|untitled)$|^\W*$"
+JUNK = r"^(apply( now)?|job openings?|jobs?|careers?|search results|home|login|sign in|page not found|404|untitled)$|^\W*$"
 TITLE_VALIDITY = (
     Rule("garbage", JUNK), Rule("too_short", r"^.{0,4}$"), Rule("hex_id", r"^[0-9a-f-]{16,}$"), Rule("phd_only", r"\bph\.?d\b", r"\b(ms|master'?s?|bs|bachelor'?s?)\b"), Rule("unpaid", r"\b(unpaid|volunteer)\b"), Rule("military", r"\b(army|navy|air force|marine corps)\b"),
     Rule("campus_only", r"\b(work[ -]study|student worker|campus job)\b"), Rule("truncated", r"(\.\.\.|…|[-,(&/]|\b(and|of|the|for|with|in))\s*$"),

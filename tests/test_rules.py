@@ -398,3 +398,16 @@ def test_tiers_in_order(spark):
     assert {r.id: r.tier for r in dedup.tiers(table, fuzzy=0.6).collect()} == {1: None, 2: "job_id", 3: None, 4: "run", 5: "url", 6: "key", 7: "fuzzy", 8: None, 9: None, 10: None}
     assert dedup.tiers(table.limit(0)).count() == 0
     assert [r.id for r in dedup.run_repeats(table.unionByName(table.where("id = 7").withColumn("id", F.lit(70)))).collect()] == [70]
+
+
+def test_golden_titles(spark):
+    technical = ["Software Engineering Intern", "Machine Learning Intern", "Data Science Intern", "AI Engineering Intern", "Full Stack Developer Intern", "Backend Engineer Intern", "Cloud Infrastructure Intern"]
+    other = ["Accounting Intern", "Marketing Intern", "Supply Chain Analyst Intern", "Nursing Intern", "Legal Intern", "Social Media Intern"]
+    assert values(spark, technical + other, gates.is_tech_role) == [True] * len(technical) + [False] * len(other)
+    types = {"Software Engineer, Backend": "Full Time", "Software Engineer Intern, Robotics": "Internship", "Neuroengineer Intern": "Internship", "Software Engineer Intern, Co-op": "Co-op", "Machine Learning Intern/Co-op": "Co-op", "New Grad: Software Engineer": "Full Time", "Entry Level Software Engineer": "Full Time", "Software Engineer I": "Full Time", "Co-op Software Developer": "Co-op"}
+    from postmill.functions import names
+
+    assert values(spark, list(types), lambda c: names.job_type_of(c, F.lit("greenhouse_direct"))) == list(types.values())
+    assert values(spark, ["Software Engineer Intern", "ML Co-op", "Senior Software Engineer"], lambda c: gates.is_internship(c, F.lit(""))) == [True, True, False]
+    cleaned = {"Software Engineer Intern —": "Software Engineer Intern", "Research Intern- AI Ethics": "Research Intern - AI Ethics", "company.ai Software Engineer Intern": "Software Engineer Intern", "Unknown": "Unknown", "Apply Now": "", "404": "", "careers": "", "Home": "", "login": "", "Backend Engineer, Payments": "Backend Engineer, Payments", "Co-op Developer": "Co-op Developer"}
+    assert values(spark, list(cleaned), names.clean_title) == list(cleaned.values())
