@@ -102,20 +102,20 @@ RULES = (
 LAST_YEAR = 2027
 
 
-def graduation_year(t: Column) -> Column:
-    """F11n: every graduation year that the lower-case text names lies after 2027; a span that holds 2027 and 'or later' pass."""
-    said = F.regexp_extract_all(t, F.lit(r"(?:class of|graduat\w+(?: date)?(?: (?:in|by|between|from|of))?)[a-z ,:]{0,20}(20[2-3]\d(?:\s*(?:-|–|to|and|or)\s*(?:[a-z]+ )?20[2-3]\d)*)"), F.lit(1))
+def graduation_year(words: Column) -> Column:
+    """F11n: every graduation year that the normal form names lies after 2027; a span that holds 2027 and 'or later' pass."""
+    said = F.regexp_extract_all(words, F.lit(r"(?:class of|graduat\w+(?: date)?(?: (?:in|by|between|from|of))?)(?: [a-z]+){0,3} (20[2-3]\d(?: (?:(?:to|and|or) )?(?:[a-z]+ )?20[2-3]\d)*)"), F.lit(1))
     years = F.flatten(F.transform(said, lambda s: F.regexp_extract_all(s, F.lit(r"(20\d\d)"), F.lit(1))))
-    return (F.size(years) > 0) & (F.array_min(F.transform(years, lambda y: y.cast("int"))) > LAST_YEAR) & ~t.rlike(r"20\d\d or (later|after|beyond)")
+    return (F.size(years) > 0) & (F.array_min(F.transform(years, lambda y: y.cast("int"))) > LAST_YEAR) & ~words.rlike(r"20\d\d or (later|after|beyond)")
 
 
-def _reason(words: Column, text: Column) -> Column:
-    return F.coalesce(first_reason(words, RULES), F.when(graduation_year(F.lower(text)), "graduation_year"))
+def _reason(words: Column) -> Column:
+    return F.coalesce(first_reason(words, RULES), F.when(graduation_year(words), "graduation_year"))
 
 
 def restriction(text: Column) -> Column:
     """F11 on a plain text."""
-    return _reason(plain_words(text), C.text(text))
+    return _reason(plain_words(text))
 
 
 def page_text(html: Column) -> Column:
@@ -126,7 +126,7 @@ def page_text(html: Column) -> Column:
 
 def page_reason(html: Column) -> Column:
     """F11 on a page: its headings bound the sections that the rules on doctoral studies and places use."""
-    return _reason(page_words(html), page_text(html))
+    return _reason(page_words(html))
 
 
 def hits(words: Column, rules: tuple[Rule, ...] = RULES) -> Column:
