@@ -137,7 +137,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, held_out, lang_pred, score, shares (map of the set's languages).
 
     A text without a letter, or null, is `und` with score 0; so is every text if the model has no language. Only the text
-    decides. Ties go to the first language by name; null doc_ids pass through; repeated rows give equal results.
+    decides. Ties go to the first language by name; null doc_ids pass through; repeated rows give equal results; a very long text is
+    a chunk of its own; an empty table gives no rows; extra columns are not read.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -126,7 +126,11 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
-    """The rows of docs, each as often as mix_sources() takes it, with all their columns, whatever their names."""
+    """The rows of docs, each as often as mix_sources() takes it, with all their columns, whatever their names.
+
+    Nulls, ties and repeated rows are as there; an empty text has size 0 and comes as often as its hash says; a very long one counts
+    whole; an empty table stays empty.
+    """
     plan = mix_plan(_sizes(docs), weights, most)
     rows = docs.select(F.struct("*").alias("_row"), "source", id_hash(F.col("doc_id"), F.col("text")).alias("_hash"))
     times = F.explode(F.array_repeat(F.lit(0), _copies(F.col("_hash")).cast("int")))

@@ -239,7 +239,8 @@ def label_lines(docs: DataFrame, field: Field, share: float = CONTENT_SHARE) ->
 
     base_failed: fewer than 50 words, or over half the words lie in repeated three-word windows. kept: not that, and at
     least `share` of the words lie in lines that Viterbi decoding marks as content. A null or empty text has no words and
-    fails; a null doc_id passes through; repeated rows give equal results; extra columns are not read.
+    fails; a null doc_id passes through; repeated rows give equal results; a very long text is decoded whole, alone in its chunk; ties of
+    paths go to content; an empty table gives no rows; extra columns are not read.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,7 +253,10 @@ def label_lines(docs: DataFrame, field: Field, share: float = CONTENT_SHARE) ->
 
 
 def keep_content(docs: DataFrame, field: Field, share: float = CONTENT_SHARE) -> DataFrame:
-    """The rows of docs that label_lines() marks as kept, with all their columns, without a shuffle."""
+    """The rows of docs that label_lines() marks as kept, with all their columns, whatever their names, without a shuffle.
+
+    Null, empty and very long texts, ties and repeated rows are judged as there; an empty table stays empty.
+    """
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -249,7 +249,12 @@ def links(docs: DataFrame, marked: DataFrame, classes: DataFrame, similarity: fl
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each group of documents that are similar or that op9 links; which rows stay is as in simhash.one_of_each()."""
+    """One document of each group of documents that are similar or that op9 links; which rows stay is as in simhash.one_of_each().
+
+    Null and empty texts have no shingles: they are alike to op9 and one of them stays. Texts of fewer than five words are one shingle.
+    Null ids count as largest; of rows of one id and text one stays; very long texts count whole; extra columns pass, whatever
+    their names; an empty table stays empty.
+    """
     marked = materialize(sketches(docs, id_column), "sketches")
     near = materialize(simhash.links(materialize(marked.select("fp").distinct(), "distinct")), "near")
     more = links(docs, marked, components(near).withColumnRenamed("node", "fp"), similarity)

@@ -377,7 +377,8 @@ def replace_entities(docs: DataFrame, key: str | None = None) -> DataFrame:
     All columns stay in place. A null text stays null with 0 entities, an empty one empty; ids are not read, so null and
     repeated ones are fine; repeated rows get equal texts, and one entity has one surrogate in all rows. Extra columns pass
     through, but for one named n_entities, which the count replaces. `key` is the secret: another key gives other
-    surrogates, the same key the same ones in each run; it comes from stated_key() if not given. Plans hold a key derived from it. The rows are written once to the shared folder with their entities.
+    surrogates, the same key the same ones in each run; it comes from stated_key() if not given. Plans hold a key derived from it. The rows are written once to the shared folder with their entities. Very long
+    texts are one row like any other; of entities that want one surrogate the first by its canonical form keeps it; an empty table stays empty.
     """
     key = derived(key or stated_key(docs.sparkSession))
     found = F.when(F.col("text").rlike(PATTERN), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))

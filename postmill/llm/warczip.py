@@ -303,7 +303,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
 
     A null html is an empty payload; a null page_id is always a response and no other refers to it; rows of one page_id
     with equal payloads are both responses (a record can't revisit its own page); a null url has no target; extra columns
-    are not read; an empty table writes no package and gives no rows.
+    are not read; a very long payload is one stored member, with ZIP64 sizes if it needs them; an empty table writes no package and gives no rows.
     """
     return read_packages(write_packages(with_revisits(pages), shared_path(pages.sparkSession, "warc")))
 

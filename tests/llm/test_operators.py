@@ -536,6 +536,42 @@ def test_language_mixture_and_unknown(spark, docs):
     assert (b.lang_pred, c.lang_pred) == ("und", "und") and d.lang_pred != "und"
 
 
+def test_language_sets_equal_enumeration(docs):
+    """EM written out for each set of three languages; the set chosen has the best penalised likelihood of all seven."""
+    from itertools import combinations
+
+    model = langid.learn(docs.where("lang IN ('en', 'fr', 'es')"))
+    parts = [r.text[:160] for x in ("en", "fr", "es") for r in docs.where((F.col("lang") == x) & (F.length("text") > 300)).orderBy("doc_id").limit(6).collect()]
+    texts = parts + [f"{a} {b}" for a, b in zip(parts, parts[5:] + parts[:5], strict=True)] + ["la", "the la", ""]
+    data = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    found = langid.mixtures(model, np.concatenate(data), np.r_[0, np.cumsum([len(d) for d in data])])
+    agreed = 0
+    for own, raw in zip(found, data, strict=True):
+        bucket, first, _ = langid._trigrams(raw, np.array([0, len(raw)]))
+        if not len(first):
+            assert not own.any()
+            agreed += 1
+            continue
+        words = [model.table[w].astype(float).sum(0) for w in np.split(bucket, first[1:])]
+        words = [np.exp(w - w.max()) for w in words]
+        values, shares = {}, {}
+        for chosen in (c for n in (1, 2, 3) for c in combinations(range(3), n)):
+            share = {i: 1 / len(chosen) for i in chosen}
+            for _ in range(10 * langid.ROUNDS):
+                sums = dict.fromkeys(chosen, 0.0)
+                for w in words:
+                    total = sum(share[i] * w[i] for i in chosen)
+                    for i in chosen:
+                        sums[i] += share[i] * w[i] / max(total, 1e-300)
+                share = {i: sums[i] / len(words) for i in chosen}
+            likely = sum(np.log(max(sum(share[i] * w[i] for i in chosen), 1e-300)) for w in words)
+            values[chosen], shares[chosen] = likely - langid.PENALTY * 0.5 * np.log(len(words) + 1) * len(chosen), share
+        mine = tuple(np.flatnonzero(own))
+        agreed += values[mine] >= max(values.values()) - 1e-3
+        assert all(abs(own[i] - shares[mine][i]) < 0.05 for i in mine)
+    assert agreed >= 0.95 * len(texts)
+
+
 # 9
 
 
