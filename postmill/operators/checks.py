@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from postmill.functions import columns as C
 from postmill.operators import gates, layers
 from postmill.plans import marts, reports
-from postmill.plans.registry import query
+from postmill.plans.registry import query, sql_company_key
 from postmill.sources import tables
 
 
@@ -84,6 +84,35 @@ def audit(jobs: DataFrame) -> DataFrame:
     return jobs.select("id", F.explode(flags).alias("check"))
 
 
+#: what is wrong with a place, in order: (reason, pattern)
+PLACE_FAULTS = (
+    ("requisition id", "^(?:[A-Z]{1,3}[0-9]{3,}|R?[0-9]{4,})$"), ("job title", "(?i)\\b(?:analyst|developer|engineer|intern|scientist)\\b"), ("web address", "https?://"), ("no separator", "^[A-Za-z]{3,}[a-z][A-Z]{2}$"), ("stray comma", "^ *,|, *$"), ("run together", "[A-Za-z]{3,}[0-9]"), ("too long", "^.{45,}$"),
+)
+
+
+def place_fault(location: Column) -> Column:
+    """The first fault of a place; null for none, and for unknown and remote places."""
+    v = F.trim(C.text(location))
+    return F.when(~F.lower(v).isin("", "unknown", "n/a", "remote"), F.coalesce(*[F.when(v.rlike(p), why) for why, p in PLACE_FAULTS]))
+
+
+def open_audit(rows: DataFrame, as_of: str) -> DataFrame:
+    """Q14: panel, label, n of postings that are still open: the gates of today that they fail, their age in weeks, faults of their places
+    and the sources of these, and titles, companies and ids that stand twice (Q10). Titles are judged once each."""
+    from postmill.operators import chain, dedup
+
+    judged = chain.looked_up(rows, chain.title_verdicts(rows), "title")
+    weeks = F.floor(F.datediff(F.lit(as_of).cast("date"), F.to_date(F.substring("processed_at", 1, 10))) / 7)
+    fault = place_fault(F.col("location"))
+    cell = lambda panel, label, when: F.when(when, F.struct(F.lit(panel).alias("panel"), label.cast("string").alias("label")))
+    gate = F.coalesce("gate", F.when(~F.col("technical"), "tech"))
+    cells = F.array(cell("gate", gate, gate.isNotNull()), cell("age_weeks", weeks, weeks.isNotNull()), cell("place", fault, fault.isNotNull()), cell("place_source", F.coalesce("source", F.lit("Unknown")), fault.isNotNull()))
+    counts = judged.select(F.explode(F.filter(cells, lambda c: c.isNotNull())).alias("c")).groupBy("c.panel", "c.label").agg(F.count(F.lit(1)).alias("n"))
+    keys = F.array(F.struct(F.lit("title").alias("label"), dedup.dedup_key(F.col("company"), F.col("title")).alias("key")), F.when((C.text(F.col("job_id")) != "") & (F.col("job_id") != "N/A"), F.struct(F.lit("job_id").alias("label"), F.concat_ws("|", "company", "job_id").alias("key"))))
+    twice = rows.select(F.explode(F.filter(keys, lambda k: k.isNotNull())).alias("k")).groupBy("k.label", "k.key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").groupBy("label").agg(F.sum("n").alias("n"))
+    return counts.unionByName(twice.select(F.lit("twice").alias("panel"), "label", "n"))
+
+
 def rescued(jobs: DataFrame, as_of: str, days: int = 60) -> DataFrame:
     """Q12: rejected postings of the last days that today's gates pass, with the ground for a second look."""
     trusted = jobs.where("outcome = 'valid'").select("company").distinct().withColumn("_t", F.lit(True))
@@ -99,6 +128,19 @@ query("q1_q3_q4_column_tests", """SELECT 'not_null' AS test, 'company_key' AS "c
 query("q2_q5_unique", "SELECT 'unique' AS test, 'company,title' AS \"column\", count(*) AS failures FROM (SELECT company, title FROM jobs GROUP BY 1, 2 HAVING count(*) > 1)", "jobs")(lambda s, d: unique_test(tables.jobs(s, d), "company", "title"))
 query("q9_run_summary", "SELECT (SELECT count(*) FROM jobs) || ' extracted, ' || (SELECT count(*) FROM silver) || ' silver, ' || (SELECT count(*) FROM quarantine) || ' quarantined' AS line", "silver", "quarantine")(lambda s, d: run_summary(layers.bronze(tables.jobs(s, d))))
 query("q10_q11_q14_audit")(lambda s, d: audit(tables.jobs(s, d)))
+_OPEN = "CASE id % 12 WHEN 0 THEN 'JR12345' WHEN 1 THEN 'Boston,' WHEN 2 THEN 'Data Engineer Intern' WHEN 3 THEN 'BostonMA' WHEN 4 THEN 'Suite400' WHEN 5 THEN 'https://x.com/place' WHEN 6 THEN ', Boston' WHEN 7 THEN repeat('Some place ', 5) WHEN 8 THEN 'Unknown' ELSE location END"
+
+
+def _open(spark, sf_dir):
+    ids = F.when(F.col("job_id") == "N/A", "N/A").otherwise(F.concat(F.lit("JR-"), (F.col("id") % 90).cast("string")))
+    return tables.jobs(spark, sf_dir).where("outcome = 'reviewed'").withColumn("location", F.expr(_OPEN)).withColumn("job_id", ids)
+
+
+query("q14_open_audit", f"""WITH r AS (SELECT * REPLACE ({_OPEN} AS location, CASE WHEN job_id = 'N/A' THEN job_id ELSE 'JR-' || id % 90 END AS job_id) FROM jobs WHERE outcome = 'reviewed'),
+    f AS (SELECT *, CASE id % 12 WHEN 0 THEN 'requisition id' WHEN 1 THEN 'stray comma' WHEN 2 THEN 'job title' WHEN 3 THEN 'no separator' WHEN 4 THEN 'run together' WHEN 5 THEN 'web address' WHEN 6 THEN 'stray comma' WHEN 7 THEN 'too long' END AS fault FROM r),
+    g AS (SELECT CASE WHEN title = 'Solutions Engineer' THEN 'business_role' WHEN title = 'Software Engineer III' THEN 'too_senior' WHEN title LIKE 'Summer 2027%' THEN 'wrong_term' END AS gate FROM r), k AS (SELECT 'title' AS label, {sql_company_key("company")} || '|' || lower(title) AS key FROM r UNION ALL SELECT 'job_id', company || '|' || job_id FROM r WHERE job_id NOT IN ('', 'N/A'))
+    SELECT 'gate' AS panel, gate AS label, count(*) AS n FROM g WHERE gate IS NOT NULL GROUP BY 2 UNION ALL SELECT 'age_weeks', (date_diff('day', substr(processed_at, 1, 10)::DATE, DATE '{tables.JOBS_AS_OF}') // 7)::VARCHAR, count(*) FROM r GROUP BY 2 UNION ALL SELECT 'place', fault, count(*) FROM f WHERE fault IS NOT NULL GROUP BY 2
+    UNION ALL SELECT 'place_source', coalesce(source, 'Unknown'), count(*) FROM f WHERE fault IS NOT NULL GROUP BY 2 UNION ALL SELECT 'twice', label, sum(n)::BIGINT FROM (SELECT label, key, count(*) AS n FROM k GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 2""", "jobs")(lambda s, d: open_audit(_open(s, d), tables.JOBS_AS_OF))
 query("q12_rescued")(lambda s, d: rescued(tables.jobs(s, d), tables.JOBS_AS_OF))
 query("u1_u2_source_union", "SELECT DISTINCT coalesce(source, 'none') AS source FROM (SELECT source FROM jobs UNION SELECT source FROM source_runs)", "jobs", "source_runs")(
     lambda s, d: tables.jobs(s, d).select("source").unionByName(tables.source_runs(s, d).select("source")).select(F.coalesce("source", F.lit("none")).alias("source")).distinct()
