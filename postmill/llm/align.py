@@ -27,7 +27,8 @@ from postmill.llm.encode import encoder
 from postmill.llm.pieces import pieces
 from postmill.llm.shared import materialize
 
-CHUNK_BYTES, KNOWN = 4 << 20, 400_000
+#: a chunk is one row of results; its texts are aligned in parts, so that the arrays per byte and per token stay small
+CHUNK_BYTES, PART_BYTES, KNOWN = 4 << 20, 1 << 20, 400_000
 
 
 def gallop(values: np.ndarray, ends: np.ndarray, low: np.ndarray, high: np.ndarray, guess: np.ndarray) -> np.ndarray:
@@ -207,9 +208,9 @@ def _pair(path_a: str, path_b: str) -> _Pair:
     return _Pair(path_a, path_b)
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
-    """(first row, rows) of the chunks of a batch's texts."""
-    for row, _, offsets in W.chunks(batch.column(1), CHUNK_BYTES):
+def _parts(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of runs of texts of bounded bytes."""
+    for row, _, offsets in W.chunks(texts, most):
         yield row, len(offsets) - 1
 
 
@@ -228,7 +229,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(path_a, path_b)
         for batch in batches:
-            for row, n in _parts(batch):
+            for row, n in _parts(batch.column(1), PART_BYTES):
                 x = pair.aligned(batch.column(1).slice(row, n))
                 a, b = x.links()
                 first, last = x.overlaps()
@@ -246,21 +247,33 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, out)
 
 
+def _linked(pair: _Pair, texts: pa.Array) -> tuple[list[np.ndarray], list[str], np.ndarray, np.ndarray]:
+    """(numbers of A tokens, B tokens and links of each text, digest of its groups, and of each link its text and its pair of ids)."""
+    n, x = len(texts), pair.aligned(texts)
+    a, b = x.links()
+    rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(x.a_start))[a]
+    text, starts = group_texts(x)
+    raw = memoryview(text)
+    digests = ["" if starts[i] == starts[i + 1] else hashlib.sha256(raw[starts[i] : starts[i + 1] - 1]).hexdigest() for i in range(n)]
+    return [np.diff(x.a_start), np.diff(x.b_start), np.bincount(rows, minlength=n)], digests, rows, x.a_ids[a] << 32 | x.b_ids[b]
+
+
 def _chunks(path_a: str, path_b: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(path_a, path_b)
         for batch in batches:
-            for row, n in _parts(batch):
-                x = pair.aligned(batch.column(1).slice(row, n))
-                a, b = x.links()
-                rows = np.repeat(np.arange(n), np.diff(x.a_start))[a]
-                text, starts = group_texts(x)
-                raw = memoryview(text)
-                digests = ["" if starts[i] == starts[i + 1] else hashlib.sha256(raw[starts[i] : starts[i + 1] - 1]).hexdigest() for i in range(n)]
-                found, keys = np.unique(x.a_ids[a] << 32 | x.b_ids[b], return_inverse=True)
-                columns = [np.diff(x.a_start), np.diff(x.b_start), np.bincount(rows, minlength=n)]
+            for row, n in _parts(batch.column(1), CHUNK_BYTES):
+                texts, columns, digests, rows, ids = batch.column(1).slice(row, n), [], [], [], []
+                for first, m in _parts(texts, PART_BYTES):
+                    numbers, found, own, pairs = _linked(pair, texts.slice(first, m))
+                    columns.append(numbers)
+                    digests += found
+                    rows.append(own + np.int32(first))
+                    ids.append(pairs)
+                columns = [np.concatenate(c) for c in zip(*columns, strict=True)]
+                found, keys = np.unique(np.concatenate(ids), return_inverse=True)
                 documents = pa.StructArray.from_arrays([batch.column(0).slice(row, n), *map(pa.array, columns), pa.array(digests, pa.string())], names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256"])
-                yield sparse.chunk_row(documents, rows, keys, W.mix(found.astype(np.uint64)), buckets, lambda order, found=found: sparse.squeeze(found[order], "<i8"))
+                yield sparse.chunk_row(documents, np.concatenate(rows), keys, W.mix(found.astype(np.uint64)), buckets, lambda order, found=found: sparse.squeeze(found[order], "<i8"))
 
     return run
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from statistics import mean
@@ -154,6 +155,25 @@ def test_link_statistics_equal_brute_force(spark, docs, awkward, tools, monkeypa
     assert align.link_statistics(awkward.limit(0), BYTE, PIECE).count() == 0
 
 
+def test_a_chunk_is_aligned_in_parts_of_bounded_memory(monkeypatch):
+    words = [f"word{i}" for i in range(500)]
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(words, k=600)) for _ in range(750)]
+    batch = pa.record_batch([pa.array(range(750)), pa.array(texts)], names=["doc_id", "text"])
+    assert batch.column(1).nbytes > 3 << 20
+    run = align._chunks(BYTE, PIECE, 4)
+    list(run([batch.slice(0, 50)]))  # the tokenizers are loaded, the words known
+    tracemalloc.start()
+    (whole,) = run([batch])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 << 20
+    for most in (1 << 24, 10_000):
+        monkeypatch.setattr(align, "PART_BYTES", most)
+        (other,) = run([batch])
+        assert other.drop_columns("chunk").equals(whole.drop_columns("chunk"))
+
+
 def test_aligned_spans_of_a_table(awkward, tools):
     for row in align.align_tokens(awkward.where("text is null or length(text) < 1000"), BYTE, PIECE).join(awkward.select("doc_id", "text"), "doc_id").where("doc_id not in (0, 3)").collect():
         a, b, links, _ = brute_alignment(row.text, *tools)
