@@ -159,7 +159,8 @@ class Encoder:
         cuts = pieces(data, offsets)
         array_ = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
         found = array_.dictionary_encode()
-        ids = list(map(self.of_piece.__getitem__, found.dictionary.to_pylist()))
+        # as objects of an array: several times as fast as to_pylist()
+        ids = list(map(self.of_piece.__getitem__, found.dictionary.to_numpy(zero_copy_only=False).tolist()))
         flat, sizes, at = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4, found.indices.to_numpy()
         starts, n = (np.cumsum(sizes) - sizes)[at], sizes[at]
         ends = np.cumsum(n)
