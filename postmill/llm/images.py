@@ -5,10 +5,10 @@ Each gets an orientation from its patch's intensity centroid and 256 binary test
 turned by that orientation; the pairs of a test lie across the orientation, since along it the centroid foretells the order.
 Descriptors that agree on one of their eight 32-bit words meet; those that agree in all but SPARE of the next 64 bits are
 matches. Matches of two images vote for a rotation, scale and shift; INLIERS distinct matches of one vote make a link, so crops,
-turns, resized ones and edits of brightness or noise link, and chance matches don't. Equal images are one node. In a word's
-cell all descriptors of different images are compared: cells of more than CELL_ROWS rows are dealt into blocks, and each two
-blocks meet in a unit of their own. So the work grows with the square of the number of images that share a word; groups are
-the components.
+turns, resized ones and edits of brightness or noise link, and chance matches don't. Equal images are one node. Images are dealt
+into blocks, and each two blocks meet in a cell of their own, in which all descriptors that share a word are compared and all
+matches of a pair of images are counted: matches, most of them by chance, are never shuffled. An image goes to as many cells as
+there are blocks, so both the shuffle and the comparisons grow with the square of the images; groups are the components.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from postmill.llm.shared import materialize
 SIDE = 96
 SCALES, KEYPOINTS, RADIUS, MARGIN = (1.0, 1.15, 1.32, 1.52, 1.75), (11, 9, 8, 7, 6), 9, 14
 SPARE, INLIERS = 16, 4
-WORDS, CELL_ROWS = 8, 1024
+#: two blocks of CELL_ROWS images at most on average meet in a cell; there are BLOCKS blocks at least; comparisons that are made at once
+WORDS, CELL_ROWS, BLOCKS, COMPARISONS = 8, 16384, 4, 1 << 21
 TURN, ZOOM, SHIFT = np.pi / 4, 0.5, 16.0
 OFFSETS = np.stack(np.meshgrid(np.arange(-RADIUS, RADIUS + 1), np.arange(-RADIUS, RADIUS + 1), indexing="ij"), -1).reshape(-1, 2)
 OFFSETS = OFFSETS[(OFFSETS**2).sum(1) <= RADIUS**2]
@@ -60,7 +61,7 @@ def _unpacked(place: np.ndarray) -> tuple[np.ndarray, ...]:
 def _blur(images: np.ndarray, times: int = 1) -> np.ndarray:
     for axis in (1, 2) * times:
         padded = np.pad(images, [(2, 2) if a == axis else (0, 0) for a in range(3)], mode="edge")
-        cut = [np.take(padded, np.arange(i, i + images.shape[axis]), axis) for i in range(5)]
+        cut = [padded[:, i : i + images.shape[1]] if axis == 1 else padded[:, :, i : i + images.shape[2]] for i in range(5)]
         images = (cut[0] + 4 * cut[1] + 6 * cut[2] + 4 * cut[3] + cut[4]) / 16
     return images
 
@@ -152,76 +153,106 @@ def described(images: DataFrame) -> DataFrame:
 
 
 def keypoints(rows: DataFrame) -> DataFrame:
-    """image_id, place, d0, d1, d2, d3: the keypoints of rows of described()."""
-    return rows.select("image_id", F.explode(F.arrays_zip("place", "d0", "d1", "d2", "d3")).alias("k")).select("image_id", "k.*")
+    """image_id and the lists place, d0, d1, d2, d3: the rows of described() that have keypoints."""
+    return rows.where(F.size("place") > 0).select("image_id", "place", "d0", "d1", "d2", "d3")
 
 
-MATCH = "a long, b long, place long, turn int, zoom int, dx double, dy double"
+LINK = "a long, b long, inliers long"
 
 
-def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (unit, side, image_id, place, more) sorted by unit: matches among the rows of each unit.
-
-    Rows of side 0 meet all others, rows of sides 1 and 2 each other. more holds the 64 bits after the word. Two keypoints may
-    match by several words; equal votes are merged later.
+def _agreed(i: np.ndarray, j: np.ndarray, image: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(image, image, inliers) of the links that matches of keypoints i and j make; image[i] < image[j], and a match may stand there twice."""
+    images = int(image.max()) + 1
+    _, back, count = np.unique(image[i] * images + image[j], return_inverse=True, return_counts=True)
+    # pairs of fewer than INLIERS matches have no vote of so many
+    enough = count[back] >= INLIERS
+    i, j = i[enough], j[enough]
+    pair = image[i] * images + image[j]
+    (x, y, angle_i, scale_i), (x_j, y_j, angle_j, scale_j) = _unpacked(place[i]), _unpacked(place[j])
+    turn = np.mod(angle_j - angle_i + np.pi, 2 * np.pi) - np.pi
+    zoom = scale_j / scale_i
+    c, s = zoom * np.cos(turn), zoom * np.sin(turn)
+    dx, dy = x_j - (c * x - s * y), y_j - (s * x + c * y)
+    turns, zooms = np.floor(turn / TURN + 0.5), np.floor(np.log2(zoom) / ZOOM + 0.5)
+    pairs, inliers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    # each match votes on two offset grids per axis, so that no placement lies on a border of both
+    for gx, gy in ((gx, gy) for gx in (0.0, 0.5) for gy in (0.0, 0.5)):
+        votes = [pair, turns, zooms, np.floor(dx / SHIFT + gx), np.floor(dy / SHIFT + gy), place[i] >> 24]
+        order = np.lexsort(votes[::-1])
+        votes = [v[order] for v in votes]
+        changed = [np.r_[True, v[1:] != v[:-1]][: len(order)] for v in votes]
+        new, ballot = np.any(changed, axis=0), np.flatnonzero(np.any(changed[:-1], axis=0))
+        if len(ballot):
+            pairs.append(votes[0][ballot])
+            inliers.append(np.add.reduceat(new, ballot, dtype=np.int64))
+    pairs, inliers = np.concatenate(pairs), np.concatenate(inliers)
+    order = np.lexsort((-inliers, pairs))
+    order = order[(inliers[order] >= INLIERS) & np.r_[True, pairs[order][1:] != pairs[order][:-1]][: len(order)]]
+    return pairs[order] // images, pairs[order] % images, inliers[order]
+
+
+def _meet(a: np.ndarray, b: np.ndarray, image: np.ndarray, place: np.ndarray, bits: np.ndarray, one: bool, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(image, image, inliers) of the links between keypoints a and keypoints b, both sorted by image; one: they are of one block.
+
+    A piece of some images of a, and of b if need be, makes about `most` comparisons, so that memory is bounded whatever words are common.
     """
-    def whole_units(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        unit, side, image, place, more = rows
-        more = more.view(np.uint64)
-        at, lag = np.arange(len(unit)), 0
-        while len(at):
-            lag += 1
-            at = at[at + lag < len(unit)]
-            at = at[unit[at] == unit[at + lag]]
-            i = at[np.bitwise_count(more[at] ^ more[at + lag]) <= SPARE]
-            i = i[(image[i] != image[i + lag]) & ((side[i] == 0) | (side[i] != side[i + lag]))]
-            if not len(i):
-                continue
-            i, j = np.where(image[i] < image[i + lag], i, i + lag), np.where(image[i] < image[i + lag], i + lag, i)
-            (x, y, angle_i, scale_i), (x_j, y_j, angle_j, scale_j) = _unpacked(place[i]), _unpacked(place[j])
-            turn = np.mod(angle_j - angle_i + np.pi, 2 * np.pi) - np.pi
-            zoom = scale_j / scale_i
-            c, s = zoom * np.cos(turn), zoom * np.sin(turn)
-            steps = (np.floor(v + 0.5).astype(np.int32) for v in (turn / TURN, np.log2(zoom) / ZOOM))
-            out = [image[i], image[j], place[i] >> 24, *steps, x_j - (c * x - s * y), y_j - (s * x + c * y)]
-            yield pa.record_batch([pa.array(v) for v in out], names=["a", "b", "place", "turn", "zoom", "dx", "dy"])
-
-    held = None
-    for batch in batches:
-        if not batch.num_rows:
+    if not len(a) or not len(b):
+        return
+    word, orders, low, count = bits.view("<u4"), [], [], []
+    for w in range(WORDS):
+        orders.append(np.argsort(word[b, w], kind="stable"))
+        key = word[b, w][orders[w]]
+        low.append(np.searchsorted(key, word[a, w]))
+        count.append(np.searchsorted(key, word[a, w], "right") - low[w])
+    first = np.flatnonzero(np.r_[True, image[a][1:] != image[a][:-1]])
+    cost = np.add.reduceat(np.sum(count, axis=0), first)
+    piece = (np.cumsum(cost) - cost) // most
+    start = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
+    ends = np.r_[first[start[1:]], len(a)]
+    for at, end, steps in zip(first[start], ends, np.add.reduceat(cost, start), strict=True):
+        if steps > 2 * most and image[b[0]] != image[b[-1]]:
+            half = int(np.searchsorted(image[b], (image[b[0]] + image[b[-1]]) // 2, "right"))
+            for part in (b[:half], b[half:]):
+                yield from _meet(a[at:end], part, image, place, bits, one, most)
             continue
-        new = [c.to_numpy() for c in batch.columns]
-        held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
-        last = int(np.searchsorted(held[0], held[0][-1]))
-        if last:
-            yield from whole_units([x[:last] for x in held])
-            held = [x[last:] for x in held]
-    if held is not None:
-        yield from whole_units(held)
+        found = []
+        for w in range(WORDS):
+            n = count[w][at:end]
+            i = np.repeat(a[at:end], n)
+            j = b[orders[w][np.arange(len(i)) + np.repeat(low[w][at:end] - (np.cumsum(n) - n), n)]]
+            more = (w // 2 + 1) % 4
+            near = (image[i] < image[j] if one else image[i] != image[j]) & (np.bitwise_count(bits[i, more] ^ bits[j, more]) <= SPARE)
+            found.append((i[near], j[near]))
+        i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+        if len(i):
+            yield _agreed(np.where(image[i] < image[j], i, j), np.where(image[i] < image[j], j, i), image, place)
+
+
+def _links_of_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a cell: of rows (side, image_id, place, d0, d1, d2, d3), those of side 0 meet each other, sides 1 and 2 one another."""
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    length = np.diff(rows["place"].chunk(0).offsets.to_numpy())
+    side = np.repeat(rows["side"].to_numpy(), length)
+    ids, image = np.unique(rows["image_id"].to_numpy(), return_inverse=True)
+    image = np.repeat(image, length)
+    place, *bits = (rows[c].chunk(0).flatten().to_numpy() for c in ("place", "d0", "d1", "d2", "d3"))
+    order = np.argsort(image, kind="stable")
+    a, b = order[side[order] <= 1], order[side[order] != 1]
+    for i, j, inliers in _meet(a, b, image, place, np.stack(bits, 1).view(np.uint64), bool((side == 0).any()), COMPARISONS):
+        yield pa.record_batch([pa.array(v) for v in (ids[i], ids[j], inliers)], names=["a", "b", "inliers"])
 
 
 def links(points: DataFrame) -> DataFrame:
-    """a, b, inliers: images of which at least INLIERS distinct keypoints agree on one placement. points are rows of keypoints() of a table."""
-    words = [F.xxhash64(F.lit(w), F.shiftrightunsigned(f"d{w // 2}", 32 * (w % 2)).bitwiseAND(F.lit(0xFFFFFFFF))) for w in range(WORDS)]
-    mores = F.array(*[F.col(f"d{(w // 2 + 1) % 4}") for w in range(WORDS)])
-    cells = points.select("image_id", "place", mores.alias("more"), F.posexplode(F.array(*words)).alias("word", "key")).select("image_id", "place", F.get("more", F.col("word")).alias("more"), "key")
-    # a key can only be crowded if its bucket of keys is
-    bucket = F.pmod("key", F.lit(1 << 16)).alias("bucket")
-    buckets = materialize(cells.groupBy(bucket).count().where(F.col("count") > CELL_ROWS).select("bucket"), "buckets")
-    crowded = cells.select("key", bucket).join(buckets, "bucket", "left_semi").groupBy("key").count().where(F.col("count") > CELL_ROWS)
-    crowded = materialize(crowded.select("key", F.ceil(F.col("count") / CELL_ROWS).alias("blocks")), "crowded")
-    blocks = F.coalesce("blocks", F.lit(1))
-    dealt = cells.join(crowded, "key", "left").withColumn("block", F.pmod(F.xxhash64("image_id", "place"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    """a, b, inliers: images of which at least INLIERS distinct keypoints agree on one placement. points are rows of keypoints() of a table.
+
+    All matches of two images are found in one cell, so only links leave it.
+    """
+    blocks = max(BLOCKS, -(-points.count() // CELL_ROWS))
+    dealt = points.withColumn("block", F.pmod(F.xxhash64("image_id"), F.lit(blocks))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
-    unit = F.when(blocks == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")))
-    units = dealt.select(unit.alias("unit"), side.alias("side"), "image_id", "place", "more")
-    found = units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_matches, MATCH).distinct()
-    # pairs of fewer than INLIERS matches have no vote of so many
-    pairs = found.groupBy("a", "b").agg(F.collect_list(F.struct("place", "turn", "zoom", "dx", "dy")).alias("m")).where(F.size("m") >= INLIERS).select("a", "b", F.explode("m").alias("m")).select("a", "b", "m.*")
-    # each match votes on two offset grids per axis, so that no placement lies on a border of both
-    grids = F.explode(F.array(*[F.struct(F.floor(F.col("dx") / SHIFT + gx).alias("gx"), F.floor(F.col("dy") / SHIFT + gy).alias("gy"), F.lit(2 * int(2 * gx) + int(2 * gy)).alias("g")) for gx in (0.0, 0.5) for gy in (0.0, 0.5)]))
-    votes = pairs.select("a", "b", "place", "turn", "zoom", grids.alias("v")).select("a", "b", "place", "turn", "zoom", "v.*").distinct()
-    return votes.groupBy("a", "b", "turn", "zoom", "gx", "gy", "g").count().where(F.col("count") >= INLIERS).groupBy("a", "b").agg(F.max("count").alias("inliers"))
+    cell = F.least("block", "other") * blocks + F.greatest("block", "other")
+    cells = dealt.select(cell.alias("cell"), side.alias("side"), "image_id", "place", "d0", "d1", "d2", "d3")
+    return cells.groupBy("cell").applyInArrow(_links_of_cell, LINK)
 
 
 def image_copies(images: DataFrame) -> DataFrame:

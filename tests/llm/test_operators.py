@@ -5,7 +5,7 @@ import io
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -489,6 +489,59 @@ def test_image_links_in_crowded_cells(spark, monkeypatch, cell_rows):
     assert all((r.component_id, r.n_links) == (group[r.image_id], degree[r.image_id]) for r in images.image_copies(media).collect())
 
 
+def test_image_matches_are_not_shuffled(spark):
+    """Forty noisy copies of one picture match in some 20 places a pair; the shuffle holds keypoints only, a few times each."""
+    def files():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {(f := held.apply(i)).getName(): f.length() for i in range(held.size())}
+
+    random_ = np.random.default_rng(12)
+    drawn = images._drawn(random_.normal(size=32) * 0.2, images.SIDE)
+    base = 128 + 60 * drawn / drawn.std()
+    media = spark.createDataFrame([(k, np.clip(base + random_.normal(0, 4, base.shape), 0, 255).astype(np.uint8).tobytes()) for k in range(40)], "image_id long, pixels binary")
+    rows = images.materialize(images.described(media), "described")
+    n = rows.selectExpr("sum(size(place))").first()[0]
+    before = files()
+    found = images.links(images.keypoints(rows))
+    assert found.count() == 780
+    assert sum(size for name, size in files().items() if name not in before) < 250 * n
+
+
+@pytest.mark.parametrize("most", [20, 3000, 1 << 21])
+def test_image_cells_in_pieces(most):
+    """Common words, equal words in other places and pieces of any size: the pairs and counts of a plain loop."""
+    random_ = np.random.default_rng(8)
+    image = np.repeat(np.arange(12), 20)
+    bits = random_.integers(0, 1 << 63, (len(image), 4), dtype=np.uint64)
+    bits[::2] = bits[random_.integers(0, 6, len(bits[::2]))]
+    bits[::7, 0] = bits[0, 0]
+    shape = np.stack([random_.uniform(20, 44, len(image)), random_.uniform(20, 44, len(image)), random_.uniform(0, 0.5, len(image)), random_.choice(images.SCALES[:3], len(image))], 1)
+    place, word = images._packed(shape), bits.view("<u4")
+    x, y, angle, scale = images._unpacked(place)
+    votes = defaultdict(set)
+    for i in range(len(image)):
+        for j in range(len(image)):
+            near = any(word[i, w] == word[j, w] and int(bits[i, (w // 2 + 1) % 4] ^ bits[j, (w // 2 + 1) % 4]).bit_count() <= images.SPARE for w in range(8))
+            if image[i] < image[j] and near:
+                turn, zoom = np.mod(angle[j] - angle[i] + np.pi, 2 * np.pi) - np.pi, scale[j] / scale[i]
+                c, s = zoom * np.cos(turn), zoom * np.sin(turn)
+                dx, dy = x[j] - (c * x[i] - s * y[i]), y[j] - (s * x[i] + c * y[i])
+                steps = np.floor(turn / images.TURN + 0.5), np.floor(np.log2(zoom) / images.ZOOM + 0.5)
+                for gx in (0, 0.5):
+                    for gy in (0, 0.5):
+                        votes[image[i], image[j], *steps, np.floor(dx / images.SHIFT + gx), np.floor(dy / images.SHIFT + gy), gx, gy].add(place[i] >> 24)
+    best = defaultdict(int)
+    for key, places in votes.items():
+        best[key[:2]] = max(best[key[:2]], len(places))
+    want = sorted((*pair, n) for pair, n in best.items() if n >= images.INLIERS)
+    every = np.arange(len(image))
+    found = [row for part in images._meet(every, every, image, place, bits, True, most) for row in zip(*part, strict=True)]
+    assert sorted(found) == want and 5 < len(want) < 66
+    left, right = every[image < 6], every[image >= 6]
+    found = [row for a, b in ((left, right), (right, left)) for part in images._meet(a, b, image, place, bits, False, most) for row in zip(*part, strict=True)]
+    assert sorted(found) == sorted(2 * [r for r in want if r[0] < 6 <= r[1]])
+
+
 # 6
 
 
