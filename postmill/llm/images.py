@@ -27,7 +27,7 @@ SIDE = 96
 SCALES, KEYPOINTS, RADIUS, MARGIN = (1.0, 1.15, 1.32, 1.52, 1.75), (11, 9, 8, 7, 6), 9, 14
 SPARE, INLIERS = 16, 4
 #: two blocks of CELL_ROWS images at most on average meet in a cell; there are BLOCKS blocks at least; comparisons that are made at once
-WORDS, CELL_ROWS, BLOCKS, COMPARISONS = 8, 16384, 4, 1 << 21
+WORDS, CELL_ROWS, BLOCKS, COMPARISONS = 8, 16384, 4, 1 << 19
 TURN, ZOOM, SHIFT = np.pi / 4, 0.5, 16.0
 OFFSETS = np.stack(np.meshgrid(np.arange(-RADIUS, RADIUS + 1), np.arange(-RADIUS, RADIUS + 1), indexing="ij"), -1).reshape(-1, 2)
 OFFSETS = OFFSETS[(OFFSETS**2).sum(1) <= RADIUS**2]
@@ -200,12 +200,12 @@ def _meet(a: np.ndarray, b: np.ndarray, image: np.ndarray, place: np.ndarray, bi
         return
     word, orders, low, count = bits.view("<u4"), [], [], []
     for w in range(WORDS):
-        orders.append(np.argsort(word[b, w], kind="stable"))
+        orders.append(np.argsort(word[b, w], kind="stable").astype(np.int32))
         key = word[b, w][orders[w]]
-        low.append(np.searchsorted(key, word[a, w]))
-        count.append(np.searchsorted(key, word[a, w], "right") - low[w])
+        low.append(np.searchsorted(key, word[a, w]).astype(np.int32))
+        count.append(np.searchsorted(key, word[a, w], "right").astype(np.int32) - low[w])
     first = np.flatnonzero(np.r_[True, image[a][1:] != image[a][:-1]])
-    cost = np.add.reduceat(np.sum(count, axis=0), first)
+    cost = np.add.reduceat(np.sum(count, axis=0, dtype=np.int64), first)
     piece = (np.cumsum(cost) - cost) // most
     start = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
     ends = np.r_[first[start[1:]], len(a)]
@@ -235,10 +235,11 @@ def _links_of_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     side = np.repeat(rows["side"].to_numpy(), length)
     ids, image = np.unique(rows["image_id"].to_numpy(), return_inverse=True)
     image = np.repeat(image, length)
-    place, *bits = (rows[c].chunk(0).flatten().to_numpy() for c in ("place", "d0", "d1", "d2", "d3"))
-    order = np.argsort(image, kind="stable")
-    a, b = order[side[order] <= 1], order[side[order] != 1]
-    for i, j, inliers in _meet(a, b, image, place, np.stack(bits, 1).view(np.uint64), bool((side == 0).any()), COMPARISONS):
+    order = np.argsort(image, kind="stable").astype(np.int32)
+    a, b, one = order[side[order] <= 1], order[side[order] != 1], bool((side == 0).any())
+    place, bits = rows["place"].chunk(0).flatten().to_numpy(), np.stack([rows[c].chunk(0).flatten().to_numpy() for c in ("d0", "d1", "d2", "d3")], 1).view(np.uint64)
+    del rows, side, order
+    for i, j, inliers in _meet(a, b, image, place, bits, one, COMPARISONS):
         yield pa.record_batch([pa.array(v) for v in (ids[i], ids[j], inliers)], names=["a", "b", "inliers"])
 
 
