@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postmill.operators import chain, changes, gates, learned, places, restrictions
-from postmill.plans.catalog import ORACLES
+from postmill.plans.catalog import ORACLES, QUERIES
 from postmill.sources import feeds, pages
 
 
@@ -78,6 +78,27 @@ def test_selectors_on_one_stream(spark):
     assert pages.selector("a.b[c=d][e]@f") == pages.Selector("a", (("class", "~", "b"), ("c", "=", "d"), ("e", "", "")), "f")
 
 
+def test_votes_read_each_page_once_and_in_many_tasks(spark, small):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in ("p54_json_ld",):
+        df = QUERIES[name](spark, small)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("parseJson") == 1 and plan.count("regexp_extract_all") == 6 and plan.count("Exchange ") == 1
+        assert parts > 1 and df.rdd.getNumPartitions() == parts
+
+
+def test_tags_of_odd_pages(spark):
+    cases = {
+        "</p class=company><p class='x  COMPANY'>a > b</p>": {".company": "b"}, "<i class=a class=company>x</i>": {".company": None, ".a": "x"}, "<b data-company=x=y></b><b data-company='z'>": {"[data-company]@data-company": "x=y"},
+        "<meta name='job-id' content=''><meta name=job-id content=' 7\"7 '>": {"meta[name=job-id]@content": '7"7'}, "<p id = Job-Location>one<p>two": {"#job-location": "one"}, "<h1>a<h1>b</h1>c</h1>": {"h1": "ab"}, "<a=\"b\" c=d>": {"[c=d]@a": "b"}, "<h1": {"h1": None}, "< H1 >x": {"h1": "x"}, "<div class=''>x</div>": {"div[class]": "x", ".x": None},
+        "<p " + "long " * 20000 + "class=company>x</p>": {".company": "x"},
+    }
+    wanted = sorted({k for c in cases.values() for k in c})
+    table = spark.createDataFrame(list(enumerate(cases)), "page_id long, html string")
+    rows = table.select("page_id", pages.tag_stream(F.col("html")).alias("s")).select("page_id", *[pages.selected(F.col("s"), pages.selector(k)).alias(k) for k in wanted]).collect()
+    assert {r.page_id: {k: r[k] for k in c} for r, c in ((r, list(cases.values())[r.page_id]) for r in rows)} == dict(enumerate(cases.values()))
+
+
 def test_page_titles_equal_their_sql_on_odd_texts(spark):
     titles = ["cut&amp", "a&amp;b&amp", "&amp;lt;&lt;&LT;&#39;&quot;&gt", "&eacute;&copy;&nbsp;x", "\u00e9t\u00e9 \u0301e\u0308 \u0903\u20dd", "\ud55c\uad6d \u2126", "a \u2013 b \u2014\u2600\U0001f600", "\u00a0\u2003 a\x0bb\x1cc \t\n d\u3000", "a\u00a0 \r\n\u00a0b\x0b", "", " ", "<b>x</b>"]
     pages_ = [(i, f"<TITLE>{t}</Title><title>no</title>") for i, t in enumerate(titles)] + [(90, None), (91, "none"), (92, "<title>open"), (93, "<title>two\nlines</title>")]
