@@ -2,7 +2,7 @@
 
 Structured data is parsed to VARIANT and walked through lists, @graph, mainEntity and lists of items, some levels deep, until nodes
 of type JobPosting are found; their values may be texts, objects or lists. Elements come from one stream of tags per page, made by
-one pass; selectors are conditions on its entries.
+one pattern; selectors are conditions on its entries.
 """
 
 from __future__ import annotations
